@@ -6,6 +6,8 @@ text "null"; anything that is not an object becomes an empty map.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -59,7 +61,10 @@ def _flatten(parsed: Column) -> Column:
     def widen(entry):
         outer = entry["key"]
         inner = F.transform(
-            F.map_entries(_raw(entry["value"])),
+            # Only text that opens an object is read again.
+            F.map_entries(
+                F.when(F.ltrim(entry["value"]).startswith("{"), _raw(entry["value"]))
+            ),
             lambda i: pair(
                 F.replace(F.concat_ws("_", outer, i["key"]), F.lit("$"), F.lit("")),
                 F.coalesce(i["value"], F.lit("null")),
@@ -84,6 +89,21 @@ def props(parsed: Column, keys, default: str = "") -> list[Column]:
     return out
 
 
+def wide_props(parsed: Column, keys, default: str = "") -> tuple[Column, Callable[[str], list[Column]]]:
+    """(struct column, function giving the select list over it) for long key lists.
+
+    One pass turns the map into a struct; dozens of single map lookups would
+    make one generated method too large for the JIT.
+    """
+    schema = ", ".join(f"`{key}` string" for key in keys)
+    struct = F.from_json(F.to_json(parsed), schema)
+
+    def over(name):
+        return [F.coalesce(F.col(name)[key], F.lit(default)).alias(key) for key in keys]
+
+    return struct, over
+
+
 def put_fields(text: Column, **fields: Column) -> Column:
     """JSON object text with extra text fields set, keeping the types of the other fields.
 

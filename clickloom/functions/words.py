@@ -14,8 +14,8 @@ STOP_PATTERNS = [
     r"^[^a-zA-Z0-9一-龥]+$",
     r"^[0-9]+%$",
 ]
-# The same without the "Latin letters only" filter, for texts in Latin scripts.
-LATIN_STOP_PATTERNS = [p for p in STOP_PATTERNS if p != r"^[a-zA-Z]+$" and "4e00" not in p]
+# For texts in Latin scripts: one-letter tokens and numbers only.
+LATIN_STOP_PATTERNS = [r"^.{0,1}$", r"^[0-9]+$", r"^[0-9]+%$"]
 
 # Characters the classifier removes before segmenting.
 BLANKS = r"[\r\n 　\t]"

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.ml import Pipeline
 from pyspark.ml.classification import NaiveBayes
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator, RegressionEvaluator
 from pyspark.ml.feature import IDF, CountVectorizer, HashingTF, StringIndexer, Tokenizer
 from pyspark.ml.recommendation import ALS
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 # Limits and sizes of the models.
@@ -49,17 +50,41 @@ def hashed_features(words: str = "words", features: int = SIMILARITY_FEATURES, m
     )
 
 
-def vector_terms(vector: Column) -> Column:
-    """(index, value) pairs of the stored entries of an ML vector column."""
-    from pyspark.ml.functions import vector_to_array
+def stored_entries(vector: Column) -> Column:
+    """(index, value) pairs stored in a sparse ML vector, read from its text form.
 
-    dense = vector_to_array(vector)
-    return F.filter(
-        F.transform(dense, lambda v, i: F.struct(i.alias("index"), v.alias("value"))),
-        lambda x: x["value"] != 0,
+    The text is "(size,[indices],[values])"; nothing is made dense and no Python runs.
+    """
+    text = vector.cast("string")
+
+    def numbers(pattern, kind):
+        found = F.split(F.regexp_extract(text, pattern, 1), ",")
+        return F.transform(F.filter(found, lambda x: x != ""), lambda x: x.cast(kind))
+
+    return F.zip_with(
+        numbers(r"^\(\d+,\[([^\]]*)\]", "int"),
+        numbers(r",\[([^\]]*)\]\)$", "double"),
+        lambda i, v: F.struct(i.alias("index"), v.alias("value")),
     )
 
 
+def vocabulary_table(model, spark) -> DataFrame:
+    """(index, term) of a fitted count_features pipeline; at most VOCABULARY rows."""
+    terms = model.stages[0].vocabulary
+    return spark.createDataFrame(pd.DataFrame({"index": range(len(terms)), "term": terms})).select(
+        F.col("index").cast("int"), "term"
+    )
+
+
+def vector_top_terms(model, words: DataFrame, key: str, n: int = 20) -> DataFrame:
+    """The n heaviest terms of each document by a fitted count_features pipeline."""
+    entries = model.transform(words).select(key, F.inline(stored_entries(F.col("features"))))
+    order = Window.partitionBy(key).orderBy(F.desc("value"), "index")
+    top = entries.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= n)
+    named = top.join(vocabulary_table(model, words.sparkSession), "index")
+    return named.select(key, "term", F.col("value").alias("weight"), "rank")
+
+
 def text_classifier(features: int = SIMILARITY_FEATURES, min_docs: int = CLASSIFIER_MIN_DOCS):
     """Hashed tf-idf and naive Bayes as one pipeline: the test rows reuse the trained idf."""
     return Pipeline(

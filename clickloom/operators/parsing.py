@@ -6,20 +6,30 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from clickloom.functions import clock
-from clickloom.functions.jsonmap import json_map, prop, props, put_fields
+from clickloom.functions.jsonmap import json_map, prop, props, put_fields, wide_props
 from clickloom.operators import schemas
 
 
+def read_once(df: DataFrame, values: list[Column]) -> DataFrame:
+    """Append the values as columns that later filters do not reach through.
+
+    A filter on a plain projected column would be pushed below the projection
+    and read the JSON again for every condition; a generator output is not.
+    """
+    return df.select("*", F.inline(F.array(F.struct(*values))))
+
+
 def envelope(lines: DataFrame, column: str = "line", keep: tuple[str, ...] = ()) -> DataFrame:
     """(event, properties, time, project) of each line; the input of every route."""
     parsed = lines.select(*keep, json_map(F.col(column)).alias("m"))
-    return parsed.select(*keep, *props(F.col("m"), ["event", "properties", "time", "project"]))
+    fields = props(F.col("m"), ["event", "properties", "time", "project"])
+    return read_once(parsed, fields).drop("m")
 
 
 def with_properties(events: DataFrame, keys, column: str = "properties") -> DataFrame:
     """Add property columns (missing: empty text), reading the properties once."""
     parsed = events.withColumn("__p", json_map(F.col(column)))
-    return parsed.select("*", *props(F.col("__p"), keys)).drop("__p")
+    return read_once(parsed, props(F.col("__p"), keys)).drop("__p")
 
 
 def typed_events(lines: DataFrame, column: str = "line", columns=None, keep=()) -> DataFrame:
@@ -30,10 +40,11 @@ def typed_events(lines: DataFrame, column: str = "line", columns=None, keep=())
 
 def flat_events(lines: DataFrame, column: str = "line", keep=()) -> DataFrame:
     """The 82 flattened columns: outer and inner keys joined, "$" dropped from inner keys."""
-    parsed = lines.select(
+    flat = lines.select(
         *keep, json_map(F.col(column), key_prefix="tmp", flatten_depth=2).alias("m")
     )
-    return parsed.select(*props(F.col("m"), schemas.FLAT_COLUMNS), *keep)
+    struct, columns = wide_props(F.col("m"), schemas.FLAT_COLUMNS)
+    return flat.select(*keep, struct.alias("v")).select(*columns("v"), *keep)
 
 
 def history_events(

@@ -75,6 +75,20 @@ def watched_points(marks: DataFrame, schedule: DataFrame) -> DataFrame:
     )
 
 
+def grid_hits(marks: DataFrame, schedule: DataFrame) -> DataFrame:
+    """(item, idx, point, num): grid points with the number of users who watched them."""
+    first = clock.grid_start(F.col("start_ms"), STEP_MS)
+    watched = watched_points(marks, schedule).where(
+        (F.col("idx") >= 0) & (F.col("idx") < F.col("points"))
+    )
+    per_point = watched.select("uid", "item", "idx").distinct().groupBy("item", "idx").agg(
+        F.count("uid").alias("num")
+    )
+    return per_point.join(schedule.select("item", first.alias("first")), "item").select(
+        "item", "idx", (F.col("first") + F.col("idx") * STEP_MS).alias("point"), "num"
+    )
+
+
 def watch_progress(marks: DataFrame, schedule: DataFrame) -> DataFrame:
     """percent and seconds watched per (uid, item, env)."""
     seen = F.count_if((F.col("idx") >= 0) & (F.col("idx") < F.col("points")))

@@ -6,7 +6,7 @@ from importlib import import_module
 
 from clickloom.registry.base import ORACLES, QUERIES
 
-MODULES = ["scans"]
+MODULES = ["scans", "app", "metrics", "text"]
 
 
 def _load() -> None:

@@ -195,9 +195,9 @@ APP_CTE = EVENT_CTE + f""", a AS (
               END AS param
   FROM e)"""
 WORDS_CTE = """tok AS (
-  SELECT doc_id, unnest(list_filter(
-           regexp_split_to_array(lower(text), '[^\\p{L}\\p{N}]+'), x -> x <> '')) AS term
-  FROM documents),
+  SELECT doc_id, term FROM (
+    SELECT doc_id, unnest(regexp_split_to_array(lower(text), '[^\\p{L}\\p{N}]+')) AS term
+    FROM documents) WHERE term <> ''),
 tf AS (SELECT doc_id, term, count(*) AS tf FROM tok GROUP BY doc_id, term),
 df AS (SELECT term, count(*) AS df FROM tf GROUP BY term),
 nd AS (SELECT count(*) AS n FROM documents),
