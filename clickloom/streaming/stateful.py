@@ -26,6 +26,12 @@ SESSION_SCHEMA = (
 )
 
 
+def _frame(records: list[dict]):
+    """Output rows as plain objects, or nothing where there are none."""
+    if records:
+        yield pd.DataFrame(records).astype(object)
+
+
 def use_rocksdb(spark) -> None:
     for key, value in STATE_STORE.items():
         spark.conf.set(key, value)
@@ -82,13 +88,13 @@ class LiveSessions(StatefulProcessor):
         if before is not None:
             self.handle.deleteTimer(before[1] + self.gap_ms + 1)
         self.handle.registerTimer(state[1] + self.gap_ms + 1)
-        yield pd.DataFrame(out, columns=[c.split()[0] for c in SESSION_SCHEMA.split(", ")])
+        yield from _frame(out)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
         state = tuple(self.session.get()) if self.session.exists() else None
         if state is not None and state[1] + self.gap_ms + 1 <= expiredTimerInfo.getExpiryTimeInMs():
             self.session.clear()
-            yield pd.DataFrame([self._leave(key, state)])
+            yield from _frame([self._leave(key, state)])
 
     def close(self) -> None:
         pass
@@ -155,12 +161,12 @@ class ReadCounter(StatefulProcessor):
                 self.handle.deleteTimer(old + self.gap_ms + 1)
             self.handle.registerTimer(last + self.gap_ms + 1)
         if counted:
-            yield pd.DataFrame({"message_id": [key[0]], "uid": [key[1]], "num": [counted]})
+            yield from _frame([{"message_id": key[0], "uid": key[1], "num": counted}])
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
         # Event time has passed the gap: every later read counts, so nothing need be kept.
         self.last.clear()
-        yield pd.DataFrame({"message_id": [], "uid": [], "num": []}).astype({"num": "int64"})
+        yield from _frame([])
 
     def close(self) -> None:
         pass
@@ -201,7 +207,7 @@ class OnlineUsers(StatefulProcessor):
                 self.members.removeKey((row.uid,))
                 size -= 1
         self.size.update((size,))
-        yield pd.DataFrame({"room": [key[0]], "shard": [key[1]], "online": [size]})
+        yield from _frame([{"room": key[0], "shard": key[1], "online": size}])
 
     def close(self) -> None:
         pass
