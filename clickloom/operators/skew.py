@@ -9,6 +9,16 @@ SALT = "__salt"
 PART = "__part"
 
 
+def spread_small(df: DataFrame) -> DataFrame:
+    """Spread an input that comes in fewer splits than there are cores over all of them.
+
+    Only a small input has that few splits, so the shuffle is small too; a large
+    one keeps its splits and is not moved.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if 0 < df.rdd.getNumPartitions() < cores else df
+
+
 def heavy_keys(df: DataFrame, keys: list[str], ways: int = 64) -> DataFrame:
     """Keys with more than 1/ways of the rows: fewer than `ways` of them, whatever the data."""
     counts = df.groupBy(*keys).agg(F.count("*").alias("__n"))

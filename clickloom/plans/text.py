@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from clickloom.operators import bayes, keywords, learning, similarity
+from clickloom.session import cut_lineage
 
 
 def daily_keywords(docs: DataFrame, text: Column, doc: str, day: str, **options) -> DataFrame:
@@ -28,7 +29,8 @@ def document_similarity(docs: DataFrame, text: Column, doc: str, threshold: floa
 def text_classifier(docs: DataFrame, text: Column, doc: str, labels: DataFrame,
                     label: str = "label", min_df: int = 3) -> DataFrame:
     """Naive Bayes over tf-idf: trained on the labelled documents, applied to all of them."""
-    weights = term_weights(docs, text, doc, min_df=min_df)
+    # Read by training, scoring and the hot-term list: computed once.
+    weights = cut_lineage(term_weights(docs, text, doc, min_df=min_df))
     terms, priors = bayes.train(weights, labels, doc, label)
     return bayes.predict(bayes.scores(weights, terms, priors, doc), doc)
 
@@ -36,7 +38,7 @@ def text_classifier(docs: DataFrame, text: Column, doc: str, labels: DataFrame,
 def classifier_accuracy(docs: DataFrame, text: Column, doc: str, labels: DataFrame,
                         label: str = "label", percent: int = 80) -> DataFrame:
     """Accuracy on the documents held out by the hash split."""
-    weights = term_weights(docs, text, doc, min_df=3)
+    weights = cut_lineage(term_weights(docs, text, doc, min_df=3))
     held = bayes.in_train(F.col(doc), percent)
     terms, priors = bayes.train(weights, labels.where(held), doc, label)
     rest = weights.where(~held)

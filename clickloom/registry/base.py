@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from clickloom.functions import clock
 from clickloom.operators import parsing
+from clickloom.operators.skew import spread_small
 from clickloom.session import configure
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -103,11 +104,15 @@ class Tables:
     def table(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
 
+    def spread(self, name: str) -> DataFrame:
+        """For work that is heavy per row: a one-file table is spread over all cores."""
+        return spread_small(self.table(name))
+
     @cached_property
     def events(self) -> DataFrame:
         """Events with millis and k."""
         k = F.get_json_object("props", "$.k").cast("int")
-        return self.table("events").withColumns({"ms": clock.to_millis(F.col("ts")), "k": k})
+        return self.spread("events").withColumns({"ms": clock.to_millis(F.col("ts")), "k": k})
 
     @cached_property
     def app_lines(self) -> DataFrame:
@@ -168,7 +173,7 @@ class Tables:
 
     @cached_property
     def documents(self) -> DataFrame:
-        return self.table("documents")
+        return self.spread("documents")
 
 
 def _sql_list(i: int) -> str:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -12,6 +13,8 @@ RUNTIME_CONF = {
     "spark.sql.mapKeyDedupPolicy": "LAST_WIN",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Joins broadcast a side only once its measured size is known to be below this.
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "64MB",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
 }
 
@@ -34,17 +37,27 @@ def build_session(app: str = "clickloom", master: str | None = None, **conf) ->
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder every executor can reach; a temporary one only where none is named (tests)."""
+    """The folder every executor can reach, as the cluster names it.
+
+    Only a local session without that setting (tests) gets a folder of its own.
+    """
     named = spark.conf.get("spark.checkpoint.dir", None)
+    named = named or spark.sparkContext.getCheckpointDir()
     if named:
         return named
-    current = spark.sparkContext.getCheckpointDir()
-    return current or tempfile.mkdtemp(prefix="clickloom-")
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+    made = tempfile.mkdtemp(prefix="clickloom-")
+    spark.sparkContext.setCheckpointDir(made)
+    return made
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint: the result survives the loss of any executor."""
-    sc = df.sparkSession.sparkContext
-    if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(shared_folder(df.sparkSession))
-    return df.checkpoint()
+    """Write the frame as a table in the shared folder and go on from there.
+
+    It is computed once (a checkpoint would run the plan twice), later reads
+    prune its columns, and it survives the loss of any executor.
+    """
+    path = f"{shared_folder(df.sparkSession)}/clickloom-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
