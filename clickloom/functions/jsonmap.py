@@ -104,25 +104,24 @@ def wide_props(parsed: Column, keys, default: str = "") -> tuple[Column, Callabl
     return struct, over
 
 
-def put_fields(text: Column, **fields: Column) -> Column:
+def put_fields(text: Column, parsed: Column | None = None, **fields: Column) -> Column:
     """JSON object text with extra text fields set, keeping the types of the other fields.
 
     The new fields are spliced before the closing brace; only an object that
     already has one of them is rebuilt from its map, so that the new value wins.
+    Text that is no object counts as an empty one. `parsed` is the map of the
+    text, where the caller has it already.
     """
-    parsed = _raw(text)
+    if parsed is None:
+        parsed = json_map(text)
     extra = F.to_json(F.struct(*[c.alias(n) for n, c in fields.items()]))
     body = F.trim(text)
-    opened = body.substr(F.lit(1), F.length(body) - 1)
     spliced = F.concat(
-        opened,
-        F.when(F.size(parsed) > 0, F.lit(",")).otherwise(F.lit("")),
-        extra.substr(F.lit(2), F.length(extra)),
+        body.substr(F.lit(1), F.length(body) - 1), F.lit(","), extra.substr(F.lit(2), F.length(extra))
     )
     clash = F.lit(False)
     for name in fields:
         clash = clash | F.map_contains_key(parsed, name)
-    rebuilt = F.to_json(
-        F.map_concat(parsed, F.create_map(*[x for n, c in fields.items() for x in (F.lit(n), c)]))
-    )
-    return F.when(parsed.isNull(), extra).when(clash, rebuilt).otherwise(spliced)
+    pairs = [x for n, c in fields.items() for x in (F.lit(n), c)]
+    rebuilt = F.to_json(F.map_concat(parsed, F.create_map(*pairs)))
+    return F.when(F.size(parsed) == 0, extra).when(clash, rebuilt).otherwise(spliced)

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from clickloom.functions.jsonmap import MAP, json_map
 from clickloom.operators import rules
 from clickloom.operators.routing import env_of
-from clickloom.operators.parsing import with_properties
+from clickloom.operators.parsing import PARSED, with_properties
 
 KEYS = [
     ("v1_element_content", "content"), ("v1_message_title", "message_title"),
@@ -38,7 +38,7 @@ def answer_rows(events: DataFrame, envs: dict[str, str]) -> DataFrame:
             }
         )
         .where(F.col("type").isNotNull() & F.col("env").isNotNull())
-        .drop("properties", "event", "project")
+        .drop("properties", "event", "project", PARSED)
         .dropDuplicates()
     )
 

@@ -19,17 +19,33 @@ def read_once(df: DataFrame, values: list[Column]) -> DataFrame:
     return df.select("*", F.inline(F.array(F.struct(*values))))
 
 
-def envelope(lines: DataFrame, column: str = "line", keep: tuple[str, ...] = ()) -> DataFrame:
-    """(event, properties, time, project) of each line; the input of every route."""
-    parsed = lines.select(*keep, json_map(F.col(column)).alias("m"))
+# Name of the column that holds the properties read as a map.
+PARSED = "property_map"
+
+
+def envelope(
+    lines: DataFrame, column: str = "line", keep: tuple[str, ...] = (), parsed: bool = False
+) -> DataFrame:
+    """(event, properties, time, project) of each line; the input of every route.
+
+    With `parsed` the properties are read at once and carried along as a map, for
+    a frame that is cached and serves several routes.
+    """
+    read = lines.select(*keep, json_map(F.col(column)).alias("m"))
     fields = props(F.col("m"), ["event", "properties", "time", "project"])
-    return read_once(parsed, fields).drop("m")
+    rows = read_once(read, fields).drop("m")
+    return rows.withColumn(PARSED, json_map(F.col("properties"))) if parsed else rows
+
+
+def _property_map(events: DataFrame, column: str):
+    known = column == "properties" and PARSED in events.columns
+    return F.col(PARSED) if known else json_map(F.col(column))
 
 
 def with_properties(events: DataFrame, keys, column: str = "properties") -> DataFrame:
     """Add property columns (missing: empty text), reading the properties once."""
-    parsed = events.withColumn("__p", json_map(F.col(column)))
-    return read_once(parsed, props(F.col("__p"), keys)).drop("__p")
+    read = events.withColumn("__p", _property_map(events, column))
+    return read_once(read, props(F.col("__p"), keys)).drop("__p")
 
 
 def typed_events(lines: DataFrame, column: str = "line", columns=None, keep=()) -> DataFrame:
@@ -85,9 +101,9 @@ def history_events(
 
 def enriched(events: DataFrame, *fields: str) -> DataFrame:
     """Properties JSON with envelope fields put in, as column `value`."""
-    return events.withColumn(
-        "value", put_fields(F.col("properties"), **{f: F.col(f) for f in fields})
-    )
+    read = events.withColumn("__p", _property_map(events, "properties"))
+    value = put_fields(F.col("properties"), F.col("__p"), **{f: F.col(f) for f in fields})
+    return read.withColumn("value", value).drop("__p")
 
 
 def exploded_symbols(

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from clickloom.functions import clock
 from clickloom.operators import rules, schemas
-from clickloom.operators.parsing import enriched, with_properties
+from clickloom.operators.parsing import PARSED, enriched, with_properties
 
 VISIT_KEYS = [
     ("v1_element_content", "content"), ("v1_message_title", "title"),
@@ -165,7 +165,7 @@ def course_routes(events: DataFrame, envs: dict[str, str]) -> DataFrame:
 def behaviour_rows(events: DataFrame, project: str | None = None) -> DataFrame:
     """The 29-field behaviour record."""
     picked = of_project(events, project)
-    return with_properties(picked, schemas.BEHAVIOUR_PROPERTIES).drop("properties")
+    return with_properties(picked, schemas.BEHAVIOUR_PROPERTIES).drop("properties", PARSED)
 
 
 def _coded(column: str, codes: dict[str, str]) -> tuple[Column, Column]:

@@ -266,7 +266,7 @@ _HITS = {
 )
 def user_labels(spark, sf):
     t = Tables(spark, sf)
-    # Listed advisers: event types that ever had a very small value.
+    # Three of the five event types stand for listed advisers.
     advisers = t.table("events").where(F.col("event_type").isin("click", "view", "error")).select(
         F.col("event_type").alias("lcs_id")
     ).distinct()

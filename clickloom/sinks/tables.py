@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
@@ -164,13 +166,20 @@ def stream_console(df: DataFrame, checkpoint: str, mode: str = "update", trigger
 
 
 def fan_out_batch(steps: list[Callable[[DataFrame, int], None]]):
-    """foreachBatch function that parses a batch once and runs every step on it."""
+    """foreachBatch function that parses a batch once and runs every step on it.
+
+    The steps write to different places, so their jobs run side by side; the
+    batch fails if one of them fails.
+    """
 
     def run(batch: DataFrame, batch_id: int) -> None:
         batch.persist()
         try:
-            for step in steps:
-                step(batch, batch_id)
+            with ThreadPoolExecutor(len(steps)) as pool:
+                target = inheritable_thread_target(batch.sparkSession)
+                done = [pool.submit(target(step), batch, batch_id) for step in steps]
+                for future in done:
+                    future.result()
         finally:
             batch.unpersist()
 

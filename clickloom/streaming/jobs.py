@@ -90,8 +90,8 @@ def answers_step(path: str, envs: dict[str, str]):
 
 
 def run(records: DataFrame, steps, checkpoint: str, trigger: str | None = None) -> StreamingQuery:
-    """Parse once, run every step on the cached batch."""
-    events = parsing.envelope(records, "value")
+    """Parse line and properties once, run every step on the cached batch."""
+    events = parsing.envelope(records, "value", parsed=True)
     return (
         tables.stream_to(events, checkpoint, trigger)
         .foreachBatch(tables.fan_out_batch(steps))
