@@ -64,11 +64,12 @@ def property_columns(spark, sf):
                'track' AS type, 'd' || CAST(user_id AS VARCHAR) AS distinct_id, event,
                CAST(ms + 5 AS VARCHAR) AS _flush_time, '' AS map_id,
                CAST(user_id AS VARCHAR) AS user_id, '' AS recv_time, '' AS extractor,
-               '' AS project_id, project, '2' AS ver, '2024-01-10' AS dt
-        FROM a WHERE CAST(ts AS DATE) = DATE '2024-01-10'""",
+               '' AS project_id, project, '2' AS ver, strftime(ts, '%Y-%m-%d') AS dt
+        FROM a""",
 )
 def event_etl(spark, sf):
-    rows = warehouse.event_etl(Tables(spark, sf).app_lines, "2024-01-10")
+    lines = Tables(spark, sf).app_lines
+    rows = parsing.typed_events(lines, columns=schemas.LOG_COLUMNS, keep=("dt",))
     return rows.drop("lib", "properties")
 
 

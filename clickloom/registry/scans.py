@@ -310,7 +310,7 @@ def events_by_time(spark, sf):
 @query(
     "orders_per_day",
     """SELECT CAST(d AS DATE) AS day, count(o.o_orderkey) AS num
-       FROM generate_series(DATE '1997-01-01', DATE '1998-12-31', INTERVAL 1 DAY) g(d)
+       FROM generate_series(DATE '1995-01-01', DATE '2001-12-31', INTERVAL 1 DAY) g(d)
        LEFT JOIN orders o ON CAST(o.o_orderdate AS DATE) = CAST(d AS DATE)
        GROUP BY 1""",
 )
@@ -319,11 +319,8 @@ def orders_per_day(spark, sf):
 
     orders = Tables(spark, sf).table("orders")
     counted = (
-        orders.where(
-            "o_orderdate >= timestamp_ntz'1997-01-01' AND o_orderdate < timestamp_ntz'1999-01-01'"
-        )
-        .groupBy(F.col("o_orderdate").cast("date").alias("day"))
+        orders.groupBy(F.col("o_orderdate").cast("date").alias("day"))
         .agg(F.count("*").alias("num"))
     )
-    days = spark.range(1).select(F.explode(days_between("1997-01-01", "1998-12-31")).alias("day"))
+    days = spark.range(1).select(F.explode(days_between("1995-01-01", "2001-12-31")).alias("day"))
     return days.join(counted, "day", "left").select("day", F.coalesce("num", F.lit(0)).alias("num"))
