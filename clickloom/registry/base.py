@@ -23,7 +23,7 @@ ORACLES: dict[str, str] = {}
 
 ENVS = {"course": "prod", "course_test": "test"}
 COVER_ENVS = {"cover": "prod", "cover_test": "test"}
-FIRST_DAY, LAST_DAY, AS_OF = "2024-01-01", "2024-01-30", "2024-01-31"
+AS_OF = "2024-01-31"
 
 # (event, project, element content, element type) of each action.
 ACTIONS = [

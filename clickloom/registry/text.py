@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from clickloom.functions import words as W
 from clickloom.operators import bayes, keywords, learning, similarity
 from clickloom.plans import text as jobs
-from clickloom.registry.base import EVENT_CTE, WORDS_CTE, Tables, query
+from clickloom.registry.base import WORDS_CTE, Tables, query
 
 THRESHOLD = 0.8
 
@@ -27,7 +27,8 @@ def word_count(spark, sf):
               min(w) AS first_term, max(w) AS last_term
        FROM (SELECT doc_id, unnest(regexp_split_to_array(lower(text), '[^\\p{L}\\p{N}]+')) AS w
              FROM documents)
-       WHERE length(w) > 1 AND NOT regexp_matches(w, '^[0-9]+$') AND w NOT IN (SELECT DISTINCT unnest(regexp_split_to_array(lower(r_name), ' ')) FROM region)
+       WHERE length(w) > 1 AND NOT regexp_matches(w, '^[0-9]+$')
+         AND w NOT IN (SELECT DISTINCT unnest(regexp_split_to_array(lower(r_name), ' ')) FROM region)
        GROUP BY doc_id""",
 )
 def document_tokens(spark, sf):
