@@ -19,9 +19,15 @@ from pyspark.sql.types import LongType, StructField, StructType
 from clickloom.session import cut_lineage, shared_folder
 
 CAPITALS = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
-STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
-ROCKS = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+# The state is on disk; a store is closed once its batch is committed, and reserves no space ahead.
+STATE = {
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.unloadOnCommit": "true",
+    "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",
+}
 HASH, SIZE, KEEP, LOCATOR = "__digest", "__rows", "__keep", "__locator"
+SHA, VARIANT = "__sha", "__variant"
 
 
 def normalised(text: Column) -> Column:
@@ -56,7 +62,7 @@ def _groups(staged: DataFrame, folder: str) -> DataFrame:
     spark = staged.sparkSession
     kept = F.max(F.struct(KEEP, LOCATOR))
     state = (
-        spark.readStream.schema(staged.schema)
+        spark.readStream.schema(staged.schema)  # the columns it names, of those stored
         .parquet(f"{folder}/digests")
         .groupBy(HASH)
         .agg(F.count(F.lit(1)).alias(SIZE), kept.alias("__top"))
@@ -65,8 +71,9 @@ def _groups(staged: DataFrame, folder: str) -> DataFrame:
     def write(batch: DataFrame, number: int) -> None:
         batch.write.mode("overwrite").parquet(f"{folder}/groups/batch={number}")
 
-    before = spark.conf.get(STATE_STORE, None)
-    spark.conf.set(STATE_STORE, ROCKS)
+    before = {key: spark.conf.get(key, None) for key in STATE}
+    for key, value in STATE.items():
+        spark.conf.set(key, value)
     try:
         query = (
             state.writeStream.outputMode("update")
@@ -76,7 +83,8 @@ def _groups(staged: DataFrame, folder: str) -> DataFrame:
             .start()
         )
     finally:
-        spark.conf.unset(STATE_STORE) if before is None else spark.conf.set(STATE_STORE, before)
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
     query.awaitTermination()
     schema = StructType([*state.schema.fields, StructField("batch", LongType())])
     changes = spark.read.schema(schema).parquet(f"{folder}/groups")
@@ -95,48 +103,60 @@ def deduplicate(
     text: str = "text",
     digest: Callable[[Column], Column] = sha256_of,
 ) -> DataFrame:
-    """All rows of `docs` with keep_id, group_size, kept and text_sha256 added.
+    """(doc_id, keep_id, group_size, kept, text_sha256, locator): a row for each row of `docs`.
 
     Texts are equal when they are after lower-casing A-Z only; null counts as
     empty. Of equal texts the row with the largest id is kept; a null id is below
     all others. Rows alike in id and text are told apart by where they are
-    stored, and one of them is kept. An empty table gives an empty result.
-    Columns of the result's names are replaced.
+    stored, and one of them is kept. Other columns are left out; an empty table
+    gives an empty result.
     """
-    docs = docs.drop("keep_id", "group_size", "kept", "text_sha256")
-    rows = _located(docs).withColumns({HASH: digest(F.col(text)), KEEP: F.col(doc_id)})
-    folder = f"{shared_folder(docs.sparkSession)}/clickloom-dedup-{uuid.uuid4().hex}"
-    rows.select(HASH, KEEP, LOCATOR).write.parquet(f"{folder}/digests")
-    staged = docs.sparkSession.read.parquet(f"{folder}/digests")
-    groups = cut_lineage(_groups(staged, folder))
+    return _deduplicated(_located(docs), docs.sparkSession, doc_id, text, digest)
+
+
+def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """The rows of `docs` that stay, one of each text."""
+    located = _located(docs)
+    found = _deduplicated(located, docs.sparkSession, doc_id, text, sha256_of)
+    stays = found.where("kept").select(F.col("locator").alias(LOCATOR))
+    return located.join(stays, LOCATOR, "left_semi").select(docs.columns)
+
+
+def _deduplicated(located: DataFrame, spark, doc_id: str, text: str, digest) -> DataFrame:
+    folder = f"{shared_folder(spark)}/clickloom-dedup-{uuid.uuid4().hex}"
+    rows = located.withColumns({HASH: digest(F.col(text)), KEEP: F.col(doc_id)})
+    rows = rows.withColumn(SHA, F.col(HASH) if digest is sha256_of else sha256_of(F.col(text)))
+    rows.select(HASH, KEEP, LOCATOR, SHA).write.parquet(f"{folder}/digests")
+    staged = spark.read.parquet(f"{folder}/digests")
+    groups = cut_lineage(_groups(staged.select(HASH, KEEP, LOCATOR), folder))
     differing = _differing(rows, groups, text)
+    staged = staged.withColumn(VARIANT, F.lit(""))
+    groups = groups.withColumn(VARIANT, F.lit(""))
     if not differing.isEmpty():
-        groups = groups.join(differing, HASH, "left_anti").withColumn("__text", F.lit(None).cast("string"))
-        odd = rows.join(differing, HASH, "left_semi").withColumn("__text", normalised(F.col(text)))
-        odd = odd.groupBy(HASH, "__text").agg(
-            F.count(F.lit(1)).alias(SIZE), F.max(F.struct(KEEP, LOCATOR)).alias("__top")
+        # The rows of such digests are grouped by their text; the others stay as they are.
+        odd = rows.join(differing, HASH, "left_semi").withColumn(VARIANT, normalised(F.col(text)))
+        top = F.max(F.struct(KEEP, LOCATOR)).alias("__top")
+        own = odd.groupBy(HASH, VARIANT).agg(F.count(F.lit(1)).alias(SIZE), top)
+        own = own.select(HASH, SIZE, f"__top.{KEEP}", f"__top.{LOCATOR}", VARIANT)
+        groups = groups.join(differing, HASH, "left_anti").unionByName(own)
+        staged = staged.join(differing, HASH, "left_anti").unionByName(
+            odd.select(HASH, KEEP, LOCATOR, SHA, VARIANT)
         )
-        odd = odd.select(HASH, SIZE, f"__top.{KEEP}", f"__top.{LOCATOR}", "__text")
-        groups = groups.unionByName(odd)
-        groups = groups.withColumn("__text", F.coalesce("__text", F.lit("")))
-        is_odd = differing.withColumn("__odd", F.lit(True))
-        rows = rows.join(is_odd, HASH, "left").withColumn(
-            "__text", F.when(F.col("__odd"), normalised(F.col(text))).otherwise(F.lit(""))
-        ).drop("__odd")
-    on = [c for c in (HASH, "__text") if c in rows.columns]
     found = groups.withColumnsRenamed({KEEP: "keep_id", SIZE: "group_size", LOCATOR: "__kept_at"})
-    return (
-        rows.join(found, on)
-        .withColumn("kept", F.col(LOCATOR) == F.col("__kept_at"))
-        .withColumn("text_sha256", F.col(HASH) if digest is sha256_of else sha256_of(F.col(text)))
-        .select(*docs.columns, "keep_id", "group_size", "kept", "text_sha256")
+    return staged.join(found, [HASH, VARIANT]).select(
+        F.col(KEEP).alias("doc_id"), "keep_id", "group_size",
+        (F.col(LOCATOR) == F.col("__kept_at")).alias("kept"),
+        F.col(SHA).alias("text_sha256"), F.col(LOCATOR).alias("locator"),
     )
 
 
 def _differing(rows: DataFrame, groups: DataFrame, text: str) -> DataFrame:
     """Digests that stand for more than one text: full bytes against those at the locator."""
     hit = groups.where(F.col(SIZE) > 1).select(HASH, F.col(LOCATOR).alias("__kept_at"))
-    held = rows.join(hit, HASH).select(HASH, normalised(F.col(text)).alias("__own"), LOCATOR, "__kept_at")
+    # The texts are thinned out by a short key first; written, its size is known to the planner.
+    keys = cut_lineage(hit.select(F.xxhash64(HASH).alias("__key")).distinct())
+    thin = rows.withColumn("__key", F.xxhash64(HASH)).join(keys, "__key", "left_semi")
+    held = cut_lineage(thin.select(HASH, LOCATOR, normalised(F.col(text)).alias("__own")).join(hit, HASH))
     first = held.where(F.col(LOCATOR) == F.col("__kept_at")).select(HASH, F.col("__own").alias("__first"))
     others = held.where(F.col(LOCATOR) != F.col("__kept_at")).select(HASH, "__own")
     return cut_lineage(others.join(first, HASH).where(F.col("__own") != F.col("__first")).select(HASH).distinct())

@@ -105,7 +105,7 @@ def op8_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = exact_dedup.deduplicate(_table(spark, sf_dir, "documents").select("doc_id", "text"))
-    return found.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
+    return found.drop("locator")
 
 
 def op10_minhash_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:

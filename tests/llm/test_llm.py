@@ -470,17 +470,16 @@ def test_loss_mask_against_every_pair():
 def check_exact(rows, texts):
     groups = defaultdict(list)
     for doc, text in texts:
-        groups[lower(text)].append(doc)
-    assert len(rows) == len(texts)
+        groups[hashlib.sha256(lower(text).encode()).hexdigest()].append(doc)
+    assert Counter((r.doc_id, r.text_sha256) for r in rows) == Counter((d, s) for s, g in groups.items() for d in g)
     kept = Counter()
     for r in rows:
-        ids = groups[lower(r.text)]
+        ids = groups[r.text_sha256]
         known = [i for i in ids if i is not None]
         assert r.keep_id == (max(known) if known else None) and r.group_size == len(ids)
-        assert r.text_sha256 == hashlib.sha256(lower(r.text).encode()).hexdigest()
         if r.kept:
             assert r.doc_id == r.keep_id
-            kept[lower(r.text)] += 1
+            kept[r.text_sha256] += 1
     assert kept == Counter(dict.fromkeys(groups, 1))
 
 
@@ -494,6 +493,9 @@ def test_exact_duplicates(odd, weak):
 def test_exact_duplicates_of_a_table(docs, empty):
     check_exact(exact_dedup.deduplicate(docs).collect(), [(r.doc_id, r.text) for r in docs.collect()])
     assert exact_dedup.deduplicate(empty).count() == 0
+    kept = exact_dedup.keep_one(docs)
+    assert kept.columns == docs.columns
+    assert len({lower(r.text) for r in kept.collect()}) == kept.count() == len({lower(r.text) for r in docs.collect()})
 
 
 # 10 fingerprints
