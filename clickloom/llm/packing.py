@@ -13,6 +13,7 @@ from __future__ import annotations
 import os
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import islice
 
 import numpy as np
 import pandas as pd
@@ -27,7 +28,7 @@ from clickloom.session import cut_lineage
 
 CAPACITY = 2048
 END = 0
-WORDS_KEPT = 400_000  # words a worker remembers the ids of; then it starts afresh
+WORDS_KEPT = 400_000  # words a worker remembers the ids of; then it forgets the older half
 ROWS = 256
 
 PIECES = "doc_id long, piece int, start long, length long, ids binary, part int, number long"
@@ -46,30 +47,59 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
         self.known: dict[str, bytes] = {}
+        # Each character of a byte-level token stands for one byte.
+        vocabulary = self.tokenizer.get_vocab()
+        self.lengths = np.zeros(max(vocabulary.values()) + 1, np.int64)
+        for token, number in vocabulary.items():
+            self.lengths[number] = len(token)
+        blank = [chr(i) for i in range(0x110000) if chr(i).isspace()]
+        self.pairs = [c + " " for c in blank]
+        self.ascii_pairs = [p for p in self.pairs if p.isascii()]
 
     def _encode(self, texts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(x.ids, "<u4").tobytes() for x in found]
 
-    @staticmethod
-    def _words(text: str) -> list[str] | None:
-        """The text cut before each blank; None where white space could run over a cut."""
-        first, *rest = text.split(" ")
-        if (first and first[-1].isspace()) or any(not w or w[-1].isspace() for w in rest[:-1]):
-            return None
-        return [first, *[" " + w for w in rest]] if first else [" " + w for w in rest]
+    def _learn(self, words: list[str]) -> None:
+        """Encode new words, each after a blank, in one run; it is cut again by the tokens' lengths."""
+        apart = [w for w in words if not w or w[-1].isspace()]
+        self.known.update(zip(apart, self._encode([" " + w for w in apart]), strict=True))
+        run = [w for w in words if w and not w[-1].isspace()]
+        if not run:
+            return
+        held = self._encode([" " + " ".join(run)])[0]
+        ends = np.cumsum(self.lengths[np.frombuffer(held, "<u4")])
+        wanted = np.cumsum([len(w.encode("utf-8", "surrogatepass")) + 1 for w in run])
+        cuts = (4 * (np.searchsorted(ends, wanted) + 1)).tolist()
+        begins = [0, *cuts[:-1]]
+        self.known.update({w: held[a:b] for w, a, b in zip(run, begins, cuts, strict=True)})
+
+    def _joins(self, text: str) -> bool:
+        """Whether white space runs over a blank, so that the text can't be cut there."""
+        return any(pair in text for pair in (self.ascii_pairs if text.isascii() else self.pairs))
 
     def ids(self, texts: list[str]) -> list[bytes]:
-        cut = [self._words(t) for t in texts]
-        if len(self.known) > WORDS_KEPT:
-            self.known.clear()
-        new = list({w for words in cut if words for w in words} - self.known.keys())
-        self.known.update(zip(new, self._encode(new), strict=True))
+        """Ids of each text."""
         known = self.known
-        return [
-            self._encode([t])[0] if words is None else b"".join([known[w] for w in words])
-            for t, words in zip(texts, cut, strict=True)
-        ]
+        if len(known) > WORDS_KEPT:
+            for word in list(islice(known, WORDS_KEPT // 2)):
+                del known[word]
+        whole = {i for i, t in enumerate(texts) if self._joins(t)}
+        held: list[list[bytes | None]] = []
+        missing: list[list[tuple[int, str]]] = []
+        firsts = []
+        for i, text in enumerate(texts):
+            first, *words = text.split(" ") if i not in whole else [text]
+            found = list(map(known.get, words))
+            gaps = [(k, w) for k, (w, f) in enumerate(zip(words, found, strict=True)) if f is None] if None in found else []
+            held.append(found)
+            missing.append(gaps)
+            firsts.append(first)
+        self._learn(list({w for gaps in missing for _, w in gaps}))
+        for found, gaps in zip(held, missing, strict=True):
+            for k, w in gaps:
+                found[k] = known[w]
+        return [b"".join([first, *rest]) for first, rest in zip(self._encode(firsts), held, strict=True)]
 
 
 @lru_cache(maxsize=2)
