@@ -21,6 +21,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
+from clickloom.llm import batches
+
 BEGIN, FINISH = "<|im_start|>", "<|im_end|>"
 LEARNED = "assistant"
 _PLAIN = re.compile(r"<(\\*)\|")
@@ -139,11 +141,12 @@ def format_conversations(
         F.col(turn).alias("turn"), F.coalesce(F.col(role), F.lit("")).alias("role"),
         F.coalesce(F.col(text), F.lit("")).alias("text"),
     )
+    batches.small(rows.sparkSession)
     whole = rows.groupBy(F.col(conv_id).alias("conv_id")).agg(F.sort_array(F.collect_list(fields)).alias("turns"))
 
     @F.pandas_udf(FORMATTED)
-    def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
+    def run(series: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        for batch in series:
             out = []
             for turns in batch:
                 f = format_one([(t["role"], t["text"]) for t in turns], path)

@@ -11,7 +11,7 @@ from functools import lru_cache
 
 import numpy as np
 
-PIECE = 1 << 20  # characters handled at once: bounds the memory of a task
+PIECE = 1 << 18  # characters handled at once: bounds the memory of a task
 BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
 MIX = np.uint64(0xFF51AFD7ED558CCD)
 
@@ -90,7 +90,7 @@ class Hashes:
     """Hashes of spans of an array of numbers."""
 
     def __init__(self, values: np.ndarray):
-        size = 1 << max(21, int(len(values)).bit_length())
+        size = 1 << max(19, int(len(values)).bit_length())
         up, self.down = _powers(size)
         with np.errstate(over="ignore"):
             sums = np.cumsum((values.astype(np.uint64) + np.uint64(1)) * up[: len(values)])

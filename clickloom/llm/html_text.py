@@ -20,6 +20,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from clickloom.llm import batches
 from clickloom.llm.pages import labelled_pages
 
 BITS = 14
@@ -290,8 +291,9 @@ def extract(pages: DataFrame, model: Field, page: str = "html", name: str = "tex
     """
 
     @F.pandas_udf("string")
-    def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        for batch in batches:
+    def run(series: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for batch in series:
             yield pd.Series([main_text(p, model) for p in batch], dtype=object)
 
+    batches.small(pages.sparkSession)
     return pages.withColumn(name, run(F.col(page)))

@@ -17,7 +17,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clickloom.llm import codes
+from clickloom.llm import batches, codes
 
 UNKNOWN = "und"
 
@@ -150,10 +150,11 @@ def identify(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
     """
 
     @F.pandas_udf("lang_pred string, score double, rejected boolean")
-    def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
+    def run(series: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        for batch in series:
             yield predict(model, batch.tolist())
 
+    batches.small(docs.sparkSession)
     found = docs.withColumn("__language", run(F.col(text)))
     return found.withColumns(
         {n: F.col(f"__language.{n}") for n in ("lang_pred", "score", "rejected")}

@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window
 from tokenizers import Tokenizer
 
+from clickloom.llm import batches
 from clickloom.session import cut_lineage
 
 CAPACITY = 2048
@@ -116,11 +117,11 @@ def cut_lengths(total: int, capacity: int) -> list[tuple[int, int]]:
 def tokenised(docs: DataFrame, doc_id: str, text: str, path: str, capacity: int) -> DataFrame:
     """Pieces with their ids, written once; `number` counts a part's pieces of equal length."""
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         part, seen = TaskContext.get().partitionId(), np.zeros(capacity + 1, np.int64)
         end = np.array([END], "<u4").tobytes()
         coder = encoder(path)
-        for batch in batches:
+        for batch in frames:
             for at in range(0, len(batch), ROWS):
                 rows, out = batch.iloc[at : at + ROWS], []
                 ids = coder.ids([t or "" for t in rows["text"]])
@@ -133,6 +134,7 @@ def tokenised(docs: DataFrame, doc_id: str, text: str, path: str, capacity: int)
                 frame = pd.DataFrame(out, columns=["doc_id", "piece", "start", "length", "ids", "part", "number"])
                 yield frame.assign(doc_id=frame["doc_id"].astype("Int64"))
 
+    batches.small(docs.sparkSession)
     narrow = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
     return cut_lineage(narrow.mapInPandas(run, PIECES).withColumn("ids_crc32", F.crc32("ids")))
 

@@ -16,7 +16,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clickloom.llm import codes
+from clickloom.llm import batches, codes
 
 CAPITAL, SMALL, DIGIT, SAME = 1, 2, 3, 4
 
@@ -122,8 +122,9 @@ def score(docs: DataFrame, model: Model, text: str = "text", name: str = "score"
     """
 
     @F.pandas_udf("double")
-    def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        for batch in batches:
+    def run(series: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for batch in series:
             yield pd.Series(predict(model, batch.tolist()))
 
+    batches.small(docs.sparkSession)
     return docs.withColumn(name, run(F.col(text)))

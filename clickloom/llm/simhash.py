@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
+from clickloom.llm import batches
 from clickloom.llm.components import components
 from clickloom.session import cut_lineage
 
@@ -54,11 +55,12 @@ def fingerprints(docs: DataFrame, text: str = "text", words: int = 3, name: str
     """Add the fingerprint of each whole text as a (signed) long; null counts as empty."""
 
     @F.pandas_udf("long")
-    def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        for batch in batches:
+    def run(series: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for batch in series:
             found = np.array([fingerprint(t, words) for t in batch], np.uint64)
             yield pd.Series(found.view(np.int64))
 
+    batches.small(docs.sparkSession)
     return docs.withColumn(name, run(F.col(text)))
 
 
