@@ -12,6 +12,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 LENIENT = {"allowUnquotedFieldNames": "true", "allowSingleQuotes": "true"}
+TYPED = "map<string,variant>"
 MAP = "map<string,string>"
 
 
@@ -104,6 +105,12 @@ def wide_props(parsed: Column, keys, default: str = "") -> tuple[Column, Callabl
     return struct, over
 
 
+def merged_fields(text: Column, fields: Column) -> Column:
+    """JSON object text with the fields of a map of variants set; all others keep type and nesting."""
+    stored = F.coalesce(F.from_json(text, TYPED), F.create_map().cast(TYPED))
+    return F.to_json(F.map_concat(stored, fields))
+
+
 def put_fields(text: Column, parsed: Column | None = None, **fields: Column) -> Column:
     """JSON object text with extra text fields set, keeping the types of the other fields.
 
@@ -123,5 +130,5 @@ def put_fields(text: Column, parsed: Column | None = None, **fields: Column) ->
     for name in fields:
         clash = clash | F.map_contains_key(parsed, name)
     pairs = [x for n, c in fields.items() for x in (F.lit(n), c)]
-    rebuilt = F.to_json(F.map_concat(parsed, F.create_map(*pairs)))
+    rebuilt = merged_fields(text, F.create_map(*pairs).cast(TYPED))
     return F.when(F.size(parsed) == 0, extra).when(clash, rebuilt).otherwise(spliced)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clickloom.functions.jsonmap import MAP, json_map
+from clickloom.functions.jsonmap import TYPED, merged_fields
 from clickloom.operators import rules
 from clickloom.operators.routing import env_of
 from clickloom.operators.parsing import PARSED, with_properties
@@ -59,15 +59,16 @@ def page_flags(rows: DataFrame) -> DataFrame:
 def merge_flags(existing: DataFrame, flags: DataFrame) -> DataFrame:
     """Existing rows (env, ques_id, uid, ext_info, ques_relation_type) with the flags set.
 
-    Flags are added to the stored JSON; other fields stay; unknown pairs are inserted.
+    Flags are added to the stored JSON as the number 1; other fields keep their type and
+    nesting; unknown pairs are inserted.
     """
     keys = ["env", "ques_id", "uid"]
     set_now = F.map_filter(
-        F.create_map(*[x for n in FLAGS for x in (F.lit(n), F.col(n).cast("string"))]),
+        F.create_map(*[x for n in FLAGS for x in (F.lit(n), F.col(n).cast("int"))]),
         lambda _k, v: v.isNotNull(),
-    ).cast(MAP)
+    ).cast(TYPED)
     joined = existing.join(flags.withColumn("__hit", F.lit(True)), keys, "full")
-    merged = F.to_json(F.map_concat(json_map(F.col("ext_info")), set_now))
+    merged = merged_fields(F.col("ext_info"), set_now)
     return joined.select(
         *keys,
         F.when(F.col("__hit"), merged).otherwise(F.col("ext_info")).alias("ext_info"),

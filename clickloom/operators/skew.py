@@ -64,12 +64,6 @@ def salted_join(
     return salted_left.join(salted_right, [*keys, SALT], how).drop(SALT)
 
 
-def checked_broadcast(df: DataFrame, max_rows: int = 100_000) -> DataFrame:
-    """Broadcast only after counting that the frame is small; otherwise leave it to the planner."""
-    small = df.limit(max_rows + 1).count() <= max_rows
-    return F.broadcast(df) if small else df
-
-
 def split_hot(df: DataFrame, keys: list[str], spread: Column, max_rows: int) -> DataFrame:
     """Add a part number: 0 for ordinary groups, 0..n-1 for a group above `max_rows`.
 

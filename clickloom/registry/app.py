@@ -769,6 +769,11 @@ def answer_history(spark, sf):
                COALESCE(o.ques_id, f.ques_id) AS ques_id,
                CASE WHEN o.env IS NOT NULL THEN 'x' END AS kept,
                p1 AS enter_answer_page, p2 AS enter_score_page, p3 AS enter_course_sign_page,
+               '{{' || concat_ws(',',
+                 CASE WHEN o.env IS NOT NULL THEN '"kept":"x","n":1,"o":{{"a":[1]}},"b":true' END,
+                 CASE WHEN p1 = '1' THEN '"enter_answer_page":1' END,
+                 CASE WHEN p2 = '1' THEN '"enter_score_page":1' END,
+                 CASE WHEN p3 = '1' THEN '"enter_course_sign_page":1' END) || '}}' AS ext_info,
                CAST(CASE WHEN o.env IS NOT NULL THEN 7 ELSE 1 END AS INTEGER)
                  AS ques_relation_type
         FROM old o FULL JOIN f ON o.env = f.env AND o.uid = f.uid AND o.ques_id = f.ques_id""",
@@ -780,14 +785,14 @@ def answer_flags(spark, sf):
         .where(F.col("v1_element_content") == "快讯详情页访问")
         .select(
             F.lit("prod").alias("env"), F.col("v1_message_id").alias("ques_id"),
-            F.col("v1_uid").alias("uid"), F.lit('{"kept":"x"}').alias("ext_info"),
+            F.col("v1_uid").alias("uid"), F.lit('{"kept":"x","n":1,"o":{"a":[1]},"b":true}').alias("ext_info"),
             F.lit(7).alias("ques_relation_type"),
         )
         .distinct()
     )
     rows = jobs.answer_flags(t.app_events.drop("event_id"), existing, ENVS)
     shown = [F.get_json_object("ext_info", f"$.{n}").alias(n) for n in ["kept", *answers.FLAGS]]
-    return rows.select("env", "uid", "ques_id", *shown, "ques_relation_type")
+    return rows.select("env", "uid", "ques_id", *shown, "ext_info", "ques_relation_type")
 
 
 # ---- insurance ---------------------------------------------------------------

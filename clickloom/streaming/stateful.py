@@ -37,11 +37,17 @@ def use_rocksdb(spark) -> None:
         spark.conf.set(key, value)
 
 
+OPEN = "first bigint, last bigint, entered boolean, " + ", ".join(
+    f"{end}_{c} string" for end in ("first", "last") for c in CARRY
+)
+
+
 class LiveSessions(StatefulProcessor):
-    """Emits enter at the first row of a session and leave once the gap has passed.
+    """Emits enter once a session's first row is certain and leave once the gap has passed.
 
-    Rows of a session that arrive out of order move its bounds; the timer is set
-    to the last row plus the gap.
+    Rows may come in any order within the watermark's delay: the open sessions of
+    a key are a list, and a row opens one, extends one or joins two. Nothing is
+    emitted before the watermark rules out an earlier row.
     """
 
     def __init__(self, gap_ms: int = GAP_MS, linger_ms: int = LINGER_MS):
@@ -50,11 +56,7 @@ class LiveSessions(StatefulProcessor):
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.session = handle.getValueState(
-            "session",
-            "first bigint, last bigint, title string, content string, message_id string,"
-            " lcs_name string",
-        )
+        self.sessions = handle.getListState("sessions", OPEN)
 
     def _row(self, kind, key, values, ms, stay):
         return {
@@ -62,39 +64,65 @@ class LiveSessions(StatefulProcessor):
             **dict(zip(CARRY, values)), "ms": ms, "stay_time": stay,
         }
 
-    def _leave(self, key, state):
-        first, last, *values = state
-        stay = (last - first + self.linger_ms) // 1000
-        return self._row("leave_live", key, values, last + self.linger_ms, stay)
-
-    def handleInputRows(self, key, rows, timerValues):
-        batch = pd.concat(list(rows)).sort_values(["ms", *CARRY])
-        state = tuple(self.session.get()) if self.session.exists() else None
-        before = state
+    def _open(self):
+        """[(first, values), (last, values), entered] in time order."""
+        n = len(CARRY)
+        kept = [tuple(s) for s in self.sessions.get()]
+        return sorted([(s[0], *s[3:3 + n]), (s[1], *s[3 + n:]), s[2]] for s in kept)
+
+    def _timers(self, open_sessions):
+        return {t for first, last, entered in open_sessions
+                for t in (*([] if entered else [first[0]]), last[0] + self.gap_ms + 1)}
+
+    def _keep(self, open_sessions, before):
+        if open_sessions:
+            self.sessions.put([
+                (first[0], last[0], entered, *first[1:], *last[1:])
+                for first, last, entered in open_sessions
+            ])
+        else:
+            self.sessions.clear()
+        now = self._timers(open_sessions)
+        for t in before - now:
+            self.handle.deleteTimer(t)
+        for t in now - before:
+            self.handle.registerTimer(t)
+
+    def _joined(self, found):
+        """Sessions in time order; those within the gap of each other become one."""
         out = []
-        for row in batch.itertuples(index=False):
-            values = [getattr(row, c) for c in CARRY]
-            ms = int(row.ms)
-            if state is None or ms - state[1] > self.gap_ms:
-                if state is not None:
-                    out.append(self._leave(key, state))
-                state = (ms, ms, *values)
-                out.append(self._row("enter_live", key, values, ms, 0))
-            elif ms >= state[1]:
-                state = (state[0], ms, *values)
+        for first, last, entered in sorted(found):
+            if out and first[0] - out[-1][1][0] <= self.gap_ms:
+                out[-1] = [out[-1][0], max(out[-1][1], last), out[-1][2] or entered]
             else:
-                state = (min(state[0], ms), *state[1:])
-        self.session.update(state)
-        if before is not None:
-            self.handle.deleteTimer(before[1] + self.gap_ms + 1)
-        self.handle.registerTimer(state[1] + self.gap_ms + 1)
-        yield from _frame(out)
+                out.append([first, last, entered])
+        return out
+
+    def handleInputRows(self, key, rows, timerValues):
+        found = self._open()
+        before = self._timers(found)
+        for pdf in rows:  # each chunk is reduced before the next one is read
+            new = [[r, r, False] for r in zip(pdf["ms"].astype(int), *[pdf[c] for c in CARRY])]
+            found = self._joined(found + new)
+        self._keep(found, before)
+        yield from _frame([])
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
-        state = tuple(self.session.get()) if self.session.exists() else None
-        if state is not None and state[1] + self.gap_ms + 1 <= expiredTimerInfo.getExpiryTimeInMs():
-            self.session.clear()
-            yield from _frame([self._leave(key, state)])
+        now = expiredTimerInfo.getExpiryTimeInMs()
+        found = self._open()
+        before = self._timers(found) - {now}
+        out, stay = [], []
+        for first, last, entered in found:
+            if not entered and first[0] <= now:
+                out.append(self._row("enter_live", key, first[1:], first[0], 0))
+                entered = True
+            if last[0] + self.gap_ms + 1 <= now:
+                seconds = (last[0] - first[0] + self.linger_ms) // 1000
+                out.append(self._row("leave_live", key, last[1:], last[0] + self.linger_ms, seconds))
+            else:
+                stay.append([first, last, entered])
+        self._keep(stay, before)
+        yield from _frame(out)
 
     def close(self) -> None:
         pass
@@ -135,8 +163,9 @@ def closed_sessions(rows: DataFrame, delay: str = "10 seconds", gap: str = "15 s
 class ReadCounter(StatefulProcessor):
     """Counts a read when it is the first, or more than the gap after the last counted one.
 
-    The last counted time lives as long as it can still matter (time to live
-    past the gap; a longer pause counts anyway).
+    The chain has to be followed in time order, so times wait until the watermark
+    has passed them. The last counted time is forgotten once every later read
+    counts anyway.
     """
 
     def __init__(self, gap_ms: int = READ_GAP_MS):
@@ -145,28 +174,33 @@ class ReadCounter(StatefulProcessor):
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
         self.last = handle.getValueState("last", "ms bigint")
+        self.waiting = handle.getMapState("waiting", "ms bigint", "n int")
 
     def handleInputRows(self, key, rows, timerValues):
-        times = sorted({int(t) for pdf in rows for t in pdf["ms"]})
+        for pdf in rows:
+            for t in pdf["ms"].unique().tolist():
+                if not self.waiting.containsKey((t,)):
+                    self.waiting.updateValue((t,), (1,))
+                    self.handle.registerTimer(t)
+        yield from _frame([])
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
+        # Timers of a key come in the order of their times; those due by now are taken at once.
+        now = expiredTimerInfo.getExpiryTimeInMs()
         last = self.last.get()[0] if self.last.exists() else None
-        old = last
-        counted = 0
-        for t in times:
+        due = sorted(k[0] for k in self.waiting.keys() if k[0] <= now)
+        old, counted = last, 0
+        for t in due:
+            self.waiting.removeKey((t,))
             if last is None or t > last + self.gap_ms:
                 counted += 1
                 last = t
         if last != old:
             self.last.update((last,))
-            if old is not None:
-                self.handle.deleteTimer(old + self.gap_ms + 1)
             self.handle.registerTimer(last + self.gap_ms + 1)
-        if counted:
-            yield from _frame([{"message_id": key[0], "uid": key[1], "num": counted}])
-
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
-        # Event time has passed the gap: every later read counts, so nothing need be kept.
-        self.last.clear()
-        yield from _frame([])
+        elif last is not None and now > last + self.gap_ms and not due:
+            self.last.clear()
+        yield from _frame([{"message_id": key[0], "uid": key[1], "num": counted}] if counted else [])
 
     def close(self) -> None:
         pass

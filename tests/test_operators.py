@@ -355,9 +355,9 @@ def test_answer_flags_merge(spark):
                 "env string, ques_id string, uid string, ext_info string, ques_relation_type int")
     got = {r["ques_id"]: r for r in answers.merge_flags(old, answers.page_flags(found)).collect()}
     assert json.loads(got["q"]["ext_info"]) == {
-        "x": "1", "enter_answer_page": "1", "enter_course_sign_page": "1"}
+        "x": "1", "enter_answer_page": 1, "enter_course_sign_page": 1}
     assert got["q"]["ques_relation_type"] == 3
-    assert json.loads(got["new"]["ext_info"]) == {"enter_score_page": "1"}
+    assert json.loads(got["new"]["ext_info"]) == {"enter_score_page": 1}
     assert got["new"]["ques_relation_type"] == 1
     assert got["untouched"]["ext_info"] == ""
 
@@ -449,11 +449,6 @@ def test_oversized_text_comes_in_parts(spark):
     assert [r["part"] for r in cold] == [0] and len(cold[0]["text"].split("|")) == 100
 
 
-def test_checked_broadcast(spark):
-    plan = skew.checked_broadcast(spark.range(10), 5)._jdf.queryExecution().toString()
-    assert "broadcast" not in plan.lower()
-
-
 def test_upsert_rows(spark):
     target = frame(spark, [("a", 1, "t0"), ("b", 2, "t0")], "k string, v int, c_time string")
     source = frame(spark, [("b", 5, "t1"), ("c", 6, "t1"), ("c", 7, "t1")],
@@ -632,3 +627,15 @@ def test_segmenter_hook_and_stop_words(spark):
                           segmenter=lambda c: F.split(c, r"\|"))
     assert rows(keywords.token_arrays(got, ["doc_id"])) == [(1, ["ab", "cd", "ab"])]
     assert prop(F.col("m"), "k") is not None
+
+
+def test_stored_answers_keep_their_types(spark):
+    keys = "env string, ques_id string, uid string"
+    stored = '{"n":1,"o":{"a":[1]},"b":true,"s":"x"}'
+    existing = spark.createDataFrame([("p", "1", "u", stored, 1), ("p", "2", "u", None, 1)],
+                                     f"{keys}, ext_info string, ques_relation_type int")
+    flags = spark.createDataFrame([("p", "1", "u"), ("p", "2", "u")], keys)
+    flags = flags.withColumns({n: F.lit(1 if i == 0 else None).cast("int") for i, n in enumerate(answers.FLAGS)})
+    got = [json.loads(r.ext_info) for r in answers.merge_flags(existing, flags).orderBy("ques_id").collect()]
+    first = answers.FLAGS[0]
+    assert got == [{"n": 1, "o": {"a": [1]}, "b": True, "s": "x", first: 1}, {first: 1}]

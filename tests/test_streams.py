@@ -58,14 +58,14 @@ def visit(uid, ms, room="r"):
             "lcs_name": "n", "ms": ms}
 
 
-def test_live_sessions_stream_equals_batch(spark, tmp_path):
-    rnd = random.Random(3)
-    data = sorted(
-        (visit(f"u{rnd.randrange(6)}", 1_000_000 + rnd.randrange(600) * 1000) for _ in range(150)),
-        key=lambda r: r["ms"],
-    )
-    batches = [data[i:i + 30] for i in range(0, 150, 30)] + [[visit("end", 9_000_000)], [
-        visit("end", 9_100_000)]]
+def shuffled(data, delay_ms, rnd):
+    """Rows in an order that puts none behind a row more than the delay later."""
+    return sorted(data, key=lambda r: r["ms"] + rnd.randrange(delay_ms))
+
+
+def check_sessions(spark, tmp_path, data, step):
+    batches = [data[i:i + step] for i in range(0, len(data), step)]
+    batches += [[visit("end", 9_000_000)], [visit("end", 9_100_000)]]
     folder = write_files(tmp_path / "in", batches)
     out = stateful.stream_sessions(read_json(spark, folder, VISIT))
     got = collected(out, str(tmp_path / "out"), str(tmp_path / "cp")).where("uid <> 'end'")
@@ -75,6 +75,17 @@ def test_live_sessions_stream_equals_batch(spark, tmp_path):
     assert rows(shown) == rows(batch, "type", "uid", "title", "time", "stay_time")
 
 
+def test_live_sessions_stream_equals_batch_out_of_order(spark, tmp_path):
+    rnd = random.Random(3)
+    data = [visit(f"u{rnd.randrange(6)}", 1_000_000 + rnd.randrange(600) * 1000) for _ in range(150)]
+    check_sessions(spark, tmp_path, shuffled(data, 9_000, rnd), 30)
+
+
+def test_a_late_row_joins_two_sessions(spark, tmp_path):
+    times = [0, 10_000, 30_000, 22_000]
+    check_sessions(spark, tmp_path, [visit("u", 1_000_000 + t) for t in times], 2)
+
+
 def test_closed_sessions_stream(spark, tmp_path):
     data = [visit("u", 1_000_000), visit("u", 1_010_000), visit("u", 1_040_000)]
     folder = write_files(tmp_path / "in", [data, [visit("end", 9_000_000)], [visit("end", 9_200_000)]])
@@ -87,21 +98,28 @@ def test_closed_sessions_stream(spark, tmp_path):
 READ = "message_id string, uid string, ms bigint"
 
 
-def test_read_counter_stream_equals_batch(spark, tmp_path):
-    rnd = random.Random(5)
-    data = sorted(
-        ({"message_id": f"a{rnd.randrange(3)}", "uid": f"u{rnd.randrange(5)}",
-          "ms": 1_000_000 + rnd.randrange(900) * 1000} for _ in range(300)),
-        key=lambda r: r["ms"],
-    )
-    folder = write_files(tmp_path / "in", [data[i:i + 50] for i in range(0, 300, 50)])
+def check_reads(spark, tmp_path, data, step):
+    end = [[{"message_id": "end", "uid": "end", "ms": 9_000_000 + i * 1_000_000}] for i in range(2)]
+    folder = write_files(tmp_path / "in", [data[i:i + step] for i in range(0, len(data), step)] + end)
     out = stateful.stream_reads(read_json(spark, folder, READ))
-    got = collected(out, str(tmp_path / "out"), str(tmp_path / "cp"))
+    got = collected(out, str(tmp_path / "out"), str(tmp_path / "cp")).where("uid <> 'end'")
     per_article = got.groupBy("message_id").agg(F.sum("num").alias("num"))
     batch = reads.article_reads(spark.createDataFrame([tuple(r.values()) for r in data], READ))
     assert rows(per_article, "message_id", "num") == rows(batch, "message_id", "num")
 
 
+def test_read_counter_stream_equals_batch_out_of_order(spark, tmp_path):
+    rnd = random.Random(5)
+    data = [{"message_id": f"a{rnd.randrange(3)}", "uid": f"u{rnd.randrange(5)}",
+             "ms": 1_000_000 + rnd.randrange(900) * 1000} for _ in range(300)]
+    check_reads(spark, tmp_path, shuffled(data, 19_000, rnd), 50)
+
+
+def test_an_earlier_read_comes_late(spark, tmp_path):
+    times = [100_000, 90_000, 195_000]
+    check_reads(spark, tmp_path, [{"message_id": "a", "uid": "u", "ms": t} for t in times], 1)
+
+
 STATUS = "room string, uid string, status string, time string"
 
 
