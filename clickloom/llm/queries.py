@@ -23,6 +23,7 @@ from clickloom.llm import (
 
 # Bounds of the samples the classifiers learn from: texts of each class, characters of a text.
 PER_CLASS, MAX_CHARS = 2_000, 20_000
+TOXIC_PER_CLASS = 1_500
 QUALITY_AT, TOXIC_AT = 0.7, 0.5
 
 
@@ -81,7 +82,7 @@ def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     held_out = samples.in_fold(F.col("doc_id"), 5, 0)
     known = _table(spark, sf_dir, "labels").where(~held_out).select("doc_id", "toxic")
-    sample = samples.labelled_sample(docs, known, "toxic", PER_CLASS, MAX_CHARS)
+    sample = samples.labelled_sample(docs, known, "toxic", TOXIC_PER_CLASS, MAX_CHARS)
     model = toxicity.train(sample["text"].tolist(), sample["toxic"].tolist())
     return toxicity.score(docs, model).select(
         "doc_id", held_out.alias("held_out"), "score",

@@ -75,26 +75,35 @@ class _Vocabulary:
     """The distinct words of a sample, their buckets, and which words each text has."""
 
     def __init__(self, texts: list[str], settings: Settings):
-        word_hash, text_of, buckets, owner = [], [], [], []
+        none = np.zeros(0, np.uint64)
+        known, word_hash, text_of, owners, buckets = none, [none], [np.zeros(0, np.int32)], [none], [none.astype(np.int32)]
         for rows, part in codes.pieces(texts):
             stream, starts, ends, grams = _words(part, settings)
             if not len(starts):
                 continue
             h = codes.Hashes(stream.codes).spans(starts, ends)
             word_hash.append(h)
-            text_of.append(rows[stream.text_of(starts)])
+            text_of.append(rows[stream.text_of(starts)].astype(np.int32))
+            # The n-grams of a word are kept once, from where it is first met.
+            own, first = np.unique(h, return_index=True)
+            at = np.minimum(np.searchsorted(known, own), max(0, len(known) - 1))
+            new = known[at] != own if len(known) else np.ones(len(own), bool)
+            is_first = np.zeros(len(h), bool)
+            is_first[first[new]] = True
+            known = np.union1d(known, own[new])
             for word, bucket in grams:
-                owner.append(h[word])
-                buckets.append(bucket)
-        none = np.zeros(0, np.uint64)
-        known, at = np.unique(np.concatenate(word_hash or [none]), return_inverse=True)
-        pairs = np.unique(np.concatenate(text_of or [np.zeros(0, np.int64)]) * len(known) + at)
+                kept = is_first[word]
+                owners.append(h[word[kept]])
+                buckets.append(bucket[kept].astype(np.int32))
         self.size = len(known)
-        self.text, self.word = pairs // max(1, self.size), pairs % max(1, self.size)
-        owner = np.searchsorted(known, np.concatenate(owner or [none]))
-        bits = settings.bits
-        grams = np.unique((owner.astype(np.int64) << bits) | np.concatenate(buckets or [np.zeros(0, np.int64)]))
-        self.owner, self.bucket = grams >> bits, grams & ((1 << bits) - 1)
+        at = np.concatenate([np.searchsorted(known, h) for h in word_hash])
+        pairs = np.unique(np.concatenate(text_of).astype(np.int64) * max(1, self.size) + at)
+        del at, word_hash, text_of
+        self.text, self.word = (x.astype(np.int32) for x in np.divmod(pairs, max(1, self.size)))
+        owner = np.concatenate([np.searchsorted(known, h).astype(np.int32) for h in owners])
+        del owners
+        order = np.argsort(owner, kind="stable")
+        self.owner, self.bucket = owner[order], np.concatenate(buckets)[order]
         self.first = np.searchsorted(self.owner, np.arange(self.size + 1))
         self.count = np.maximum(np.diff(self.first), 1)
 
