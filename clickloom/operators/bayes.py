@@ -8,15 +8,10 @@ a part only for terms seen with the label, so unseen pairs need no row.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clickloom.operators.skew import heavy_keys, salted_join
-
-
-def in_train(key: Column, percent: int = 80) -> Column:
-    """Reproducible split on a hash of the id."""
-    return F.pmod(F.xxhash64(key), F.lit(100)) < percent
+from clickloom.operators.skew import heavy_keys, in_blocks, salted_join
 
 
 def train(
@@ -51,12 +46,10 @@ def train(
     return terms, priors
 
 
-def scores(
-    weights: DataFrame, terms: DataFrame, priors: DataFrame, doc: str, max_labels: int = 10_000
-) -> DataFrame:
+def scores(weights: DataFrame, terms: DataFrame, priors: DataFrame, doc: str) -> DataFrame:
     """(doc, label, score) for every label.
 
-    The list of labels rides along as one array; the model terms are joined
+    Documents meet the labels a block at a time; the model terms are joined
     with the few very common terms salted.
     """
     hot = heavy_keys(weights, ["term"])
@@ -66,13 +59,10 @@ def scores(
     per_label = gained.where(F.col("label").isNotNull()).groupBy(doc, "label").agg(
         F.sum(F.col("weight") * F.col("gain")).alias("gain")
     )
-    if priors.limit(max_labels + 1).count() > max_labels:
-        raise ValueError("too many labels to score each document against all")
-    packed = priors.agg(F.collect_list(F.struct("label", "prior", "denominator"))).scalar()
+    totals = weights.groupBy(doc).agg(F.sum("weight").alias("total"))
     base = (
-        weights.groupBy(doc)
-        .agg(F.sum("weight").alias("total"))
-        .withColumn("p", F.explode(packed))
+        in_blocks(totals, priors, "label", [doc])
+        .select(doc, "total", F.explode("entries").alias("p"))
         .select(doc, "total", "p.label", "p.prior", "p.denominator")
     )
     score = (

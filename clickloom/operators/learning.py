@@ -2,19 +2,16 @@
 
 from __future__ import annotations
 
-import pandas as pd
 from pyspark.ml import Pipeline
 from pyspark.ml.classification import NaiveBayes
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator, RegressionEvaluator
-from pyspark.ml.feature import IDF, CountVectorizer, HashingTF, StringIndexer, Tokenizer
+from pyspark.ml.feature import IDF, HashingTF
 from pyspark.ml.recommendation import ALS
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Limits and sizes of the models.
-VOCABULARY = 2_000_000
 SIMILARITY_FEATURES = 1 << 18
-LABEL_FEATURES = 500_000
 NEWS_FEATURES = 200_000
 DEMO_FEATURES = 20
 CLASSIFIER_MIN_DOCS = 3
@@ -29,18 +26,6 @@ def split_by_hash(df: DataFrame, key: Column, percent: int = 80, seed: int = 0):
     return df.where(slot < percent), df.where(slot >= percent)
 
 
-def count_features(words: str = "words", vocabulary: int = VOCABULARY, min_df: float = 0.0):
-    """Counts and idf in one fitted pipeline, so both share a vocabulary."""
-    return Pipeline(
-        stages=[
-            CountVectorizer(
-                inputCol=words, outputCol="rawFeatures", vocabSize=vocabulary, minDF=min_df
-            ),
-            IDF(inputCol="rawFeatures", outputCol="features"),
-        ]
-    )
-
-
 def hashed_features(words: str = "words", features: int = SIMILARITY_FEATURES, min_docs: int = 0):
     return Pipeline(
         stages=[
@@ -68,23 +53,6 @@ def stored_entries(vector: Column) -> Column:
     )
 
 
-def vocabulary_table(model, spark) -> DataFrame:
-    """(index, term) of a fitted count_features pipeline; at most VOCABULARY rows."""
-    terms = model.stages[0].vocabulary
-    return spark.createDataFrame(pd.DataFrame({"index": range(len(terms)), "term": terms})).select(
-        F.col("index").cast("int"), "term"
-    )
-
-
-def vector_top_terms(model, words: DataFrame, key: str, n: int = 20) -> DataFrame:
-    """The n heaviest terms of each document by a fitted count_features pipeline."""
-    entries = model.transform(words).select(key, F.inline(stored_entries(F.col("features"))))
-    order = Window.partitionBy(key).orderBy(F.desc("value"), "index")
-    top = entries.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= n)
-    named = top.join(vocabulary_table(model, words.sparkSession), "index")
-    return named.select(key, "term", F.col("value").alias("weight"), "rank")
-
-
 def text_classifier(features: int = SIMILARITY_FEATURES, min_docs: int = CLASSIFIER_MIN_DOCS):
     """Hashed tf-idf and naive Bayes as one pipeline: the test rows reuse the trained idf."""
     return Pipeline(
@@ -95,18 +63,6 @@ def text_classifier(features: int = SIMILARITY_FEATURES, min_docs: int = CLASSIF
     )
 
 
-def multi_label_classifier(features: int = LABEL_FEATURES):
-    """Label text -> index, words, hashed tf-idf, naive Bayes."""
-    return Pipeline(
-        stages=[
-            StringIndexer(inputCol="label_str", outputCol="label", handleInvalid="skip"),
-            Tokenizer(inputCol="total_words", outputCol="words"),
-            *hashed_features("words", features).getStages(),
-            NaiveBayes(smoothing=1.0),
-        ]
-    )
-
-
 def accuracy(predictions: DataFrame) -> float:
     return MulticlassClassificationEvaluator(metricName="accuracy").evaluate(predictions)
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from clickloom.functions.jsonmap import json_map, prop
 from clickloom.operators import rules
-from clickloom.operators.skew import joined_text
+from clickloom.operators.skew import PARTS, joined_text
 from clickloom.operators.parsing import with_properties
 
 
@@ -68,16 +68,14 @@ def window_viewers(
 
 def window_text(
     df: DataFrame, ts: Column, keys: list[str], value: Column, alias: str,
-    size: str, slide: str | None = None, start: str | None = None, max_rows: int = 100_000,
+    size: str, slide: str | None = None, start: str | None = None, parts: int = PARTS,
 ) -> DataFrame:
-    """All values of a window joined with "|" (sorted); oversized windows come in parts."""
+    """All values of a window joined with "|" (sorted), in parts by a hash of the value."""
     args = [a for a in (size, slide or (size if start else None), start) if a]
     rows = df.select(
         F.window(ts, *args)["start"].alias("window_start"), *keys, value.alias("__value")
     )
-    return joined_text(
-        rows, ["window_start", *keys], F.col("__value"), alias, "|", max_rows=max_rows
-    )
+    return joined_text(rows, ["window_start", *keys], F.col("__value"), alias, "|", parts=parts)
 
 
 def status_rows(lines: DataFrame, column: str = "value") -> DataFrame:

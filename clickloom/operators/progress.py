@@ -105,10 +105,10 @@ def watch_progress(marks: DataFrame, schedule: DataFrame) -> DataFrame:
 
 
 def item_schedule(items: DataFrame, notices: DataFrame) -> DataFrame:
-    """Course item -> start and end of its notice (both tables have one row per id)."""
-    first = notices.select(
-        F.col("id").alias("circle_notice_id"), "start_time", "end_time"
-    ).dropDuplicates(["circle_notice_id"])
+    """Course item -> start and end of its notice (of several rows of a notice the earliest)."""
+    first = notices.groupBy(F.col("id").alias("circle_notice_id")).agg(
+        F.min(F.struct("start_time", "end_time")).alias("n")
+    ).select("circle_notice_id", "n.*")
     return items.join(first, "circle_notice_id", "left").select(
         F.col("id").alias("item"), "start_time", "end_time"
     )

@@ -18,62 +18,40 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 GAP_MS = 100_000
 NEVER = -(2**62)
-SMALL = 16  # slices up to this many times are solved by expressions alone
-
-LINES = "array<struct<upto:bigint,exit:bigint,n:bigint>>"
-
-
-def _lines_by_expression(times: Column, gap: Column) -> Column:
-    """Transition table of a small slice: one line per possible first counted time."""
-
-    def follow(start: Column) -> Column:
-        zero = F.struct(start.alias("exit"), F.lit(1).cast("bigint").alias("n"))
-
-        def step(acc, t):
-            counts = t > acc["exit"] + gap
-            return F.struct(
-                F.when(counts, t).otherwise(acc["exit"]).alias("exit"),
-                F.when(counts, acc["n"] + 1).otherwise(acc["n"]).alias("n"),
-            )
-
-        end = F.aggregate(times, zero, step)
-        return F.struct(
-            (start - gap - 1).alias("upto"), end["exit"].alias("exit"), end["n"].alias("n")
-        )
-
-    return F.transform(times, follow).cast(LINES)
 
 
 def _lines_of(times: np.ndarray, gap: int, slice_end_of_entries: int):
-    """The same for a large slice, in one backward pass."""
+    """Transition table of a slice: a line for each possible first counted time.
+
+    Every time points to the next one that would count after it; the pointers
+    are doubled until all have left the slice.
+    """
     size = len(times)
-    following = np.searchsorted(times, times + gap, side="right")
-    leave = times.copy()
-    count = np.ones(size, dtype=np.int64)
-    for i in range(size - 1, -1, -1):
-        j = following[i]
-        if j < size:
-            leave[i] = leave[j]
-            count[i] = count[j] + 1
+    if not size:
+        return []
+    following = np.append(np.searchsorted(times, times + gap, side="right"), size)
+    leave = np.append(times, 0)
+    count = np.append(np.ones(size, dtype=np.int64), 0)
+    while following[0] < size:
+        inside = following < size
+        leave = np.where(inside, leave[following], leave)
+        count = count + count[following]
+        following = following[following]
     # Entry times lie before the slice, so no start beyond its first gap (plus one) is needed.
     starts = min(size, int(np.searchsorted(times, slice_end_of_entries, side="left")) + 1)
-    lines = []
-    for i in range(starts):
-        line = (int(times[i] - gap - 1), int(leave[i]), int(count[i]))
-        if lines and lines[-1][1:] == line[1:]:
-            lines[-1] = line
-        else:
-            lines.append(line)
-    return lines
+    leave, count = leave[:starts], count[:starts]
+    last = np.append((leave[1:] != leave[:-1]) | (count[1:] != count[:-1]), True)
+    upto = times[:starts] - gap - 1
+    return [(int(u), int(e), int(n)) for u, e, n in zip(upto[last], leave[last], count[last])]
 
 
-def _large_lines(gap_ms: int, slice_ms: int):
+def _lines(gap_ms: int, slice_ms: int):
     schema = T.ArrayType(
         T.StructType(
             [T.StructField(n, T.LongType()) for n in ("upto", "exit", "n")]
@@ -96,7 +74,6 @@ def counted_reads(
     ms: str = "ms",
     gap_ms: int = GAP_MS,
     slice_ms: int | None = None,
-    small: int = SMALL,
 ) -> DataFrame:
     """Number of counted reads per key, exact for any key size."""
     slice_ms = slice_ms or 8 * gap_ms
@@ -106,13 +83,8 @@ def counted_reads(
     slices = reads.groupBy(*keys, slice_no).agg(
         F.array_sort(F.collect_set(F.col(ms))).alias("__times")
     )
-    gap = F.lit(gap_ms).cast("bigint")
-    few = F.size("__times") <= small
-    solved = slices.where(few).select(
-        *keys, "__slice", _lines_by_expression(F.col("__times"), gap).alias("__lines")
-    )
-    large = slices.where(~few).select(
-        *keys, "__slice", _large_lines(gap_ms, slice_ms)("__times", "__slice").alias("__lines")
+    solved = slices.select(
+        *keys, "__slice", _lines(gap_ms, slice_ms)("__times", "__slice").alias("__lines")
     )
 
     def chain(acc, part):
@@ -128,8 +100,7 @@ def counted_reads(
         F.collect_list(F.struct(F.col("__slice").alias("no"), F.col("__lines").alias("lines")))
     )
     return (
-        solved.unionByName(large)
-        .groupBy(*keys)
+        solved.groupBy(*keys)
         .agg(parts.alias("__parts"))
         .select(*keys, F.aggregate("__parts", start, chain)["n"].alias("num"))
     )

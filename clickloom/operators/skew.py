@@ -6,17 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 SALT = "__salt"
-PART = "__part"
-
-
-def spread_small(df: DataFrame) -> DataFrame:
-    """Spread an input that comes in fewer splits than there are cores over all of them.
-
-    Only a small input has that few splits, so the shuffle is small too; a large
-    one keeps its splits and is not moved.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if 0 < df.rdd.getNumPartitions() < cores else df
+PARTS = 16
 
 
 def heavy_keys(df: DataFrame, keys: list[str], ways: int = 64) -> DataFrame:
@@ -64,31 +54,32 @@ def salted_join(
     return salted_left.join(salted_right, [*keys, SALT], how).drop(SALT)
 
 
-def split_hot(df: DataFrame, keys: list[str], spread: Column, max_rows: int) -> DataFrame:
-    """Add a part number: 0 for ordinary groups, 0..n-1 for a group above `max_rows`.
+def in_blocks(
+    rows: DataFrame, listed: DataFrame, key: str, spread: list[str], block: int = 256, slots: int = 16
+) -> DataFrame:
+    """Every row with every row of a stated list, a block of the list at a time.
 
-    A result built per (keys, part) then never gathers more than about
-    `max_rows` rows; the parts together hold the whole group.
+    The list is cut into blocks of about `block` rows by a hash of `key`. A row
+    goes once to each block, which comes as the array `entries`; `slots` copies
+    of a block share its rows out. The join is on block and slot, however long
+    the list is.
     """
-    sizes = (
-        df.groupBy(*keys)
-        .agg(F.count("*").alias("__n"))
-        .where(F.col("__n") > max_rows)
-        .withColumn("__parts", F.ceil(F.col("__n") / max_rows).cast("int"))
-        .drop("__n")
+    blocks = F.greatest(F.lit(1), F.ceil(listed.agg(F.count("*")).scalar() / block)).cast("int")
+    entry = F.struct(*listed.columns)
+    packed = (
+        listed.groupBy(F.pmod(F.xxhash64(key), blocks).cast("int").alias("__block"))
+        .agg(F.collect_list(entry).alias("entries"))
+        .withColumn("__slot", F.explode(F.sequence(F.lit(0), F.lit(slots - 1))))
     )
-    return (
-        df.join(sizes, keys, "left")
-        .withColumn(
-            PART,
-            F.when(
-                F.col("__parts").isNotNull(), F.pmod(F.xxhash64(spread), F.col("__parts"))
-            )
-            .otherwise(F.lit(0))
-            .cast("int"),
-        )
-        .drop("__parts")
+    sent = rows.withColumn("__block", F.explode(F.sequence(F.lit(0), blocks - 1))).withColumn(
+        "__slot", F.pmod(F.xxhash64(*spread), F.lit(slots)).cast("int")
     )
+    return sent.join(packed, ["__block", "__slot"]).drop("__block", "__slot")
+
+
+def value_counts(df: DataFrame, keys: list[str], value: Column, alias: str = "value") -> DataFrame:
+    """(keys, value, num): the values of each group as rows, for groups of any size."""
+    return df.groupBy(*keys, value.cast("string").alias(alias)).agg(F.count("*").alias("num"))
 
 
 def joined_text(
@@ -98,19 +89,21 @@ def joined_text(
     alias: str,
     separator: str,
     distinct: bool = False,
-    max_rows: int = 100_000,
+    parts: int = PARTS,
 ) -> DataFrame:
-    """Sorted values of each group joined into one text; oversized groups come in parts."""
-    narrow = df.select(*keys, value.cast("string").alias("__v"))
-    if distinct:
-        narrow = narrow.distinct()
-        spread = F.col("__v")
-    else:
-        narrow = narrow.withColumn("__i", F.monotonically_increasing_id())
-        spread = F.col("__i")
-    return (
-        split_hot(narrow, keys, spread, max_rows)
-        .groupBy(*keys, PART)
-        .agg(F.array_join(F.array_sort(F.collect_list("__v")), separator).alias(alias))
-        .withColumnRenamed(PART, "part")
+    """(keys, part, text): sorted values of each group, joined into a text for each part.
+
+    The part is a hash of the value alone, so every group is split alike, at
+    every size and on every retry; a part without values has no row. A null
+    value is left out. `parts` grows with the largest group a caller expects;
+    value_counts has the same content as rows.
+    """
+    counted = value_counts(df, keys, value, "__v").where(F.col("__v").isNotNull())
+    digits = F.conv(F.substring(F.md5("__v"), 1, 8), 16, 10).cast("bigint")
+    part = F.pmod(digits, F.lit(parts)).cast("int").alias("part")
+    again = F.lit(1) if distinct else F.col("num").cast("int")
+    held = counted.select(*keys, part, F.struct("__v", again.alias("num")).alias("__x"))
+    repeated = F.transform(
+        F.array_sort(F.collect_list("__x")), lambda x: F.array_repeat(x["__v"], x["num"])
     )
+    return held.groupBy(*keys, "part").agg(F.array_join(F.flatten(repeated), separator).alias(alias))

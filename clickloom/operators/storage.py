@@ -81,8 +81,15 @@ def salted_layout(cells: DataFrame) -> DataFrame:
     )
 
 
+def of_salt(table: DataFrame, letter: str | Column) -> DataFrame:
+    """A table laid out by salt is read in that one folder."""
+    if "salt" not in table.columns or (isinstance(letter, str) and not letter):
+        return table
+    return table.where(F.col("salt") == letter)
+
+
 def scan_prefix(table: DataFrame, prefix: str, key: str = "row_key") -> DataFrame:
-    return table.where(F.col(key).startswith(prefix))
+    return of_salt(table, prefix[:1]).where(F.col(key).startswith(prefix))
 
 
 def scan_salted_range(
@@ -102,6 +109,6 @@ def scan_salted_range(
 
 def get_row(table: DataFrame, bare_key: str, sep: str = "|", key: str = "row_key") -> DataFrame:
     """Point read by unsalted key; the salt is computed from it, so one key is looked up."""
-    salted = F.concat_ws(sep, rowkeys.salt_letter(rowkeys.text_salt(F.lit(bare_key))),
-                         F.lit(bare_key))
-    return table.where(F.col(key) == salted)
+    letter = rowkeys.salt_letter(rowkeys.text_salt(F.lit(bare_key)))
+    salted = F.concat_ws(sep, letter, F.lit(bare_key))
+    return of_salt(table, letter).where(F.col(key) == salted)

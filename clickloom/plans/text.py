@@ -35,15 +35,28 @@ def text_classifier(docs: DataFrame, text: Column, doc: str, labels: DataFrame,
     return bayes.predict(bayes.scores(weights, terms, priors, doc), doc)
 
 
-def classifier_accuracy(docs: DataFrame, text: Column, doc: str, labels: DataFrame,
-                        label: str = "label", percent: int = 80) -> DataFrame:
-    """Accuracy on the documents held out by the hash split."""
-    weights = cut_lineage(term_weights(docs, text, doc, min_df=3))
-    held = bayes.in_train(F.col(doc), percent)
-    terms, priors = bayes.train(weights, labels.where(held), doc, label)
-    rest = weights.where(~held)
-    predicted = bayes.predict(bayes.scores(rest, terms, priors, doc), doc)
-    return bayes.accuracy(predicted, labels.where(~held), doc, label)
+def held_out_predictions(docs: DataFrame, text: Column, doc: str, labels: DataFrame, train: Column,
+                         label: str = "label", min_df: int = 3) -> DataFrame:
+    """(doc, prediction) of labelled documents outside `train`, a condition on the id.
+
+    Vocabulary, document frequencies and counts come from the training documents
+    alone; other terms do not count. A document may have several labels, each a
+    row of `labels`; the prediction is the best one.
+    """
+    known = labels.where(F.col(label).isNotNull())
+    used = docs.join(known.select(doc).distinct(), doc, "left_semi")
+    tf = cut_lineage(keywords.term_counts(keywords.tokens(used, text, [doc]), [doc]))
+    idf = keywords.idf_table(tf.where(train), keywords.count_docs(used.where(train)), min_df)
+    weights = cut_lineage(keywords.tf_idf(tf, idf, [doc]))
+    terms, priors = bayes.train(weights.where(train), known.where(train), doc, label)
+    return bayes.predict(bayes.scores(weights.where(~train), terms, priors, doc), doc)
+
+
+def classifier_accuracy(docs: DataFrame, text: Column, doc: str, labels: DataFrame, train: Column,
+                        label: str = "label") -> DataFrame:
+    """Accuracy on the documents held out."""
+    predicted = held_out_predictions(docs, text, doc, labels, train, label)
+    return bayes.accuracy(predicted, labels.where(~train), doc, label)
 
 
 def recommendations(ratings: DataFrame, side: str = "users", percent: int = 80, seed: int = 7):

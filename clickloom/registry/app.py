@@ -12,7 +12,7 @@ from clickloom.operators import (
 from clickloom.plans import app as jobs
 from clickloom.plans import warehouse
 from clickloom.registry.base import (
-    APP_CTE, COVER_ENVS, ENVS, EVENT_CTE, Tables, query, time_text,
+    APP_CTE, COVER_ENVS, ENVS, EVENT_CTE, Tables, part_of, query, time_text,
 )
 
 GAP_6H = 6 * 3600 * 1000
@@ -400,8 +400,8 @@ def author_view_cells(spark, sf):
     f"""WITH {APP_CTE}, r AS (
           SELECT DISTINCT reverse(uid) AS row_key, msg FROM a
           WHERE event = 'LiveVisit' AND content = '视频直播播放' AND uid <> '')
-        SELECT row_key, CAST(0 AS INTEGER) AS part, string_agg(msg, '-' ORDER BY msg) AS extra_ids
-        FROM r GROUP BY row_key""",
+        SELECT row_key, {part_of('msg')} AS part, string_agg(msg, '-' ORDER BY msg) AS extra_ids
+        FROM r GROUP BY ALL""",
 )
 def user_live_rooms(spark, sf):
     return warehouse.user_live_rooms(Tables(spark, sf).app_events)

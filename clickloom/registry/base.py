@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from clickloom.functions import clock
 from clickloom.operators import parsing
-from clickloom.operators.skew import spread_small
+from clickloom.operators.skew import PARTS
 from clickloom.session import configure
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -104,15 +104,11 @@ class Tables:
     def table(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
 
-    def spread(self, name: str) -> DataFrame:
-        """For work that is heavy per row: a one-file table is spread over all cores."""
-        return spread_small(self.table(name))
-
     @cached_property
     def events(self) -> DataFrame:
         """Events with millis and k."""
         k = F.get_json_object("props", "$.k").cast("int")
-        return self.spread("events").withColumns({"ms": clock.to_millis(F.col("ts")), "k": k})
+        return self.table("events").withColumns({"ms": clock.to_millis(F.col("ts")), "k": k})
 
     @cached_property
     def app_lines(self) -> DataFrame:
@@ -173,7 +169,7 @@ class Tables:
 
     @cached_property
     def documents(self) -> DataFrame:
-        return self.spread("documents")
+        return self.table("documents")
 
 
 def _sql_list(i: int) -> str:
@@ -211,6 +207,11 @@ wt AS (SELECT tf.doc_id, tf.term, tf.tf, df.df,
        FROM tf JOIN df ON tf.term = df.term, nd)"""
 
 
+def part_of(value: str) -> str:
+    """SQL of the part that joined_text puts a value in."""
+    return f"CAST(CAST('0x' || substr(md5({value}), 1, 8) AS BIGINT) % {PARTS} AS INTEGER)"
+
+
 def time_text(ms: str) -> str:
     """SQL text of a millis expression, second precision."""
     return f"strftime(make_timestamp(({ms}) * 1000), '%Y-%m-%d %H:%M:%S')"

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from clickloom.functions import clock
 from clickloom.operators import counters, labels, online, rules
 from clickloom.plans import warehouse
-from clickloom.registry.base import APP_CTE, AS_OF, EVENT_CTE, Tables, query
+from clickloom.registry.base import APP_CTE, AS_OF, EVENT_CTE, Tables, part_of, query
 
 ORIGIN = "TIMESTAMP '2024-01-01'"
 
@@ -81,7 +81,7 @@ def active_keys_30s(spark, sf):
 @query(
     "window_values_joined",
     f"""SELECT time_bucket(INTERVAL 1 HOUR, ts, {ORIGIN}) AS window_start, event_type,
-               CAST(0 AS INTEGER) AS part,
+               {part_of('CAST(user_id AS VARCHAR)')} AS part,
                string_agg(CAST(user_id AS VARCHAR), '|' ORDER BY CAST(user_id AS VARCHAR))
                  AS users
         FROM events GROUP BY ALL""",
@@ -95,7 +95,7 @@ def window_values_joined(spark, sf):
     "day_members_utc8",
     f"""WITH {EVENT_CTE}
         SELECT time_bucket(INTERVAL 1 DAY, ts, TIMESTAMP '2023-12-31 16:00:00') AS window_start,
-               k, CAST(0 AS INTEGER) AS part,
+               k, {part_of('CAST(user_id AS VARCHAR)')} AS part,
                string_agg(CAST(user_id AS VARCHAR), '|' ORDER BY CAST(user_id AS VARCHAR))
                  AS users
         FROM e GROUP BY ALL""",

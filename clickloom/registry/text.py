@@ -214,19 +214,50 @@ def classifier_scores(spark, sf):
     return rows.select("doc_id", "label", F.round("score", 4).alias("score"))
 
 
+def _held_out(lab: str) -> str:
+    """SQL twin of held_out_predictions over lab (doc_id, label); ids ending in 8 and 9 are held out."""
+    return f"""lab AS ({lab}),
+tr AS (SELECT * FROM lab WHERE doc_id % 10 < 8),
+tok AS (
+  SELECT doc_id, term FROM (
+    SELECT doc_id, unnest(regexp_split_to_array(lower(text), '[^\\p{{L}}\\p{{N}}]+')) AS term
+    FROM documents WHERE doc_id IN (SELECT doc_id FROM lab)) WHERE term <> ''),
+tf AS (SELECT doc_id, term, count(*) AS tf FROM tok GROUP BY ALL),
+df AS (SELECT term, count(*) AS df FROM tf WHERE doc_id IN (SELECT doc_id FROM tr) GROUP BY term),
+nd AS (SELECT count(DISTINCT doc_id) AS n FROM tr),
+wm AS (SELECT tf.doc_id, tf.term, CASE WHEN df >= 3 THEN tf * ln((n + 1.0) / (df + 1.0)) ELSE 0 END
+         AS weight FROM tf JOIN df ON tf.term = df.term, nd),
+s AS (SELECT label, term, sum(weight) AS w FROM wm JOIN tr ON wm.doc_id = tr.doc_id GROUP BY ALL),
+tot AS (SELECT label, sum(w) AS w FROM s GROUP BY label),
+pri AS (SELECT tr.label, ln((count(*) + 1.0) / ((SELECT count(*) FROM tr)
+          + (SELECT count(DISTINCT label) FROM tr))) AS prior, any_value(coalesce(tot.w, 0)) AS w
+        FROM tr LEFT JOIN tot ON tr.label = tot.label GROUP BY tr.label),
+voc AS (SELECT count(*) AS v FROM df),
+sc AS (SELECT wm.doc_id, pri.label,
+              any_value(pri.prior) + sum(wm.weight * ln((COALESCE(s.w, 0) + 1.0)
+                / (pri.w + voc.v))) AS score
+       FROM wm CROSS JOIN pri CROSS JOIN voc
+       LEFT JOIN s ON s.label = pri.label AND s.term = wm.term
+       WHERE wm.doc_id % 10 >= 8 GROUP BY wm.doc_id, pri.label),
+p AS (SELECT doc_id, arg_max(label, score) AS prediction FROM sc GROUP BY doc_id)"""
+
+
+def _in_train():
+    return F.col("doc_id") % 10 < 8
+
+
 @query(
     "classifier_accuracy",
-    f"""WITH {WORDS_CTE}, {_BAYES},
-        p AS (SELECT doc_id, arg_max(label, score) AS prediction FROM sc GROUP BY doc_id)
+    f"""WITH {_held_out("SELECT doc_id, CAST(quality AS VARCHAR) AS label FROM labels WHERE quality IS NOT NULL")}
         SELECT round(avg(CASE WHEN p.prediction = lab.label THEN 1.0 ELSE 0.0 END), 6)
                  AS accuracy, count(*) AS n_rows
         FROM p JOIN lab ON p.doc_id = lab.doc_id""",
 )
 def classifier_accuracy(spark, sf):
+    """Learned from ids ending in 0 to 7, measured on the others."""
     t = Tables(spark, sf)
     labels = t.table("labels").select("doc_id", F.col("quality").alias("label"))
-    predicted = jobs.text_classifier(t.documents, F.col("text"), "doc_id", labels)
-    rows = bayes.accuracy(predicted, labels, "doc_id")
+    rows = jobs.classifier_accuracy(t.documents, F.col("text"), "doc_id", labels, _in_train())
     return rows.select(F.round("accuracy", 6).alias("accuracy"), "n_rows")
 
 
@@ -249,7 +280,47 @@ def probe_similarity(spark, sf):
     return rows.select("vec_id", "probe", F.round("cosine", 5).alias("cosine"))
 
 
-# ---- pyspark.ml pipelines (rows only) ----------------------------------------
+@query(
+    "count_vector_keywords",
+    """WITH tok AS (
+         SELECT doc_id, term FROM (
+           SELECT doc_id, unnest(regexp_split_to_array(lower(text), '[^\\p{L}\\p{N}]+')) AS term
+           FROM documents) WHERE length(term) > 1 AND NOT regexp_matches(term, '^[0-9]+$')),
+       tf AS (SELECT doc_id, term, count(*) AS tf FROM tok GROUP BY ALL),
+       df AS (SELECT term, count(*) AS df FROM tf GROUP BY term),
+       wt AS (SELECT doc_id, tf.term, tf.tf * ln(((SELECT count(*) FROM documents) + 1.0) / (df.df + 1.0))
+                AS weight FROM tf JOIN df ON tf.term = df.term)
+       SELECT doc_id, term, round(weight, 6) AS weight, CAST(rn AS INTEGER) AS rank FROM (
+         SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY round(weight, 9) DESC, term) AS rn
+         FROM wt) WHERE rn <= 20""",
+)
+def count_vector_keywords(spark, sf):
+    """Top terms by counts and idf over the whole vocabulary, which stays a table keyed by term."""
+    weights = jobs.term_weights(
+        Tables(spark, sf).documents, F.col("text"), "doc_id", W.LATIN_STOP_PATTERNS
+    )
+    top = keywords.top_terms(weights.withColumn("weight", F.round("weight", 9)), ["doc_id"])
+    return top.select("doc_id", "term", F.round("weight", 6).alias("weight"), "rank")
+
+
+@query(
+    "multi_label_model",
+    f"""WITH {_held_out('''SELECT doc_id, lang AS label FROM documents WHERE lang IS NOT NULL
+          UNION SELECT doc_id, source FROM documents WHERE source IS NOT NULL''')}
+        SELECT p.doc_id, lab.label AS label_str, p.prediction FROM p JOIN lab ON p.doc_id = lab.doc_id""",
+)
+def multi_label_model(spark, sf):
+    """Language and source as labels of a document, learned from the text alone."""
+    docs = Tables(spark, sf).documents
+    labels = docs.select("doc_id", F.explode(F.array("lang", "source")).alias("label"))
+    labels = labels.where(F.col("label").isNotNull()).distinct()
+    predicted = jobs.held_out_predictions(docs, F.col("text"), "doc_id", labels, _in_train())
+    return predicted.join(labels, "doc_id").select(
+        "doc_id", F.col("label").alias("label_str"), "prediction"
+    )
+
+
+# ---- pyspark.ml pipelines (rows only but for the totals) ----------------------
 
 
 def _words(t: Tables):
@@ -257,14 +328,6 @@ def _words(t: Tables):
     return keywords.token_arrays(rows, ["doc_id"])
 
 
-@query("count_vector_keywords")
-def count_vector_keywords(spark, sf):
-    """Top terms through a fitted vocabulary and idf model."""
-    words = _words(Tables(spark, sf))
-    model = learning.count_features().fit(words)
-    return learning.vector_top_terms(model, words, "doc_id")
-
-
 @query("hashed_features")
 def hashed_features(spark, sf):
     words = _words(Tables(spark, sf))
@@ -274,6 +337,22 @@ def hashed_features(spark, sf):
     )
 
 
+@query(
+    "hashed_feature_totals",
+    """SELECT doc_id, CAST(count(*) AS DOUBLE) AS total FROM (
+         SELECT doc_id, unnest(regexp_split_to_array(lower(text), '[^\\p{L}\\p{N}]+')) AS term
+         FROM documents) WHERE length(term) > 1 AND NOT regexp_matches(term, '^[0-9]+$')
+       GROUP BY doc_id""",
+)
+def hashed_feature_totals(spark, sf):
+    """Sum of all buckets of a document, which is the same for any hash."""
+    words = _words(Tables(spark, sf))
+    out = learning.hashed_features().fit(words).transform(words)
+    entries = learning.stored_entries(F.col("rawFeatures"))
+    total = F.aggregate(entries, F.lit(0.0), lambda acc, x: acc + x["value"])
+    return out.select("doc_id", total.alias("total"))
+
+
 @query("naive_bayes_model")
 def naive_bayes_model(spark, sf):
     t = Tables(spark, sf)
@@ -284,17 +363,6 @@ def naive_bayes_model(spark, sf):
     return model.transform(test).select("doc_id", "label", "prediction")
 
 
-@query("multi_label_model")
-def multi_label_model(spark, sf):
-    from clickloom.operators import parsing
-
-    line = F.concat_ws("|,|", "doc_id", F.concat_ws(",", "lang", "source"), "doc_id", "text", "lang")
-    rows = parsing.labelled_text(Tables(spark, sf).documents.select(line.alias("value")))
-    train, test = learning.split_by_hash(rows, F.col("id"), 80)
-    model = learning.multi_label_classifier(1 << 12).fit(train)
-    return model.transform(test).select("id", "label_str", "label", "prediction")
-
-
 def _ratings(t: Tables):
     return t.events.groupBy(
         F.col("user_id").cast("int").alias("user"), F.col("k").alias("item")

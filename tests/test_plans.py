@@ -4,14 +4,14 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
-from clickloom.operators import counters, labels, rules, skew
+from clickloom.operators import counters, labels, rules
 from clickloom.registry.base import Tables
 from clickloom.sources import events as sources
 
 QUERIES = entry.queries()
 # These fit a model while they are built.
-FITTED = {"count_vector_keywords", "hashed_features", "naive_bayes_model", "multi_label_model",
-          "recommended_items", "recommended_users"}
+FITTED = {"hashed_features", "hashed_feature_totals", "naive_bayes_model", "recommended_items",
+          "recommended_users"}
 
 
 def plan(df):
@@ -43,13 +43,6 @@ def test_scores_scan_the_labels_once(spark, tmp_path):
     assert plan(scores).count("ReadSchema") == 2
 
 
-def test_small_input_is_spread_and_large_is_not(spark, sf):
-    one = Tables(spark, sf).table("events")
-    assert skew.spread_small(one).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
-    many = spark.range(100, numPartitions=50)
-    assert skew.spread_small(many) is many
-
-
 @pytest.mark.parametrize("name", sorted(set(QUERIES) - FITTED))
 def test_no_cross_join(spark, sf, name):
     text = plan(QUERIES[name](spark, sf))
