@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from clickloom.functions import clock
 from clickloom.operators import answers, counters, parsing, progress, routing, schemas
 from clickloom.sinks import tables
+from clickloom.streaming import stateful
 
 
 def ingest(records: DataFrame, path: str, checkpoint: str, trigger: str | None = None,
@@ -33,13 +36,20 @@ def visits_step(path: str, project: str | None, tz: str = "UTC"):
 
 
 def counts_step(path: str, project: str | None, tz: str = "UTC"):
-    """Share counts per adviser and day, and push openings, as running totals."""
+    """Shares per adviser and day and per message, push openings and plays, as running totals."""
 
     def step(batch: DataFrame, batch_id: int) -> None:
-        shares = counters.shares_by_adviser(routing.share_rows(batch, project), tz)
+        shared = routing.share_rows(batch, project)
+        shares = counters.shares_by_adviser(shared, tz)
         tables.add_counts(shares, f"{path}/shares", batch_id, ["metric", "lcs_id", "day"])
         pushes = counters.count_per(routing.push_rows(batch), ["notice_id"])
         tables.add_counts(pushes, f"{path}/pushes", batch_id, ["notice_id"])
+        messages = counters.shares_by_message(shared)
+        tables.add_counts(messages, f"{path}/messages", batch_id, ["field"])
+        plays = routing.play_rows(batch, project).withColumn("ts", clock.millis_to_ts(F.col("ms")))
+        keys = ["type", "msg_id"]
+        windows = counters.count_per_window(plays, F.col("ts"), "10 minutes", keys)
+        tables.add_counts(windows, f"{path}/plays", batch_id, ["window_start", *keys])
 
     return step
 
@@ -53,6 +63,27 @@ def course_step(path: str, envs: dict[str, str], tee: str | None = None):
     return step
 
 
+def insurance_step(path: str, project: str | None, envs: dict[str, str], tee: str | None = None):
+    """The insurance routes as lists, each repeated under its tee, and the mirror per environment."""
+
+    def step(batch: DataFrame, batch_id: int) -> None:
+        routes = routing.cover_routes(batch, project).select(F.col("route").alias("list"), "value")
+        tables.append_lists(routes, f"{path}/routes", batch_id, tee)
+        copied = routing.mirror(batch, envs).select(F.col("env").alias("list"), "value")
+        tables.append_lists(copied, f"{path}/mirror", batch_id)
+
+    return step
+
+
+def td_step(path: str, project: str | None, tz: str = "UTC"):
+    def step(batch: DataFrame, batch_id: int) -> None:
+        rows = routing.td_detail(batch, project, tz)
+        out = rows.select(F.lit("td").alias("list"), F.to_json(F.struct("*")).alias("value"))
+        tables.append_lists(out, path, batch_id)
+
+    return step
+
+
 def marks_step(path: str, envs: dict[str, str]):
     """Watch marks of each batch in their own partition; readers take the distinct marks."""
 
@@ -71,6 +102,28 @@ def active_progress(marks: DataFrame, schedule: DataFrame, batch_id: int) -> Dat
     return progress.watch_progress(known, schedule)
 
 
+MARKS = "uid string, item string, env string, mode string, bucket bigint, batch int"
+PROGRESS = "uid string, item string, env string, percent double, times bigint"
+
+
+def progress_step(path: str, schedule: Callable[[SparkSession], DataFrame], envs: dict[str, str]):
+    """Marks of the batch, then the progress of everyone who got one; `schedule` gives item, start_ms, end_ms."""
+    keep = marks_step(f"{path}/marks", envs)
+
+    def step(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        keep(batch, batch_id)
+        # A replay sees the marks of its own and earlier batches only.
+        marks = spark.read.schema(MARKS).parquet(f"{path}/marks").where(F.col("batch") <= batch_id)
+        found = active_progress(marks, schedule(spark), batch_id)
+        tables.upsert_version(
+            found, f"{path}/progress", batch_id, ["uid", "item", "env"],
+            spark.createDataFrame([], PROGRESS),
+        )
+
+    return step
+
+
 def answers_step(path: str, envs: dict[str, str]):
     """History rows and the flag upsert of the answering pages."""
     schema = "env string, ques_id string, uid string, ext_info string, ques_relation_type int"
@@ -89,6 +142,40 @@ def answers_step(path: str, envs: dict[str, str]):
     return step
 
 
+def live_sessions(records: DataFrame, project: str | None, path: str, checkpoint: str,
+                  trigger: str | None = None, tz: str = "UTC", delay: str = "10 seconds") -> StreamingQuery:
+    """Enter and leave records of live rooms in the columns of the page visits, list "live".
+
+    Sessions keep state from batch to batch, so they are a query of their own,
+    with batch numbers of their own.
+    """
+    events = parsing.envelope(records, "value")
+    rows = routing.live_rows(events, project).where(F.col("ms").isNotNull())
+    found = stateful.stream_sessions(rows, delay)
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        shown = batch.withColumns(
+            {"time": clock.format_millis(F.col("ms"), tz=tz), "symbol": F.lit("")}
+        )
+        value = F.to_json(F.struct(*routing.VISIT_COLUMNS)).alias("value")
+        tables.append_lists(shown.select(F.lit("live").alias("list"), value), path, batch_id)
+
+    return tables.stream_to(found, checkpoint, trigger).foreachBatch(write).start()
+
+
+def article_reads(records: DataFrame, project: str | None, path: str, checkpoint: str,
+                  trigger: str | None = None) -> StreamingQuery:
+    """De-duplicated reads per article as running totals."""
+    events = parsing.envelope(records, "value")
+    rows = routing.article_rows(events, project).where(F.col("ms").isNotNull())
+    found = stateful.stream_reads(rows)
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        tables.add_counts(batch, path, batch_id, ["message_id"])
+
+    return tables.stream_to(found, checkpoint, trigger).foreachBatch(write).start()
+
+
 def run(records: DataFrame, steps, checkpoint: str, trigger: str | None = None) -> StreamingQuery:
     """Parse line and properties once, run every step on the cached batch."""
     events = parsing.envelope(records, "value", parsed=True)

@@ -1,6 +1,7 @@
 """Streams against their batch forms, replays, late rows."""
 
 import json
+import os
 import random
 import time
 
@@ -9,7 +10,8 @@ from pyspark.sql import functions as F
 
 from clickloom.functions import clock
 from clickloom.operators import answers, counters, online, progress, reads, routing, sessions
-from clickloom.registry.base import ENVS, Tables
+from clickloom.plans import app
+from clickloom.registry.base import COVER_ENVS, ENVS, Tables
 from clickloom.sinks import tables
 from clickloom.sources import streams
 from clickloom.streaming import jobs, stateful, windows
@@ -272,6 +274,81 @@ def test_app_job_fans_out_one_parsed_stream(spark, sf, tmp_path):
     assert flags.count() == answers.page_flags(answers.answer_rows(events, ENVS)).count() > 0
 
 
+def test_insurance_td_counts_and_progress_routes(spark, sf, tmp_path):
+    folder = _line_files(spark, sf, tmp_path)
+    out = str(tmp_path)
+    events = Tables(spark, sf).app_events.drop("event_id")
+    marks = progress.watch_marks(events, ENVS).withColumn("item", F.col("item").cast("string"))
+    span = marks.where("mode = 'live'").groupBy("item").agg(
+        F.min("bucket").alias("start_ms"), F.max("bucket").alias("end_ms"))
+    span.write.parquet(f"{out}/schedule")
+    steps = [
+        jobs.counts_step(f"{out}/counts", "app"),
+        jobs.insurance_step(f"{out}/cover", "cover", COVER_ENVS, tee=":copy"),
+        jobs.td_step(f"{out}/td", "app"),
+        jobs.progress_step(f"{out}/progress", lambda s: s.read.parquet(f"{out}/schedule"), ENVS),
+    ]
+    drain(jobs.run(streams.read_folder(spark, folder), steps, f"{out}/cp"))
+
+    plays = tables.read_counts(spark, f"{out}/counts/plays", ["window_start", "type", "msg_id"])
+    direct = app.content_plays(events, "app")
+    columns = ["window_start", "type", "msg_id", "num"]
+    assert rows(plays, *columns) == rows(direct, *columns) != []
+    per_message = tables.read_counts(spark, f"{out}/counts/messages", ["field"])
+    shared = counters.shares_by_message(routing.share_rows(events, "app"))
+    assert rows(per_message) == rows(shared.groupBy("field").agg(F.sum("num"))) != []
+
+    lists = tables.read_lists(spark, f"{out}/cover/routes")
+    direct = rows(routing.cover_routes(events, "cover"), F.col("route").alias("list"), "value")
+    assert rows(lists.where("list not like '%:copy'"), "list", "value") == direct != []
+    assert rows(lists.where("list like '%:copy'"), F.replace("list", F.lit(":copy"), F.lit("")), "value") == direct
+    copied = tables.read_lists(spark, f"{out}/cover/mirror")
+    assert rows(copied, "list", "value") == rows(routing.mirror(events, COVER_ENVS), "env", "value") != []
+    td = rows(routing.td_detail(events, "app").select(F.to_json(F.struct("*"))))
+    assert rows(tables.read_lists(spark, f"{out}/td"), "value") == td != []
+
+    done = tables.read_version(spark, f"{out}/progress/progress", None,
+                               spark.createDataFrame([], jobs.PROGRESS))
+    columns = ["uid", "item", "env", "percent", "times"]
+    direct = progress.watch_progress(marks, spark.read.parquet(f"{out}/schedule"))
+    assert rows(done, *columns) == rows(direct, *columns) != []
+
+
+def test_session_and_read_jobs_from_raw_lines(spark, sf, tmp_path):
+    t = Tables(spark, sf)
+    lines = [r["line"] for r in t.app_lines.orderBy("ts").collect()]
+    parsed = [json.loads(x) for x in lines]
+    ends = []
+    for i in range(2):  # rows far in the future move the watermark past all others
+        for name in ("视频直播页访问", "金股天下_文章访问"):
+            last = next(x for x in parsed if x["properties"]["v1_element_content"] == name)
+            late = {"userID": "end", "wx_uid": "end", "v1_message_title": "end", "v1_message_id": "end"}
+            ends.append(json.dumps({**last, "time": 4_000_000_000_000 + i * 10**9,
+                                    "properties": {**last["properties"], **late}}, ensure_ascii=False))
+    folder = tmp_path / "lines"
+    folder.mkdir()
+    half = len(lines) // 2
+    for i, part in enumerate([lines[:half], lines[half:], ends[:2], ends[2:]]):
+        path = folder / f"{i}.txt"
+        path.write_text("\n".join(part))
+        os.utime(path, (time.time() - 1000 + i,) * 2)
+    out = str(tmp_path)
+
+    def records():
+        return spark.readStream.option("maxFilesPerTrigger", 1).text(str(folder))
+
+    drain(jobs.live_sessions(records(), "app", f"{out}/live", f"{out}/cp1"))
+    drain(jobs.article_reads(records(), "app", f"{out}/reads", f"{out}/cp2"))
+    events = t.app_events.drop("event_id")
+    names = ["type", "uid", "title", "lcs_id", "time"]
+    got = tables.read_lists(spark, f"{out}/live").select(
+        F.from_json("value", ", ".join(f"{n} string" for n in names)).alias("v")).select("v.*")
+    assert rows(got.where("uid <> 'end'"), *names) == rows(app.live_sessions(events, "app"), *names) != []
+    counted = tables.read_counts(spark, f"{out}/reads", ["message_id"]).where("message_id <> 'end'")
+    direct = app.article_reads(events, "app")
+    assert rows(counted, "message_id", "num") == rows(direct, "message_id", "num") != []
+
+
 def test_progress_of_active_keys_only(spark):
     marks = spark.createDataFrame(
         [("u", "i", "prod", "live", 60_000, 0), ("u", "i", "prod", "play", 0, 1),
