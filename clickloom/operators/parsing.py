@@ -51,7 +51,8 @@ def with_properties(events: DataFrame, keys, column: str = "properties") -> Data
 def typed_events(lines: DataFrame, column: str = "line", columns=None, keep=()) -> DataFrame:
     """One text column per envelope key, by default in the order of the event table."""
     parsed = lines.select(*keep, json_map(F.col(column)).alias("m"))
-    return parsed.select(*props(F.col("m"), columns or schemas.EVENT_COLUMNS), *keep)
+    names = columns or schemas.EVENT_COLUMNS
+    return read_once(parsed, props(F.col("m"), names)).select(*names, *keep)
 
 
 def flat_events(lines: DataFrame, column: str = "line", keep=()) -> DataFrame:

@@ -49,14 +49,11 @@ def user_live_rooms(events: DataFrame) -> DataFrame:
     from clickloom.operators.skew import joined_text
 
     name, content = rules.LIVE_PLAY
-    props = F.col("properties")
-    user = F.get_json_object(props, "$.userID")
-    room = F.get_json_object(props, "$.v1_message_id")
-    picked = events.where(
-        (F.col("event") == name)
-        & (F.get_json_object(props, "$.v1_element_content") == content)
-        & (user != "")
-        & (room != "")
+    keys = ["userID", "v1_message_id", "v1_element_content"]
+    read = with_properties(events.where(F.col("event") == name), keys)
+    user, room = F.col("userID"), F.col("v1_message_id")
+    picked = read.where(
+        (F.col("v1_element_content") == content) & (user != "") & (room != "")
     ).select(rowkeys.reversed_key(user).alias("row_key"), room.alias("room"))
     return joined_text(picked, ["row_key"], F.col("room"), "extra_ids", "-", distinct=True)
 

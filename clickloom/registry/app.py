@@ -12,7 +12,7 @@ from clickloom.operators import (
 from clickloom.plans import app as jobs
 from clickloom.plans import warehouse
 from clickloom.registry.base import (
-    APP_CTE, COVER_ENVS, ENVS, EVENT_CTE, Tables, part_of, query, time_text,
+    APP_CTE, COVER_ENVS, ENVS, EVENT_CTE, ORACLES, Tables, part_of, query, time_text,
 )
 
 GAP_6H = 6 * 3600 * 1000
@@ -140,6 +140,27 @@ def history_etl(spark, sf):
     )
 
 
+@query(
+    "history_plain",
+    f"""WITH {EVENT_CTE}
+        SELECT CAST(event_id AS VARCHAR) AS _track_id, strftime(ts, '%Y-%m-%d %H:%M:%S.%g') AS time,
+               CAST(user_id AS VARCHAR) AS p_user, 'dev' || CAST(k AS VARCHAR) AS p_device,
+               CASE WHEN value > 50 THEN '1' ELSE '0' END AS p_first_time,
+               CASE WHEN event_type = 'signup' THEN '1' ELSE '' END AS p_first_day,
+               CAST(k AS VARCHAR) AS p_extra
+        FROM e""",
+)
+def history_plain(spark, sf):
+    """History lines whose flags and clock text are left as they are."""
+    rows = parsing.history_events(_history_lines(Tables(spark, sf)), convert=False)
+    p = json_map(F.col("properties"))
+    return rows.select(
+        "_track_id", "time", prop(p, "userID").alias("p_user"), prop(p, "deviceId").alias("p_device"),
+        prop(p, "$is_first_time").alias("p_first_time"),
+        prop(p, "$is_first_day").alias("p_first_day"), prop(p, "extra").alias("p_extra"),
+    )
+
+
 @query(
     "enriched_properties",
     f"""WITH {APP_CTE}
@@ -492,6 +513,14 @@ def live_sessions(spark, sf):
     return jobs.live_sessions(Tables(spark, sf).app_events, "app", GAP_6H)
 
 
+@query(
+    "visit_list",
+    f"SELECT * FROM ({ORACLES['page_visits']}) UNION ALL BY NAME SELECT * FROM ({ORACLES['live_sessions']})",
+)
+def visit_list(spark, sf):
+    return jobs.visit_list(Tables(spark, sf).app_events, "app", GAP_6H)
+
+
 @query(
     "gap_sessions",
     f"""WITH {EVENT_CTE}, {_session_sql('e', 'user_id', GAP_6H)}

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from clickloom.functions import words as W
 from clickloom.operators import bayes, keywords, learning, similarity
 from clickloom.plans import text as jobs
-from clickloom.registry.base import WORDS_CTE, Tables, query
+from clickloom.registry.base import EVENT_CTE, WORDS_CTE, Tables, query
 
 THRESHOLD = 0.8
 
@@ -377,3 +377,37 @@ def recommended_items(spark, sf):
 @query("recommended_users")
 def recommended_users(spark, sf):
     return jobs.recommendations(_ratings(Tables(spark, sf)), "items")[0]
+
+
+def _ranked(rows, key, other):
+    """Of each list: its length, distinct entries, first and last rank, whether scores fall with the rank."""
+    entries = F.array_sort(F.collect_list(F.struct("rank", "score")))
+    falling = F.zip_with(
+        F.slice("x", 1, F.greatest(F.size("x") - 1, F.lit(0))), F.slice("x", 2, F.size("x")),
+        lambda a, b: a["score"] >= b["score"],
+    )
+    held = rows.groupBy(key).agg(
+        F.count("*").alias("n"), F.count_distinct(other).alias("n_distinct"),
+        F.min("rank").cast("bigint").alias("first_rank"),
+        F.max("rank").cast("bigint").alias("last_rank"), entries.alias("x"),
+    )
+    return held.withColumn("falling", F.forall(falling, lambda ok: ok)).drop("x")
+
+
+def _ranked_sql(key: str, other: str) -> str:
+    return f"""WITH {EVENT_CTE}, n AS (SELECT least({learning.TOP_N}, count(DISTINCT {other})) AS n FROM e)
+      SELECT DISTINCT CAST({key} AS INTEGER) AS {{0}}, n.n, n.n AS n_distinct, 1 AS first_rank,
+             n.n AS last_rank, true AS falling FROM e, n"""
+
+
+@query("recommended_items_ranked", _ranked_sql("user_id", "k").format("\"user\""))
+def recommended_items_ranked(spark, sf):
+    """Every user has the ten best distinct items, in falling order."""
+    rows = jobs.recommendations(_ratings(Tables(spark, sf)), "users", percent=100)[0]
+    return _ranked(rows, "user", "item")
+
+
+@query("recommended_users_ranked", _ranked_sql("k", "user_id").format("item"))
+def recommended_users_ranked(spark, sf):
+    rows = jobs.recommendations(_ratings(Tables(spark, sf)), "items", percent=100)[0]
+    return _ranked(rows, "item", "user")

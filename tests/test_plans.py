@@ -11,7 +11,7 @@ from clickloom.sources import events as sources
 QUERIES = entry.queries()
 # These fit a model while they are built.
 FITTED = {"hashed_features", "hashed_feature_totals", "naive_bayes_model", "recommended_items",
-          "recommended_users"}
+          "recommended_users", "recommended_items_ranked", "recommended_users_ranked"}
 
 
 def plan(df):
@@ -43,6 +43,11 @@ def test_scores_scan_the_labels_once(spark, tmp_path):
     assert plan(scores).count("ReadSchema") == 2
 
 
+def test_cells_read_line_and_properties_once(spark, sf):
+    cells = QUERIES["event_cells"](spark, sf)
+    assert cells._jdf.queryExecution().executedPlan().toString().count("from_json(") == 2
+
+
 @pytest.mark.parametrize("name", sorted(set(QUERIES) - FITTED))
 def test_no_cross_join(spark, sf, name):
     text = plan(QUERIES[name](spark, sf))
