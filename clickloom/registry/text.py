@@ -299,8 +299,10 @@ def count_vector_keywords(spark, sf):
     weights = jobs.term_weights(
         Tables(spark, sf).documents, F.col("text"), "doc_id", W.LATIN_STOP_PATTERNS
     )
-    top = keywords.top_terms(weights.withColumn("weight", F.round("weight", 9)), ["doc_id"])
-    return top.select("doc_id", "term", F.round("weight", 6).alias("weight"), "rank")
+    # Ranked by rounded weights, so equal ones tie on both engines; shown from the unrounded ones.
+    ranked = weights.withColumns({"exact": F.col("weight"), "weight": F.round("weight", 9)})
+    top = keywords.top_terms(ranked, ["doc_id"])
+    return top.select("doc_id", "term", F.round("exact", 6).alias("weight"), "rank")
 
 
 @query(
