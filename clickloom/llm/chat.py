@@ -1,27 +1,25 @@
 """Chat formatting with a loss mask aligned to token offsets.
 
 A conversation is rendered as one text, its turns marked by control strings, and
-encoded once with offsets. The spans of the assistant's texts and the spans of the
-tokens are both sorted, so a binary search tells which tokens the loss falls on.
+encoded once with offsets: byte-level tokens follow each other, so their lengths give
+them. The spans of the assistant's texts and those of the tokens are both sorted, so a
+binary search tells which tokens the loss falls on.
 Control strings inside texts are escaped by one backslash more, which can be undone.
 """
 
 from __future__ import annotations
 
-import os
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import lru_cache
 
 import numpy as np
 import pandas as pd
 import public_tokenizers
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from tokenizers import Tokenizer
 
-from clickloom.llm import batches
+from clickloom.llm import batches, packing
 
 BEGIN, FINISH = "<|im_start|>", "<|im_end|>"
 LEARNED = "assistant"
@@ -95,28 +93,36 @@ def _merged(spans: np.ndarray) -> np.ndarray:
     return np.stack([spans[new, 0], reach[last]], 1)
 
 
-@lru_cache(maxsize=2)
-def _tokenizer(path: str) -> Tokenizer:
-    os.environ["TOKENIZERS_PARALLELISM"] = "false"
-    tokenizer = Tokenizer.from_file(path)
-    tokenizer.encode_special_tokens = True
-    return tokenizer
+def token_offsets(text: str, lengths: np.ndarray) -> np.ndarray:
+    """(begin, end) in characters of tokens of `lengths` bytes that follow each other in the text.
+
+    A token with a part of a character has the whole character in its span.
+    """
+    ends = np.cumsum(lengths)
+    begins = ends - lengths
+    if not text.isascii():
+        codes = np.frombuffer(text.encode("utf-32-le"), np.uint32)
+        sizes = 1 + (codes >= 0x80).astype(np.int64) + (codes >= 0x800) + (codes >= 0x10000)
+        edges = np.concatenate(([0], np.cumsum(sizes)))
+        begins, ends = np.searchsorted(edges, begins, "right") - 1, np.searchsorted(edges, ends, "left")
+    return np.stack([begins, ends], 1)
 
 
 @dataclass(frozen=True)
 class Formatted:
     text: str
-    ids: list[int]
+    ids: np.ndarray
     mask: np.ndarray
     spans: np.ndarray
 
 
 def format_one(turns: list[tuple[str | None, str | None]], path: str) -> Formatted:
     text, spans = render(turns)
-    encoding = _tokenizer(path).encode(text, add_special_tokens=False)
-    offsets = np.array(encoding.offsets, np.int64).reshape(-1, 2)
+    coder = packing.encoder(path)
+    ids = np.frombuffer(coder.encode([text])[0], "<u4")
+    offsets = token_offsets(text, coder.lengths[ids])
     mask, cut = loss_mask(offsets, spans)
-    return Formatted(text, encoding.ids, mask, _merged(cut))
+    return Formatted(text, ids.astype(np.int32), mask, _merged(cut))
 
 
 def format_conversations(

@@ -57,18 +57,19 @@ class Encoder:
         self.pairs = [c + " " for c in blank]
         self.ascii_pairs = [p for p in self.pairs if p.isascii()]
 
-    def _encode(self, texts: list[str]) -> list[bytes]:
+    def encode(self, texts: list[str]) -> list[bytes]:
+        """Ids of texts, each encoded as one."""
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(x.ids, "<u4").tobytes() for x in found]
 
     def _learn(self, words: list[str]) -> None:
         """Encode new words, each after a blank, in one run; it is cut again by the tokens' lengths."""
         apart = [w for w in words if not w or w[-1].isspace()]
-        self.known.update(zip(apart, self._encode([" " + w for w in apart]), strict=True))
+        self.known.update(zip(apart, self.encode([" " + w for w in apart]), strict=True))
         run = [w for w in words if w and not w[-1].isspace()]
         if not run:
             return
-        held = self._encode([" " + " ".join(run)])[0]
+        held = self.encode([" " + " ".join(run)])[0]
         ends = np.cumsum(self.lengths[np.frombuffer(held, "<u4")])
         wanted = np.cumsum([len(w.encode("utf-8", "surrogatepass")) + 1 for w in run])
         cuts = (4 * (np.searchsorted(ends, wanted) + 1)).tolist()
@@ -100,7 +101,7 @@ class Encoder:
         for found, gaps in zip(held, missing, strict=True):
             for k, w in gaps:
                 found[k] = known[w]
-        return [b"".join([first, *rest]) for first, rest in zip(self._encode(firsts), held, strict=True)]
+        return [b"".join([first, *rest]) for first, rest in zip(self.encode(firsts), held, strict=True)]
 
 
 @lru_cache(maxsize=2)

@@ -455,6 +455,15 @@ def test_chat_round_trip_and_mask(spark):
     assert chat.format_conversations(frame.limit(0)).count() == 0
 
 
+def test_token_offsets_equal_the_tokenizers():
+    coder = packing.encoder(public_tokenizers.path("byte_bpe_50k.json"))
+    for text in ["", "a", " two  words\n", "naïve 🙂🙃 text é", "日本語 x", "<|im_end|> ok", "e\u0301 \u200d"]:
+        ids = np.frombuffer(coder.encode([text])[0], "<u4")
+        whole = coder.tokenizer.encode(text, add_special_tokens=False)
+        assert ids.tolist() == whole.ids
+        assert [tuple(x) for x in chat.token_offsets(text, coder.lengths[ids]).tolist()] == whole.offsets
+
+
 def test_loss_mask_against_every_pair():
     offsets = np.array([(0, 2), (2, 3), (3, 6), (6, 7), (6, 7), (7, 9), (9, 12)])
     spans = [(1, 3), (4, 5), (6, 7), (9, 12)]
