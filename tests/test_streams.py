@@ -369,6 +369,30 @@ def test_replayed_batch_counts_once(spark, tmp_path):
     assert rows(tables.read_counts(spark, path, ["key"])) == [("a", 7), ("b", 1)]
 
 
+def test_many_batches_keep_the_number_of_folders(spark, tmp_path):
+    path, ring, seen = str(tmp_path / "counts"), 3, []
+    for batch in range(11):
+        delta = spark.createDataFrame([("a", 1), (f"k{batch}", 2)], "key string, num bigint")
+        for _ in range(2 if batch in (3, 5, 9) else 1):  # replays at the edge of a round and inside it
+            tables.add_counts(delta, path, batch, ["key"], ring=ring)
+        seen.append(len([p for p in (tmp_path / "counts").rglob("*") if p.is_dir()]))
+    expected = [("a", 11)] + sorted((f"k{b}", 2) for b in range(11))
+    assert rows(tables.read_counts(spark, path, ["key"], ring=ring)) == expected
+    assert seen[-1] == seen[6]
+
+
+def test_versions_keep_two_folders(spark, tmp_path):
+    path = str(tmp_path / "table")
+    empty = spark.createDataFrame([], "key string, v int")
+    for batch in (0, 1, 2, 5, 5, 6):
+        source = spark.createDataFrame([("a", batch), (f"k{batch}", batch)], "key string, v int")
+        tables.upsert_version(source, path, batch, ["key"], empty)
+    assert rows(tables.read_version(spark, path, None, empty)) == [
+        ("a", 6), ("k0", 0), ("k1", 1), ("k2", 2), ("k5", 5), ("k6", 6)]
+    assert rows(tables.read_version(spark, path, 6, empty))[0] == ("a", 5)
+    assert sorted(p.name for p in (tmp_path / "table").iterdir()) == ["marks", "version-0", "version-1"]
+
+
 def test_replayed_upsert_changes_nothing(spark, tmp_path):
     path = str(tmp_path / "table")
     empty = spark.createDataFrame([], "key string, v int")
