@@ -52,12 +52,24 @@ def shared_folder(spark: SparkSession) -> str:
     return made
 
 
+def intermediates(spark: SparkSession) -> str:
+    """The folder of this application's written intermediates."""
+    return f"{shared_folder(spark)}/clickloom-{spark.sparkContext.applicationId}"
+
+
+def drop_intermediates(spark: SparkSession) -> None:
+    """Delete what cut_lineage has written; frames built on it can't be read any more."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(intermediates(spark))
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Write the frame as a table in the shared folder and go on from there.
 
     It is computed once (a checkpoint would run the plan twice), later reads
-    prune its columns, and it survives the loss of any executor.
+    prune its columns, and it survives the loss of any executor. A caller that is
+    done with its results frees the space by drop_intermediates.
     """
-    path = f"{shared_folder(df.sparkSession)}/clickloom-{uuid.uuid4().hex}"
+    path = f"{intermediates(df.sparkSession)}/{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

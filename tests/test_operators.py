@@ -8,6 +8,7 @@ import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
+from clickloom import session
 from clickloom.functions import clock, rowkeys, words
 from clickloom.functions.jsonmap import json_map, prop, put_fields
 from clickloom.operators import (
@@ -654,3 +655,12 @@ def test_stored_answers_keep_their_types(spark):
     got = [json.loads(r.ext_info) for r in answers.merge_flags(existing, flags).orderBy("ques_id").collect()]
     first = answers.FLAGS[0]
     assert got == [{"n": 1, "o": {"a": [1]}, "b": True, "s": "x", first: 1}, {first: 1}]
+
+
+def test_intermediates_can_be_dropped(spark, tmp_path, monkeypatch):
+    assert session.intermediates(spark).startswith(session.shared_folder(spark))
+    monkeypatch.setattr(session, "intermediates", lambda _: str(tmp_path / "app"))
+    assert session.cut_lineage(spark.range(3)).count() == 3
+    assert list((tmp_path / "app").iterdir())
+    session.drop_intermediates(spark)
+    assert not (tmp_path / "app").exists()
