@@ -9,10 +9,15 @@ import sys
 import tempfile
 import time
 
+from pyspark.sql import functions as F
+
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from clickloom import registry  # noqa: E402
+from clickloom.registry.base import COVER_ENVS, ENVS, Tables  # noqa: E402
 from clickloom.session import build_session  # noqa: E402
+from clickloom.sources import streams  # noqa: E402
+from clickloom.streaming import jobs  # noqa: E402
 
 HEADLINE = [
     "event_envelope", "event_etl", "event_flatten", "history_etl", "page_visits", "live_sessions",
@@ -34,6 +39,27 @@ def spread(spark, folder: str, files: int) -> str:
     return target
 
 
+def app_stream(spark, folder: str, files: int) -> tuple[float, int]:
+    """(seconds, lines) of the merged app job over raw lines in one batch, all routes and sinks."""
+    out = tempfile.mkdtemp(prefix="clickloom-stream-")
+    lines = Tables(spark, folder).app_lines.select(F.col("line").alias("value"))
+    lines.repartition(files).write.text(f"{out}/lines")
+    count = spark.read.text(f"{out}/lines").count()
+    steps = [
+        jobs.visits_step(f"{out}/visits", "app"),
+        jobs.counts_step(f"{out}/counts", "app"),
+        jobs.course_step(f"{out}/course", ENVS, tee=":copy"),
+        jobs.insurance_step(f"{out}/insurance", "app", COVER_ENVS, tee=":copy"),
+        jobs.td_step(f"{out}/td", "app"),
+        jobs.marks_step(f"{out}/marks", ENVS),
+        jobs.answers_step(f"{out}/answers", ENVS),
+    ]
+    start = time.perf_counter()
+    query = jobs.run(streams.read_folder(spark, f"{out}/lines", files), steps, f"{out}/checkpoint")
+    query.awaitTermination()
+    return time.perf_counter() - start, count
+
+
 def main() -> None:
     folder = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     sf = os.path.basename(folder.rstrip("/"))
@@ -61,6 +87,10 @@ def main() -> None:
         start = time.perf_counter()
         queries[name](spark, folder).write.format("noop").mode("overwrite").save()
         times[name] = round(time.perf_counter() - start, 3)
+    lines = None
+    if not only or "app_stream" in only:
+        seconds, lines = app_stream(spark, folder, int(cpus))
+        times["app_stream"] = round(seconds, 3)
     spark.stop()
     print(
         json.dumps(
@@ -69,6 +99,7 @@ def main() -> None:
                 "value": round(sum(times.values()), 3),
                 "unit": "sec",
                 "queries": times,
+                "app_stream_lines": lines,
                 "sf": sf,
             }
         )
