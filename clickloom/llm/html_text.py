@@ -44,9 +44,11 @@ ENDED_BY = {
 
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|</?[a-zA-Z](?:[^>\"']|\"[^\"]*(?:\"|\Z)|'[^']*(?:'|\Z))*(?:>|\Z)", re.DOTALL)
 _NAME = re.compile(r"</?([a-zA-Z][^\s/>]*)")
-_HINT = re.compile(r"""\b(class|id|role|itemprop|aria-label|hidden|style)\s*(?:=\s*("[^"]*"|'[^']*'|[^\s>"']+))?""", re.IGNORECASE)
+# One attribute: its whole name, then its value, so that no part of another name or value counts.
+_ATTRIBUTE = re.compile(r"""([^\s/>=][^\s/>=]*)(?:\s*=\s*("[^"]*"?|'[^']*'?|[^\s>]*))?""")
+_TELLING = frozenset("class id role itemprop aria-label".split())
 _PART = re.compile(r"[a-z]+")
-_HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden")
+_HIDDEN = re.compile(r"(?:\A|;)\s*(?:display\s*:\s*none|visibility\s*:\s*hidden)\b")
 _SPACE = re.compile(r"\s+")
 
 
@@ -66,14 +68,20 @@ class _Open:
 
 @lru_cache(maxsize=4096)
 def _hints(tag_text: str) -> tuple[frozenset, bool]:
-    words, hidden = set(), False
-    for name, value in _HINT.findall(tag_text):
-        name, value = name.lower(), value.strip("\"'").lower()
+    """Words of the telling attributes, and whether the element is hidden; of a repeated attribute the first counts."""
+    words, hidden, met = set(), False, set()
+    for name, value in _ATTRIBUTE.findall(tag_text, _NAME.match(tag_text).end()):
+        name = name.lower()
+        if name in met:
+            continue
+        met.add(name)
+        value = value.strip("\"'").lower()
         if name == "hidden":
-            hidden = True
+            # A page opens such an element when its text is searched for.
+            hidden = hidden or value != "until-found"
         elif name == "style":
             hidden = hidden or bool(_HIDDEN.search(value))
-        else:
+        elif name in _TELLING:
             words.update(_PART.findall(value))
     return frozenset(words), hidden
 

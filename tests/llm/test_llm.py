@@ -351,6 +351,21 @@ def test_main_text_is_whole_and_decoded(spark):
     assert long.count("\n") == 19_999
 
 
+@pytest.mark.parametrize("opening", [
+    'div aria-hidden="false"', 'article title="A hidden valley"', 'section data-src="/hidden/x.png"',
+    "article data-style='display:none'", 'p title="style=display:none"', 'div style="--no-display:none"', "div hidden=until-found",
+])
+def test_only_attributes_that_hide_hide(opening):
+    assert [b.text for b in html_text.blocks(f"<{opening}>Seen text.")] == ["Seen text."]
+
+
+def test_hints_are_read_attribute_by_attribute():
+    for hiding in ("hidden", "HIDDEN=''", 'id=x hidden="hidden"', 'style="color:red; display : none"', "style=visibility:hidden"):
+        assert html_text.blocks(f"<div {hiding}>Unseen.</div><p>Seen.") == [html_text.Block((("p", frozenset()),), "Seen.")]
+    tag = """<a data-id="nav" href="/x?class=ad&id=menu" class = 'Post  body' ID=main class="late" title="role='banner'">"""
+    assert html_text._hints(tag) == ({"post", "body", "main"}, False)
+
+
 def test_viterbi_against_all_labellings():
     rng = np.random.default_rng(2)
     model = html_text.Field(rng.normal(size=(1 << html_text.BITS, 2)), rng.normal(size=(2, 2)), rng.normal(size=2))
