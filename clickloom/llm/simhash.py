@@ -207,31 +207,54 @@ def near_duplicates(
     null. Repeated rows and equal texts share a fingerprint and are one node. An
     empty table gives an empty one.
     """
+    narrow, classes = _classed(docs, doc_id, text, words, bits)
+    return narrow.join(classes, "simhash").select("id", "simhash", "component_id")
+
+
+def _classed(docs: DataFrame, doc_id: str, text: str, words: int, bits: int) -> tuple[DataFrame, DataFrame]:
+    """(id, simhash) of each row, and (simhash, root, component_id) of each fingerprint."""
     narrow = fingerprints(docs.select(F.col(doc_id).alias("id"), F.col(text).alias("text")), "text", words)
     narrow = cut_lineage(narrow.select("id", "simhash"))
     nodes = cut_lineage(narrow.groupBy(F.col("simhash").alias("fp")).agg(F.min("id").alias("id")))
     roots = components(links(nodes, bits)).withColumnRenamed("node", "fp")
     whole = nodes.join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
     least = whole.groupBy("root").agg(F.min("id").alias("component_id"))
-    classes = whole.join(least, "root").select(F.col("fp").alias("simhash"), "component_id")
-    return narrow.join(classes, "simhash").select("id", "simhash", "component_id")
+    return narrow, whole.join(least, "root").select(F.col("fp").alias("simhash"), "root", "component_id")
 
 
 def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", words: int = 3, bits: int = 3) -> DataFrame:
     """The rows of `docs`, one of each component: that of the smallest id.
 
     Of rows alike in that id the one with the smallest text stays; a component without
-    any id has no such row and keeps all of its rows.
+    any id has no such row and keeps all of its rows. An id that stands in several
+    components, with unlike texts, is the smallest in each on its own.
     """
-    found = near_duplicates(docs, doc_id, text, words, bits)
-    first = found.where(F.col("component_id").isNotNull()).select(F.col("component_id").alias("__first")).distinct()
+    narrow, classes = _classed(docs, doc_id, text, words, bits)
+    found = narrow.join(classes, "simhash")
+    # Ids that are the smallest of a component, and whether their rows are spread over several components.
+    first = found.where(F.col("id").isNotNull()).groupBy(F.col("id").alias("__first")).agg(
+        F.max(F.col("id") == F.col("component_id")).alias("__least"), (F.min("root") < F.max("root")).alias("__spread")
+    )
+    first = cut_lineage(first.where("__least").select("__first", "__spread"))
     order = Window.partitionBy("__first").orderBy(F.col(text).asc_nulls_first())
-    kept = docs.join(first, F.col(doc_id) == F.col("__first"))
+    kept = docs.join(first.where("NOT __spread"), F.col(doc_id) == F.col("__first"))
     kept = kept.withColumn("__rank", F.row_number().over(order)).where("__rank = 1")
-    lone = found.where(F.col("component_id").isNull()).select(F.col("simhash").alias("__simhash")).distinct()
+    # Only the text tells which component a row of a spread id belongs to. Few ids are spread as a rule:
+    # written first, so that their size is known when the join is planned.
+    spread = cut_lineage(first.where("__spread").select("__first"))
+    several = docs.join(spread, F.col(doc_id) == F.col("__first"), "left_semi")
+    several = fingerprints(several, text, words, "__simhash").join(
+        classes.select(F.col("simhash").alias("__simhash"), F.col("root").alias("__root"), F.col("component_id").alias("__component")),
+        "__simhash",
+    )
+    order = Window.partitionBy("__root").orderBy(F.col(text).asc_nulls_first())
+    several = several.where(F.col(doc_id) == F.col("__component"))
+    several = several.withColumn("__rank", F.row_number().over(order)).where("__rank = 1")
+    lone = classes.where(F.col("component_id").isNull()).select(F.col("simhash").alias("__simhash"))
     without = fingerprints(docs.where(F.col(doc_id).isNull()), text, words, "__simhash")
     without = without.join(lone, "__simhash", "left_semi")
-    return kept.select(docs.columns).unionByName(without.select(docs.columns))
+    kept, several, without = (x.select(docs.columns) for x in (kept, several, without))
+    return kept.unionByName(several).unionByName(without)
 
 
 def hex_of(column: Column) -> Column:

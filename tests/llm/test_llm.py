@@ -205,6 +205,26 @@ def test_near_duplicates_of_odd_rows(odd, empty):
     assert simhash.near_duplicates(empty).count() == 0 and simhash.keep_one(empty).count() == 0
 
 
+def components_of_rows(rows):
+    """{text: component} by all pairs of fingerprints."""
+    prints = {r.text: plain_fingerprint(r.text) for r in rows}
+    roots = plain_components([(f, f) for f in set(prints.values())])
+    return {t: roots[f] for t, f in prints.items()}
+
+
+def test_each_component_keeps_one_row_where_ids_repeat(spark, odd):
+    rows = odd.collect()
+    of = components_of_rows(rows)
+    kept = simhash.keep_one(odd).collect()
+    assert Counter(of[r.text] for r in kept) == Counter(set(of.values()))
+    assert {(r.doc_id, r.text) for r in kept if r.doc_id == 3} == {(3, "One"), (3, "Other")}
+    # Id 5 is the smallest of one component alone; its other row is no survivor in place of it.
+    plain = [(3, "m n o p"), (5, "M n o p"), (5, "z y x w"), (5, "z  y x W"), (None, "z y x w"), (7, "z y x w")]
+    frame = spark.createDataFrame(plain, "doc_id long, text string")
+    got = sorted(map(tuple, simhash.keep_one(frame).collect()))
+    assert got == [(3, "m n o p"), (5, "z  y x W")]
+
+
 def test_a_component_without_ids_stays(spark):
     lone = spark.createDataFrame([(None, "a b c"), (None, "a b c"), (4, "d e f g")], "doc_id long, text string")
     assert sorted(r.text for r in simhash.keep_one(lone).collect()) == ["a b c", "a b c", "d e f g"]
