@@ -30,9 +30,13 @@ BLOCK = frozenset(
     "figcaption figure footer form h1 h2 h3 h4 h5 h6 head header hgroup hr html legend li main menu nav "
     "ol option optgroup p pre search section select summary table tbody td tfoot th thead tr ul".split()
 )
-# Elements without content, and those whose content is no text of the page.
+# Elements without content, those whose content is characters up to the end tag, or to the end of the page,
+# and those whose content is no text of the page up to their own end tag; without one they are like any other.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style noscript template textarea title iframe svg math object canvas".split())
+RAW = frozenset("script style textarea title iframe".split())
+APART = frozenset("template svg".split())
+# Their content stands for what a reader of the text alone does not get.
+FALLBACK = frozenset("object canvas noscript".split())
 # An opening tag of the second kind ends an open element of the first, up to the nearest container.
 ENDED_BY = {
     "p": BLOCK - {"body", "html", "option", "optgroup"},
@@ -66,6 +70,22 @@ class _Open:
     hidden: bool
 
 
+def _ends(tag: str, page: str) -> dict[int, int]:
+    """Where the content of each closed element of that name begins, and where its own end tag ends."""
+    begun: list[int] = []
+    ends = {}
+    for found in _TOKEN.finditer(page):
+        name = _NAME.match(found[0])
+        if not name or name[1].lower() != tag:
+            continue
+        if found[0][1] != "/":
+            if not found[0].endswith("/>"):
+                begun.append(found.end())
+        elif begun:
+            ends[begun.pop()] = found.end()
+    return ends
+
+
 @lru_cache(maxsize=4096)
 def _hints(tag_text: str) -> tuple[frozenset, bool]:
     """Words of the telling attributes, and whether the element is hidden; of a repeated attribute the first counts."""
@@ -94,6 +114,7 @@ def blocks(page: str | None) -> list[Block]:
     texts: list[str] = []
     linked = 0
     end = len(page)
+    ends: dict[str, dict[int, int]] = {}
 
     def flush() -> None:
         nonlocal linked
@@ -131,6 +152,8 @@ def blocks(page: str | None) -> list[Block]:
         if not name:
             continue
         tag = name[1].lower()
+        if tag in FALLBACK:
+            texts.append(" ")
         if token[1] == "/":
             for index in range(len(stack) - 1, -1, -1):
                 if stack[index].tag == tag:
@@ -149,6 +172,14 @@ def blocks(page: str | None) -> list[Block]:
                 at = stop.end() if stop else end
             texts.append(" ")
             continue
+        if tag in APART:
+            if tag not in ends:
+                ends[tag] = _ends(tag, page)
+            stop = at if token.endswith("/>") else ends[tag].get(at)
+            texts.append(" ")
+            if stop is not None:
+                at = stop
+                continue
         if tag == "br":
             texts.append(" ")
             continue

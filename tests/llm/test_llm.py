@@ -386,6 +386,21 @@ def test_hints_are_read_attribute_by_attribute():
     assert html_text._hints(tag) == ({"post", "body", "main"}, False)
 
 
+@pytest.mark.parametrize("tag", ["object", "canvas", "svg", "math", "noscript", "template"])
+def test_an_unclosed_element_loses_nothing_behind_it(tag):
+    for page in (f"<article><{tag}><p>Line one.</p><p>Line two.</p></article>", f"<p>Line one.<{tag}></p><p>Line two.<{tag}></{tag}>"):
+        assert [b.text for b in html_text.blocks(page)] == ["Line one.", "Line two."]
+
+
+def test_formulas_and_fallback_texts_are_blocks():
+    page = (
+        "<p>So <math><mi>x</mi><mo>=</mo><mn>2</mn></math>.</p><canvas><p>A chart.</p></canvas><p>a<object>b</object>c"
+        "<div><noscript>Plain.</noscript></div><p>Seen <svg><svg></svg><text>no</text></svg><template><p>no</template>end."
+    )
+    assert [b.text for b in html_text.blocks(page)] == ["So x=2.", "A chart.", "a b c", "Plain.", "Seen end."]
+    assert html_text.blocks("<iframe><p>no") == html_text.blocks("<title>no<p>no") == []
+
+
 def test_viterbi_against_all_labellings():
     rng = np.random.default_rng(2)
     model = html_text.Field(rng.normal(size=(1 << html_text.BITS, 2)), rng.normal(size=(2, 2)), rng.normal(size=2))
