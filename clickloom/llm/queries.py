@@ -15,9 +15,12 @@ from clickloom.llm import (
     minhash,
     mixing,
     packing,
+    periodic,
+    personal,
     quality,
     samples,
     simhash,
+    spelling,
     toxicity,
 )
 
@@ -127,9 +130,39 @@ def op10_minhash_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return spelling.variants(spelling.count_words(docs, edit=spelling.with_slips))
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    edited = docs.select("doc_id", periodic.with_planted_repeats(F.col("text"), F.col("doc_id")).alias("text"))
+    found = periodic.find_runs(edited).withColumn("longest", periodic.longest(F.col("runs")))
+    length = -F.col("longest.n")
+    return found.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"),
+        F.col("longest.start").alias("start"), length.alias("length"), F.col("longest.period").alias("period"),
+        F.floor(1000 * length / F.col("longest.period")).cast("long").alias("exponent_milli"),
+        F.sha2(periodic.runs_text(F.col("runs")).cast("binary"), 256).alias("runs_sha256"),
+        F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"),
+    )
+
+
+def op13_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = personal.find(_table(spark, sf_dir, "documents"))
+    base = F.filter("spans", lambda s: s.base)
+    numbers = [personal.number(base, kind).alias(f"n_{kind}") for kind in personal.KINDS]
+    return found.select(
+        "doc_id", *numbers, F.sha2(personal.listed(base).cast("binary"), 256).alias("base_sha256"),
+        personal.listed(F.col("spans")).alias("spans"), (F.size("spans") - F.size(base)).cast("long").alias("n_added"),
+    )
+
+
 OPERATORS: list[Callable[[SparkSession, str], DataFrame]] = [
     op1_language_id, op2_simhash_near_dedup, op3_quality, op4_source_mixing, op5_html_main_text,
     op6_toxicity, op7_best_fit_packing, op8_chat_formatting, op9_exact_dedup, op10_minhash_fingerprints,
+    op11_spelling_variants, op12_periodic_runs, op13_personal_data,
 ]
 
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -137,7 +170,36 @@ _ESCAPED = r"length(regexp_replace({0}, '<(\\*)\|', '<\\\1|', 'g'))"
 _TURN_CHARS = f"""length('<|im_start|>') + {_ESCAPED.format("replace(replace(role, chr(92), chr(92) || chr(92)), chr(10), chr(92) || 'n')")}
   + 1 + {_ESCAPED.format("text")} + length('<|im_end|>') + 1"""
 
+# crc32 of `doc_id:run`, one bit of its UTF-8 bytes at a time.
+_BITS = """list_concat([4294967295::BIGINT], flatten(list_transform(range(0, strlen(key)), lambda i:
+  list_transform(range(0, 8), lambda b: (('0x' || substr(hex(encode(key)), CAST(2 * i + 1 AS BIGINT), 2))::BIGINT >> b) & 1))))"""
+_CRC = f"xor(list_reduce({_BITS}, lambda c, b: xor(xor(c, b) >> 1, 3988292384 * (xor(c, b) & 1))), 4294967295)"
+
 ORACLES = {
+    "op11_spelling_variants": f"""
+WITH RECURSIVE runs AS (
+  SELECT doc_id, unnest(regexp_extract_all({_LOWER}, '[A-Za-z\u00C0-\u00FF]+')) AS run FROM documents),
+per AS (SELECT doc_id || ':' || run AS key, run, count(*) AS n FROM runs WHERE length(run) >= 6 GROUP BY doc_id, run),
+hashed AS (SELECT run, n, {_CRC} AS h FROM per),
+slipped AS (SELECT CASE WHEN h % 199 = 0 THEN substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word, n
+  FROM hashed),
+words AS MATERIALIZED (SELECT word, CAST(sum(n) AS BIGINT) AS n FROM slipped WHERE length(word) >= 6 GROUP BY word HAVING sum(n) >= 5),
+cut AS MATERIALIZED (SELECT word, i, substr(word, 1, i - 1) || substr(word, i + 1) AS rest
+  FROM (SELECT word, CAST(unnest(range(1, length(word) + 1)) AS BIGINT) AS i FROM words)),
+near AS MATERIALIZED (
+  SELECT DISTINCT a, b FROM (
+    SELECT x.word AS a, y.word AS b FROM cut x JOIN cut y ON x.rest = y.rest AND x.i = y.i AND x.word <> y.word
+    UNION ALL SELECT c.word, w.word FROM cut c JOIN words w ON c.rest = w.word
+    UNION ALL SELECT w.word, c.word FROM cut c JOIN words w ON c.rest = w.word)),
+best AS (SELECT a, count(*) AS n_near, first(b ORDER BY w.n DESC, b) AS b, max(w.n) AS m
+  FROM near JOIN words w ON w.word = b GROUP BY a),
+formed AS MATERIALIZED (SELECT word, CASE WHEN m >= 5 * n THEN b END AS form, n, coalesce(n_near, 0) AS n_near,
+    CASE WHEN m >= 5 * n THEN m END AS form_n
+  FROM words LEFT JOIN best ON a = word),
+chain AS (SELECT word, word AS root FROM words
+  UNION ALL SELECT chain.word, f.form FROM chain JOIN formed f ON f.word = chain.root WHERE f.form IS NOT NULL),
+ends AS (SELECT chain.word, chain.root FROM chain JOIN formed f ON f.word = chain.root WHERE f.form IS NULL)
+SELECT word, form, root, n, n_near, form_n FROM formed JOIN ends USING (word)""",
     "op8_chat_formatting": f"""
 WITH t AS (
   SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
