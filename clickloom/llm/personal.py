@@ -32,7 +32,7 @@ from clickloom.session import cut_lineage
 KINDS = ("email", "ip", "card", "phone")
 BITS = 16  # of the classifier's feature numbers
 PER_PATTERN = 100  # examples learned from for each kind and vote pattern, about
-ACCEPT = 0.9
+ACCEPT = 0.7
 
 LOCAL = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-"
 DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
@@ -48,8 +48,8 @@ LOOSE_DOMAIN = re.compile(
 LOOSE_IP = re.compile(r"(?<![0-9.])[0-9]{1,3}(?:(?: ?[\[({](?:\.|dot)[\])}] ?| \. | dot )[0-9]{1,3}){3}(?![0-9])")
 LOOSE_CARD = re.compile(r"(?<![0-9])[0-9]{3,6}(?:[._/][0-9]{3,6}){2,4}(?![0-9])")
 LOOSE_PHONE = re.compile(
-    r"(?<![0-9A-Za-z+.-])(?:00 ?[1-9][0-9]{0,2}[ .-]|[01][ .-])?(?:\([0-9]{2,4}\) ?|[0-9]{2,4}[ .-])"
-    r"[0-9]{3,4}[ .-][0-9]{3,4}(?![0-9A-Za-z]|[ .-][0-9])"
+    r"(?<![0-9A-Za-z+.-])(?:(?:\+|00 ?)[1-9][0-9]{0,2}[ .-]|[01][ .-])?(?:\([0-9]{2,4}\) ?|[0-9]{2,4}[ .-])"
+    r"[0-9]{3,4}[ .-][0-9]{3,4}(?![0-9A-Za-z]|[.-][0-9])"
 )
 
 # Gazetteers: fixed values, in natural order.
@@ -248,30 +248,33 @@ def vote_table(patterns: np.ndarray) -> np.ndarray:
 def reliabilities(
     kinds: np.ndarray, patterns: np.ndarray, counts: np.ndarray, rounds: int = 50
 ) -> tuple[np.ndarray, np.ndarray]:
-    """(probability of each vote pattern, P(vote | truth) as kind x truth x labeler x vote) by EM.
+    """(probability of each vote pattern, P(right vote | truth, some vote) as kind x truth x labeler) by EM.
 
-    Votes are taken as independent given the truth. The start is the share of votes
-    for among those cast; a count of one is added everywhere, so none is 0.
+    Votes are taken as independent given the truth, and a labeler's silence as no
+    evidence. The start is the share of votes for among those cast. Two right votes and
+    one wrong one are added to each count, so a labeler never seen is thought a little
+    better than chance.
     """
     votes_of = vote_table(patterns)
     cast = np.maximum((votes_of != 1).sum(1), 1)
     p = ((votes_of == 2).sum(1) + 0.5) / (cast + 1)
-    table = np.zeros((len(KINDS), 2, len(LABELERS), 3))
+    right = np.zeros((len(KINDS), 2, len(LABELERS)))
     for _ in range(rounds):
         prior = np.zeros(len(KINDS))
         for k in range(len(KINDS)):
             mine = kinds == k
             for truth, q in ((1, p), (0, 1 - p)):
                 weight = (counts * q)[mine]
-                for labeler in range(len(LABELERS)):
-                    sums = np.bincount(votes_of[mine, labeler], weight, 3) + 1
-                    table[k, truth, labeler] = sums / sums.sum()
+                agreed = weight @ (votes_of[mine] == 2 * truth)
+                right[k, truth] = (agreed + 2) / (weight @ (votes_of[mine] != 1) + 3)
             prior[k] = ((counts * p)[mine].sum() + 1) / (counts[mine].sum() + 2)
-        at = np.arange(len(LABELERS))[None, :]
-        likely = [np.log(table[kinds[:, None], truth, at, votes_of]).sum(1) for truth in (0, 1)]
-        odds = np.log(prior[kinds] / (1 - prior[kinds])) + likely[1] - likely[0]
-        p = 1 / (1 + np.exp(-np.clip(odds, -30, 30)))
-    return p, table
+        true, false = right[kinds, 1], right[kinds, 0]
+        evidence = np.select(
+            [votes_of == 2, votes_of == 0], [np.log(true / (1 - false)), np.log((1 - true) / false)], 0.0
+        )
+        odds = np.log(prior[kinds] / (1 - prior[kinds])) + evidence.sum(1)
+        p = _logistic(odds)
+    return p, right
 
 
 def train(rows: list[list[int]], targets: np.ndarray, rounds: int = 300, rate: float = 0.5) -> np.ndarray:

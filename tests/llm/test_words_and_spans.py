@@ -269,6 +269,7 @@ def test_personal_data_query_against_the_patterns(spark, texts):
 HIDDEN = {
     "jane.doe [at] mail [dot] example [dot] com": "email", "jane.doe(at)mail3.example.com": "email",
     "jane at mail dot example dot com": "email", "(136) 555-7479": "phone", "136-555-7479": "phone",
+    "+1 (136) 555-7479 36985214": "phone",
     "120 . 121 . 90 . 252": "ip", "120[.]121[.]90[.]252": "ip", "4485.4190.6118.7462": "card",
 }
 PLAIN = ["300.1.2.3", "4485.4190.6118.7469", "Version 2.0.", "look at the dot com", "10.000.000", "pages 100-200-3000", "9777946427004852"]
@@ -282,7 +283,8 @@ def test_hidden_forms_are_added_and_plain_ones_left_alone(spark, texts):
     found = {r.doc_id: r.spans for r in personal.find(frame).collect()}
     assert len(found) == len(learned) + len(planted)
     for k, (s, kind) in enumerate(HIDDEN.items()):
-        assert [(x.kind, x.text, x.base) for x in found[-1 - k]] == [(kind, s, False)], s
+        wanted = s.removesuffix(" 36985214")  # the exact pattern takes both numbers and fails
+        assert [(x.kind, x.text, x.base) for x in found[-1 - k]] == [(kind, wanted, False)], s
     for k, s in enumerate(PLAIN, len(HIDDEN)):
         assert found[-1 - k] == [], s
     added = sum(not x.base for i in found if i >= 0 for x in found[i])
@@ -296,8 +298,8 @@ def test_reliabilities_recover_drawn_labelers():
     votes = np.where(rng.random((len(truth), 6)) < right, truth[:, None], ~truth[:, None]) * 2
     votes[rng.random(votes.shape) < 0.2] = 1
     patterns, counts = np.unique(votes @ 3 ** np.arange(5, -1, -1), return_counts=True)
-    p, table = personal.reliabilities(np.zeros(len(patterns), int), patterns, counts.astype(float))
-    assert np.allclose(table[0, 1, :, 2], 0.8 * right, atol=0.03) and np.allclose(table[0, 0, :, 0], 0.8 * right, atol=0.03)
+    p, found = personal.reliabilities(np.zeros(len(patterns), int), patterns, counts.astype(float))
+    assert np.allclose(found[0], right, atol=0.03)
     at = np.searchsorted(patterns, votes @ 3 ** np.arange(5, -1, -1))
     assert np.mean((p[at] > 0.5) == truth) > 0.95
 
