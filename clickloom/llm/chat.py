@@ -119,7 +119,7 @@ class Formatted:
 def format_one(turns: list[tuple[str | None, str | None]], path: str) -> Formatted:
     text, spans = render(turns)
     coder = packing.encoder(path)
-    ids = np.frombuffer(coder.encode([text])[0], "<u4")
+    ids = np.frombuffer(coder.ids([text])[0], "<u4")
     offsets = token_offsets(text, coder.lengths[ids])
     mask, cut = loss_mask(offsets, spans)
     return Formatted(text, ids.astype(np.int32), mask, _merged(cut))

@@ -10,16 +10,21 @@ largest that fits. Smaller pieces go to the smallest gap that takes them.
 
 from __future__ import annotations
 
+import json
 import os
-from collections.abc import Iterator
+import re
+import sys
+from array import array
+from collections.abc import Callable, Iterator
 from functools import lru_cache
-from itertools import islice
 
 import numpy as np
 import pandas as pd
 import public_tokenizers
+import pyarrow as pa
+import tiktoken
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 from tokenizers import Tokenizer
@@ -29,79 +34,97 @@ from clickloom.session import cut_lineage
 
 CAPACITY = 2048
 END = 0
-WORDS_KEPT = 400_000  # words a worker remembers the ids of; then it forgets the older half
+WORDS_KEPT = 600_000  # words a worker remembers the ids of; then it starts anew
 ROWS = 256
 
 PIECES = "doc_id long, piece int, start long, length long, ids binary, part int, number long"
 
+# Characters that every reading of the letter, digit and space classes agrees on.
+_LETTERS = "A-Za-zÀ-ÖØ-öø-ÿ"
+PLAIN = re.compile(f"[\\t\\n\\r!-~{_LETTERS}]+")
+PARTS = r"'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+
+
+def _byte_of() -> dict[str, int]:
+    """The byte each character of a byte-level token stands for: itself if it prints, else one from 256 on."""
+    shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    hidden = [b for b in range(256) if b not in shown]
+    return {chr(b): b for b in shown} | {chr(256 + n): b for n, b in enumerate(hidden)}
+
+
+def word_encoder(path: str) -> Callable[[str], list[int]] | None:
+    """Ids of plain words by a merger that takes the ids for merge ranks; None for a tokenizer where they are not."""
+    with open(path, encoding="utf-8") as file:
+        held = json.load(file)
+    model, splits = held["model"], held.get("pre_tokenizer") or {}
+    usual = model["type"] == "BPE" and splits.get("type") == "ByteLevel" and splits.get("use_regex", True)
+    if not usual or splits.get("add_prefix_space") or held.get("normalizer") or model.get("ignore_merges"):
+        return None
+    byte_of, added = _byte_of(), {t["content"] for t in held.get("added_tokens", [])}
+    ranks = {bytes(byte_of[c] for c in t): n for t, n in model["vocab"].items() if t not in added}
+    merged = ["".join(m.split(" ") if isinstance(m, str) else m) for m in model["merges"]]
+    order = [model["vocab"][t] for t in merged]
+    if order != sorted(set(order)) or len(ranks) != len(order) + 256:
+        return None
+    return tiktoken.Encoding("words", pat_str=PARTS, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
+
 
 class Encoder:
-    """Token ids of whole texts as little-endian 32-bit numbers.
+    """Token ids of whole texts as little-endian 32-bit numbers, as one plain call of the tokenizer gives them.
 
-    Byte-level pairs are merged inside a word and the blank before it only, so
-    each distinct word is encoded once. A text in which white space meets a blank
-    is encoded as one.
+    Byte-level pairs are merged inside a word and the blank before it only, so each
+    distinct word is encoded once. A text in which white space meets a blank, or which
+    holds one of the tokenizer's added tokens, is encoded as one.
     """
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        self.quick = word_encoder(path)
         self.known: dict[str, bytes] = {}
         # Each character of a byte-level token stands for one byte.
         vocabulary = self.tokenizer.get_vocab()
         self.lengths = np.zeros(max(vocabulary.values()) + 1, np.int64)
         for token, number in vocabulary.items():
             self.lengths[number] = len(token)
-        blank = [chr(i) for i in range(0x110000) if chr(i).isspace()]
-        self.pairs = [c + " " for c in blank]
-        self.ascii_pairs = [p for p in self.pairs if p.isascii()]
+        added = self.tokenizer.get_added_tokens_decoder().values()
+        blank = "".join(chr(i) for i in range(0x110000) if chr(i).isspace())
+        apart = [re.escape(str(t.content)) for t in added if t.content]
+        self.whole = re.compile("|".join([f"[{blank}] ", *apart]))
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of texts, each encoded as one."""
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(x.ids, "<u4").tobytes() for x in found]
 
-    def _learn(self, words: list[str]) -> None:
-        """Encode new words, each after a blank, in one run; it is cut again by the tokens' lengths."""
-        apart = [w for w in words if not w or w[-1].isspace()]
-        self.known.update(zip(apart, self.encode([" " + w for w in apart]), strict=True))
-        run = [w for w in words if w and not w[-1].isspace()]
-        if not run:
-            return
-        held = self.encode([" " + " ".join(run)])[0]
-        ends = np.cumsum(self.lengths[np.frombuffer(held, "<u4")])
-        wanted = np.cumsum([len(w.encode("utf-8", "surrogatepass")) + 1 for w in run])
-        cuts = (4 * (np.searchsorted(ends, wanted) + 1)).tolist()
-        begins = [0, *cuts[:-1]]
-        self.known.update({w: held[a:b] for w, a, b in zip(run, begins, cuts, strict=True)})
-
-    def _joins(self, text: str) -> bool:
-        """Whether white space runs over a blank, so that the text can't be cut there."""
-        return any(pair in text for pair in (self.ascii_pairs if text.isascii() else self.pairs))
+    def _learn(self, words: set[str]) -> None:
+        """Ids of new words, each after a blank."""
+        known, quick, plain, other = self.known, self.quick, PLAIN.fullmatch, []
+        for word in words:
+            if quick and plain(word):
+                ids = array("I", quick(" " + word))
+                if sys.byteorder == "big":
+                    ids.byteswap()
+                known[word] = ids.tobytes()
+            else:
+                other.append(word)
+        known.update(zip(other, self.encode([" " + w for w in other]), strict=True))
 
     def ids(self, texts: list[str]) -> list[bytes]:
         """Ids of each text."""
-        known = self.known
-        if len(known) > WORDS_KEPT:
-            for word in list(islice(known, WORDS_KEPT // 2)):
-                del known[word]
-        whole = {i for i, t in enumerate(texts) if self._joins(t)}
-        held: list[list[bytes | None]] = []
-        missing: list[list[tuple[int, str]]] = []
-        firsts = []
-        for i, text in enumerate(texts):
-            first, *words = text.split(" ") if i not in whole else [text]
-            found = list(map(known.get, words))
-            gaps = [(k, w) for k, (w, f) in enumerate(zip(words, found, strict=True)) if f is None] if None in found else []
-            held.append(found)
-            missing.append(gaps)
+        if len(self.known) > WORDS_KEPT:
+            self.known = {}
+        known, whole = self.known, self.whole.search
+        firsts, rest = [], []
+        for text in texts:
+            first, *words = (text,) if whole(text) else text.split(" ")
             firsts.append(first)
-        self._learn(list({w for gaps in missing for _, w in gaps}))
-        for found, gaps in zip(held, missing, strict=True):
-            for k, w in gaps:
-                found[k] = known[w]
-        return [b"".join([first, *rest]) for first, rest in zip(self.encode(firsts), held, strict=True)]
+            rest.append(words)
+        missing = set().union(*rest).difference(known)
+        if missing:
+            self._learn(missing)
+        held = [b"".join(map(known.__getitem__, words)) for words in rest]
+        return [first + more for first, more in zip(self.encode(firsts), held, strict=True)]
 
 
 @lru_cache(maxsize=2)
@@ -109,35 +132,58 @@ def encoder(path: str) -> Encoder:
     return Encoder(path)
 
 
-def cut_lengths(total: int, capacity: int) -> list[tuple[int, int]]:
-    """(start, length) of the pieces of a document; only the first may be below the capacity."""
-    first = total % capacity or capacity
-    return [(0, min(first, total)), *[(s, capacity) for s in range(first, total, capacity)]]
+def cut_lengths(totals: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(document, piece, start, length) of the pieces; only the first of a document may be below the capacity."""
+    first = np.where(totals % capacity, totals % capacity, np.minimum(capacity, totals))
+    number = 1 + (totals - first) // capacity
+    doc = np.repeat(np.arange(len(totals)), number)
+    piece = np.arange(len(doc)) - np.repeat(np.cumsum(number) - number, number)
+    start = np.where(piece, first[doc] + (piece - 1) * capacity, 0)
+    return doc, piece, start, np.where(piece, capacity, first[doc])
+
+
+def _numbered(lengths: np.ndarray, seen: np.ndarray) -> np.ndarray:
+    """Consecutive numbers of the pieces of each length, going on from `seen`, which is moved on."""
+    order = np.argsort(lengths, kind="stable")
+    fresh = np.concatenate(([True], np.diff(lengths[order]) != 0))
+    begins = np.flatnonzero(fresh)
+    rank = np.empty(len(lengths), np.int64)
+    rank[order] = np.arange(len(lengths)) - begins[np.cumsum(fresh) - 1]
+    number = rank + seen[lengths]
+    seen += np.bincount(lengths, minlength=len(seen))
+    return number
 
 
 def tokenised(docs: DataFrame, doc_id: str, text: str, path: str, capacity: int) -> DataFrame:
     """Pieces with their ids, written once; `number` counts a part's pieces of equal length."""
 
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, seen = TaskContext.get().partitionId(), np.zeros(capacity + 1, np.int64)
         end = np.array([END], "<u4").tobytes()
         coder = encoder(path)
-        for batch in frames:
-            for at in range(0, len(batch), ROWS):
-                rows, out = batch.iloc[at : at + ROWS], []
-                ids = coder.ids([t or "" for t in rows["text"]])
-                for doc, held in zip(rows["doc_id"], ids, strict=True):
-                    whole = held + end
-                    for piece, (start, length) in enumerate(cut_lengths(len(whole) // 4, capacity)):
-                        doc = None if pd.isna(doc) else int(doc)
-                        out.append((doc, piece, start, length, whole[4 * start : 4 * (start + length)], part, seen[length]))
-                        seen[length] += 1
-                frame = pd.DataFrame(out, columns=["doc_id", "piece", "start", "length", "ids", "part", "number"])
-                yield frame.assign(doc_id=frame["doc_id"].astype("Int64"))
+        for frame in frames:
+            for at in range(0, frame.num_rows, ROWS):
+                rows = frame.slice(at, ROWS)
+                ids = coder.ids([t or "" for t in rows.column(1).to_pylist()])
+                totals = np.fromiter(map(len, ids), np.int64, len(ids)) // 4 + 1
+                doc, piece, start, length = cut_lengths(totals, capacity)
+                # Pieces follow one another in one run of bytes.
+                ends = np.concatenate(([0], np.cumsum(4 * length)))
+                held = pa.LargeBinaryArray.from_buffers(
+                    pa.large_binary(), len(length), [None, pa.py_buffer(ends), pa.py_buffer(end.join([*ids, b""]))]
+                )
+                columns = [
+                    rows.column(0).take(pa.array(doc)), pa.array(piece, pa.int32()), pa.array(start),
+                    pa.array(length), held.cast(pa.binary()), pa.array(np.full(len(doc), part), pa.int32()),
+                    pa.array(_numbered(length, seen)),
+                ]
+                yield pa.RecordBatch.from_arrays(
+                    columns, ["doc_id", "piece", "start", "length", "ids", "part", "number"]
+                )
 
     batches.small(docs.sparkSession)
     narrow = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    return cut_lineage(narrow.mapInPandas(run, PIECES).withColumn("ids_crc32", F.crc32("ids")))
+    return cut_lineage(narrow.mapInArrow(run, PIECES).withColumn("ids_crc32", F.crc32("ids")))
 
 
 def plan(counts: dict[int, int], capacity: int) -> np.ndarray:
@@ -193,6 +239,12 @@ def plan(counts: dict[int, int], capacity: int) -> np.ndarray:
     return np.array(sorted(rows), np.int64).reshape(-1, 4)
 
 
+def _dense(lengths: Column, capacity: int) -> Column:
+    """The values of a map from lengths as an array with a place for each length."""
+    every = F.sequence(F.lit(0).cast("long"), F.lit(capacity).cast("long"))
+    return F.transform(every, lambda n: F.coalesce(F.try_element_at(lengths, n), F.lit(0).cast("long")))
+
+
 def pack(
     docs: DataFrame,
     doc_id: str = "doc_id",
@@ -205,13 +257,18 @@ def pack(
     A document is its token ids and an end token; null text is empty, so it is
     the end token alone. Documents above the capacity are cut into full pieces but
     for the first. Repeated rows are packed each. Other columns are left out; an
-    empty table gives an empty result. `ids` are little-endian 32-bit numbers.
+    empty table gives an empty result. `ids` are little-endian 32-bit numbers. Strings
+    that the tokenizer has as added tokens become these tokens, as in a plain call.
+    A text is read whole, however long, and costs memory in proportion to its length.
     """
     path = path or public_tokenizers.path("byte_bpe_50k.json")
     pieces = tokenised(docs, doc_id, text, path, capacity)
     counts = pieces.groupBy("part", "length").agg(F.count(F.lit(1)).alias("n"))
     before = Window.partitionBy("length").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     counts = cut_lineage(counts.withColumn("before", F.coalesce(F.sum("n").over(before), F.lit(0))))
+    # One row for each part of the input: how many pieces of each length the parts before it have.
+    earlier = counts.groupBy("part").agg(F.map_from_entries(F.collect_list(F.struct("length", "before"))).alias("m"))
+    earlier = cut_lineage(earlier.select("part", _dense(F.col("m"), capacity).alias("before")))
     # One row for each length, so never more rows than a sequence has tokens.
     totals = {r.length: r.n for r in counts.groupBy("length").agg(F.sum("n").alias("n")).collect()}
     table = plan(totals, capacity)
@@ -225,8 +282,9 @@ def pack(
             {"sequence_id": table[at, 2] + number.to_numpy() - table[at, 1], "offset": table[at, 3]}
         )
 
-    numbered = pieces.join(counts.select("part", "length", "before"), ["part", "length"])
-    placed = numbered.withColumn("__at", place("length", F.col("number") + F.col("before")))
+    numbered = pieces.join(earlier, "part")
+    overall = F.col("number") + F.get("before", F.col("length").cast("int"))
+    placed = numbered.withColumn("__at", place("length", overall))
     return placed.select(
         "doc_id", "piece", "start", "length", "ids", "ids_crc32", "__at.sequence_id", "__at.offset"
     )

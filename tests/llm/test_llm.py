@@ -2,6 +2,7 @@
 
 import hashlib
 import itertools
+import random
 import zlib
 from collections import Counter, defaultdict
 
@@ -200,8 +201,8 @@ def test_near_duplicates_of_odd_rows(odd, empty):
     assert {0, 1, 2} <= zero and {r.component_id for r in rows if r.id in (0, 1, 2)} == {0}
     kept = simhash.keep_one(odd)
     assert kept.columns == odd.columns
-    ids = [r.doc_id for r in kept.collect()]
-    assert len(ids) == len(set(ids)) == len({r.component_id for r in rows})
+    of = components_of_rows(odd.collect())
+    assert sorted(of[r.text] for r in kept.collect()) == sorted(set(of.values()))
     assert simhash.near_duplicates(empty).count() == 0 and simhash.keep_one(empty).count() == 0
 
 
@@ -225,9 +226,12 @@ def test_each_component_keeps_one_row_where_ids_repeat(spark, odd):
     assert got == [(3, "m n o p"), (5, "z  y x W")]
 
 
-def test_a_component_without_ids_stays(spark):
-    lone = spark.createDataFrame([(None, "a b c"), (None, "a b c"), (4, "d e f g")], "doc_id long, text string")
-    assert sorted(r.text for r in simhash.keep_one(lone).collect()) == ["a b c", "a b c", "d e f g"]
+def test_a_component_without_ids_keeps_one_row(spark):
+    lone = [(None, "a b c"), (None, "a b c"), (None, "A  b c"), (4, "d e f g"), (None, "d e f g"), (None, None)]
+    frame = spark.createDataFrame(lone, "doc_id long, text string")
+    kept = sorted((r.doc_id, r.text or "") for r in simhash.keep_one(frame).collect() if r.doc_id)
+    rest = sorted(r.text or "" for r in simhash.keep_one(frame).collect() if r.doc_id is None)
+    assert kept == [(4, "d e f g")] and rest == ["", "A  b c"]
 
 
 # 3 quality, 6 toxicity
@@ -420,7 +424,6 @@ def test_viterbi_against_all_labellings():
 def check_pack(rows, texts, capacity=2048):
     """texts: (doc_id, text) pairs, repeated rows included."""
     tokenizer = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    tokenizer.encode_special_tokens = True
     expected = Counter()
     for doc, text in texts:
         ids = [*tokenizer.encode(text or "", add_special_tokens=False).ids, 0]
@@ -471,6 +474,37 @@ def test_plan_places_every_piece(seed):
         assert sum(n for _, n in spans) <= 32 and sum(3 * n > 32 for _, n in spans) <= 2
 
 
+def test_added_tokens_as_a_plain_call_gives_them(spark):
+    texts = ["a <|endoftext|> b", "<|endoftext|>", "x<|endoftext|>\n y", "<|endoftext"]
+    rows = packing.pack(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
+    check_pack(rows, list(enumerate(texts)))
+    assert np.frombuffer(next(r.ids for r in rows if r.doc_id == 0), "<u4").tolist() == [64, 220, 50256, 275, 0]
+
+
+def test_ids_of_drawn_texts_against_an_untouched_tokenizer():
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    plain, coder, rng = Tokenizer.from_file(path), packing.Encoder(path), random.Random(3)
+    parts = ["the", " ", "  ", "\n", "\t", "a", "'s", "'ll", "don't", "<|endoftext|>", "<|end", "1", "23", "é", "ß", "Å", "×", "÷",
+             "ñ", "漢", "😀", ".", ",", "!!", "\r\n", "\x0b", "\xa0", "\x85", "ª", "µ", "²", "'", '"', "-", "İ", " ", "\x1c"]
+    assert coder.quick is not None
+    for _ in range(15_000):
+        text = "".join(rng.choice(parts) for _ in range(rng.randint(0, 14)))
+        assert np.frombuffer(coder.ids([text])[0], "<u4").tolist() == plain.encode(text, add_special_tokens=False).ids, text
+
+
+def test_pieces_and_their_numbers():
+    totals = np.array([1, 8, 9, 16, 25])
+    doc, piece, start, length = packing.cut_lengths(totals, 8)
+    for d, total in enumerate(totals):
+        first = total % 8 or 8
+        starts = [0, *range(first, total, 8)]
+        assert start[doc == d].tolist() == starts and piece[doc == d].tolist() == list(range(len(starts)))
+        assert length[doc == d].tolist() == np.diff([*starts, total]).tolist()
+    seen, again = np.zeros(9, np.int64), defaultdict(itertools.count)
+    for _ in range(2):
+        assert packing._numbered(length, seen).tolist() == [next(again[n]) for n in length]
+
+
 def test_words_encoded_apart_are_the_text_encoded_whole():
     coder = packing.Encoder(public_tokenizers.path("byte_bpe_50k.json"))
     texts = ["", " ", "a", " a", "a ", "a  b", "a\n b", "a \nb", "it's we'll\n\n  x", "<|endoftext|> x", "é ñ 12 3!?", "a  b",
