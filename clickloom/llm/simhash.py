@@ -17,7 +17,6 @@ import pandas as pd
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import Window
 
 from clickloom.llm import batches
 from clickloom.llm.components import components
@@ -204,57 +203,53 @@ def near_duplicates(
 
     Null and white texts have fingerprint 0 and are linked like any others. A null
     id counts for no component's smallest id; a component of such rows alone has
-    null. Repeated rows and equal texts share a fingerprint and are one node. An
-    empty table gives an empty one.
+    null. Repeated rows and equal texts share a fingerprint and are one node. Texts
+    are read whole, however long; other columns are left out. An empty table gives an
+    empty one.
     """
     narrow, classes = _classed(docs, doc_id, text, words, bits)
     return narrow.join(classes, "simhash").select("id", "simhash", "component_id")
 
 
+def _digest(text: Column) -> list[Column]:
+    """128 bits that tell texts apart; null is no text's."""
+    return [F.xxhash64(text).alias("__a"), F.xxhash64(F.lit(1), text).alias("__b")]
+
+
 def _classed(docs: DataFrame, doc_id: str, text: str, words: int, bits: int) -> tuple[DataFrame, DataFrame]:
-    """(id, simhash) of each row, and (simhash, root, component_id) of each fingerprint."""
-    narrow = fingerprints(docs.select(F.col(doc_id).alias("id"), F.col(text).alias("text")), "text", words)
-    narrow = cut_lineage(narrow.select("id", "simhash"))
+    """(id, __a, __b, simhash) of each row, and (simhash, root, component_id) of each fingerprint, both written."""
+    narrow = docs.select(F.col(doc_id).alias("id"), F.col(text).alias("text"), *_digest(F.col(text)))
+    narrow = cut_lineage(fingerprints(narrow, "text", words).drop("text"))
     nodes = cut_lineage(narrow.groupBy(F.col("simhash").alias("fp")).agg(F.min("id").alias("id")))
     roots = components(links(nodes, bits)).withColumnRenamed("node", "fp")
     whole = nodes.join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
     least = whole.groupBy("root").agg(F.min("id").alias("component_id"))
-    return narrow, whole.join(least, "root").select(F.col("fp").alias("simhash"), "root", "component_id")
+    return narrow, cut_lineage(whole.join(least, "root").select(F.col("fp").alias("simhash"), "root", "component_id"))
 
 
 def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", words: int = 3, bits: int = 3) -> DataFrame:
-    """The rows of `docs`, one of each component: that of the smallest id.
+    """One row of `docs` for each component: that of the smallest id.
 
-    Of rows alike in that id the one with the smallest text stays; a component without
-    any id has no such row and keeps all of its rows. An id that stands in several
-    components, with unlike texts, is the smallest in each on its own.
+    Of rows alike in that id the one with the smallest text stays (null before the
+    empty text), of rows alike in both any one. A component without any id keeps its
+    smallest text. An id on unlike texts may stand in several components and is looked
+    at in each. Null, empty and white texts are one component; long texts are read
+    whole; columns of `docs` are returned as they are. An empty table gives an empty one.
     """
     narrow, classes = _classed(docs, doc_id, text, words, bits)
-    found = narrow.join(classes, "simhash")
-    # Ids that are the smallest of a component, and whether their rows are spread over several components.
-    first = found.where(F.col("id").isNotNull()).groupBy(F.col("id").alias("__first")).agg(
-        F.max(F.col("id") == F.col("component_id")).alias("__least"), (F.min("root") < F.max("root")).alias("__spread")
+    # What bears the id of its component, or bears none where no row does; a text is in one component only.
+    first = narrow.join(classes, "simhash").where(F.col("id").eqNullSafe(F.col("component_id")))
+    first = cut_lineage(first.select(F.col("id").alias("__id"), "__a", "__b", F.col("root").alias("__root")).distinct())
+    keyed = docs.select("*", F.struct(*_digest(F.col(text))).alias("__key"))
+    met = keyed.join(
+        first,
+        F.col(doc_id).eqNullSafe(F.col("__id"))
+        & (F.col("__key.__a") == F.col("__a")) & (F.col("__key.__b") == F.col("__b")),
     )
-    first = cut_lineage(first.where("__least").select("__first", "__spread"))
-    order = Window.partitionBy("__first").orderBy(F.col(text).asc_nulls_first())
-    kept = docs.join(first.where("NOT __spread"), F.col(doc_id) == F.col("__first"))
-    kept = kept.withColumn("__rank", F.row_number().over(order)).where("__rank = 1")
-    # Only the text tells which component a row of a spread id belongs to. Few ids are spread as a rule:
-    # written first, so that their size is known when the join is planned.
-    spread = cut_lineage(first.where("__spread").select("__first"))
-    several = docs.join(spread, F.col(doc_id) == F.col("__first"), "left_semi")
-    several = fingerprints(several, text, words, "__simhash").join(
-        classes.select(F.col("simhash").alias("__simhash"), F.col("root").alias("__root"), F.col("component_id").alias("__component")),
-        "__simhash",
+    kept = met.groupBy("__root").agg(
+        F.min_by(F.struct(*docs.columns), F.struct(F.col(text))).alias("__row")
     )
-    order = Window.partitionBy("__root").orderBy(F.col(text).asc_nulls_first())
-    several = several.where(F.col(doc_id) == F.col("__component"))
-    several = several.withColumn("__rank", F.row_number().over(order)).where("__rank = 1")
-    lone = classes.where(F.col("component_id").isNull()).select(F.col("simhash").alias("__simhash"))
-    without = fingerprints(docs.where(F.col(doc_id).isNull()), text, words, "__simhash")
-    without = without.join(lone, "__simhash", "left_semi")
-    kept, several, without = (x.select(docs.columns) for x in (kept, several, without))
-    return kept.unionByName(several).unionByName(without)
+    return kept.select("__row.*")
 
 
 def hex_of(column: Column) -> Column:
