@@ -8,17 +8,17 @@ from pyspark.sql import functions as F
 from clickloom.functions import clock, rowkeys
 from clickloom.operators import rules
 from clickloom.operators.routing import env_of, routed
-from clickloom.operators.skew import salted_join
 
 STEP_MS = clock.HALF_MINUTE_MS
+STEP_SECONDS = STEP_MS // 1000
 WATCH_KEYS = [
     ("v1_element_content", "content"), ("v1_message_id", "item"),
     ("v1_custom_params", "offset"), ("v1_custom_params2", "uid"),
 ]
 
 
-def watch_marks(events: DataFrame, envs: dict[str, str]) -> DataFrame:
-    """Distinct (uid, item, env, mode, bucket) marks.
+def mark_rows(events: DataFrame, envs: dict[str, str]) -> DataFrame:
+    """(uid, item, env, mode, bucket) of every heartbeat and replay, repeats included.
 
     A live heartbeat marks its half minute (millis); a replay marks its offset
     in seconds. A replay whose offset is no number is rejected.
@@ -28,14 +28,15 @@ def watch_marks(events: DataFrame, envs: dict[str, str]) -> DataFrame:
         F.col("type") == "live",
         clock.floor_millis(clock.text_to_millis(F.col("time")), STEP_MS),
     ).otherwise(F.col("offset").try_cast("bigint"))
-    return (
-        rows.select(
-            "uid", "item", env_of(F.col("project"), envs).alias("env"),
-            F.col("type").alias("mode"), bucket.alias("bucket"),
-        )
-        .where(F.col("env").isNotNull() & F.col("bucket").isNotNull())
-        .distinct()
-    )
+    return rows.select(
+        "uid", "item", env_of(F.col("project"), envs).alias("env"),
+        F.col("type").alias("mode"), bucket.alias("bucket"),
+    ).where(F.col("env").isNotNull() & F.col("bucket").isNotNull())
+
+
+def watch_marks(events: DataFrame, envs: dict[str, str]) -> DataFrame:
+    """Distinct (uid, item, env, mode, bucket) marks."""
+    return mark_rows(events, envs).distinct()
 
 
 def mark_cells(marks: DataFrame) -> DataFrame:
@@ -53,53 +54,71 @@ def grid(schedule: DataFrame) -> DataFrame:
     return schedule.select("item", F.explode(points).alias("p")).select("item", "p.*")
 
 
-def watched_points(marks: DataFrame, schedule: DataFrame) -> DataFrame:
-    """Distinct grid indexes seen by each (uid, item, env), with the grid size.
+def indexed(marks: DataFrame, schedule: DataFrame) -> DataFrame:
+    """(uid, item, env, idx, points) of marks: the grid index of each and the size of its grid.
 
-    The index follows from the mark by arithmetic; no grid is built. The
-    schedule has one row per item and is joined salted, as one course may hold
-    most of the marks.
+    The index follows from the mark by arithmetic; no grid is built. The schedule has
+    one row per item; where it is large and one course holds most of the marks, adaptive
+    execution splits that course's partition.
     """
-    joined = salted_join(marks, schedule, ["item"], ["uid", "bucket"])
+    joined = marks.join(schedule.select("item", "start_ms", "end_ms"), "item")
     since = F.col("bucket") - clock.grid_start(F.col("start_ms"), STEP_MS)
     live = F.when(since % STEP_MS == 0, F.floor(since / STEP_MS))
     # Offsets are divided like whole numbers, towards zero.
-    play = F.expr(f"bucket div {STEP_MS // 1000}")
+    play = F.expr(f"bucket div {STEP_SECONDS}")
     index = F.when(F.col("mode") == "live", live).otherwise(play).cast("bigint")
+    return joined.select(
+        "uid", "item", "env", index.alias("idx"),
+        clock.grid_size(F.col("start_ms"), F.col("end_ms"), STEP_MS).alias("points"),
+    )
+
+
+def watched_words(points: DataFrame, keys: list[str]) -> DataFrame:
+    """(keys, word, bits, points): the grid points seen by each key as bitmaps of 64 points.
+
+    A row of a key without a point on the grid has no word and no bit. The bitmaps are
+    merged before the shuffle, so it carries 16 bytes for each half hour watched, however
+    often. A word is as short as a bitmap can be; the engine's own bitmaps take 4 kB each.
+    """
+    on_grid = (F.col("idx") >= 0) & (F.col("idx") < F.col("points"))
+    word = F.when(on_grid, F.shiftright("idx", 6)).alias("word")
+    bit = F.when(on_grid, F.expr("shiftleft(1L, CAST(idx & 63 AS INT))")).otherwise(F.lit(0).cast("bigint"))
     return (
-        joined.select(
-            "uid", "item", "env", index.alias("idx"),
-            clock.grid_size(F.col("start_ms"), F.col("end_ms"), STEP_MS).alias("points"),
-        )
-        .distinct()
+        points.select(*keys, word, bit.alias("bit"), "points")
+        .groupBy(*keys, "word")
+        .agg(F.bit_or("bit").alias("bits"), F.max("points").alias("points"))
     )
 
 
 def grid_hits(marks: DataFrame, schedule: DataFrame) -> DataFrame:
-    """(item, idx, point, num): grid points with the number of users who watched them."""
+    """(item, idx, point, num): grid points with the number of users who watched them.
+
+    The bitmaps of a user are merged over the environments, and their bits are told
+    apart only then.
+    """
     first = clock.grid_start(F.col("start_ms"), STEP_MS)
-    watched = watched_points(marks, schedule).where(
-        (F.col("idx") >= 0) & (F.col("idx") < F.col("points"))
-    )
-    per_point = watched.select("uid", "item", "idx").distinct().groupBy("item", "idx").agg(
-        F.count("uid").alias("num")
+    words = watched_words(indexed(marks, schedule), ["uid", "item"]).where("word IS NOT NULL AND uid IS NOT NULL")
+    places = F.filter(
+        F.sequence(F.lit(0), F.lit(63)), lambda i: F.getbit(F.col("bits"), i) == 1
     )
+    seen = words.select("item", (F.shiftleft("word", 6) + F.explode(places)).alias("idx"))
+    per_point = seen.groupBy("item", "idx").agg(F.count("*").alias("num"))
     return per_point.join(schedule.select("item", first.alias("first")), "item").select(
         "item", "idx", (F.col("first") + F.col("idx") * STEP_MS).alias("point"), "num"
     )
 
 
 def watch_progress(marks: DataFrame, schedule: DataFrame) -> DataFrame:
-    """percent and seconds watched per (uid, item, env)."""
-    seen = F.count_if((F.col("idx") >= 0) & (F.col("idx") < F.col("points")))
+    """percent and seconds watched per (uid, item, env), from the bits set in its bitmaps."""
+    keys = ["uid", "item", "env"]
     return (
-        watched_points(marks, schedule)
-        .groupBy("uid", "item", "env")
-        .agg(seen.alias("__seen"), F.max("points").alias("__points"))
+        watched_words(indexed(marks, schedule), keys)
+        .groupBy(*keys)
+        .agg(F.sum(F.bit_count("bits")).alias("__seen"), F.max("points").alias("__points"))
         .select(
-            "uid", "item", "env",
+            *keys,
             (F.col("__seen") / F.col("__points")).alias("percent"),
-            (F.col("__seen") * (STEP_MS // 1000)).alias("times"),
+            (F.col("__seen") * STEP_SECONDS).alias("times"),
         )
     )
 

@@ -7,23 +7,31 @@ be followed in time order. It is cut into slices that are worked on apart:
 1. per (key, slice) the distinct times, sorted;
 2. per slice a small table "entered with last counted time up to x -> leaves
    with last counted time y after n counts";
-3. per key the tables are chained, slice after slice.
+3. tables of neighbouring slices are composed into one, up to WAYS at a time, in
+   rounds until one is left for each key. Composing is associative, so it needs
+   no walk through a key's whole history.
 
-Slices keep a hot key out of any single task in steps 1 and 2; step 3 only
-sees the tables, which hold at most one line per time in the first `gap_ms` of
-a slice and usually one or two, since chains from near starts soon meet.
+A table holds at most one line per time in the first `gap_ms` of its slices and
+usually one or two, since chains from near starts soon meet.
 """
 
 from __future__ import annotations
 
+from bisect import bisect_left
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from clickloom.session import cut_lineage
+
 GAP_MS = 100_000
-NEVER = -(2**62)
+WAYS = 64  # tables composed by one group of a round
+
+
+LINES = T.ArrayType(T.StructType([T.StructField(n, T.LongType()) for n in ("upto", "exit", "n")]))
 
 
 def _lines_of(times: np.ndarray, gap: int, slice_end_of_entries: int):
@@ -52,12 +60,7 @@ def _lines_of(times: np.ndarray, gap: int, slice_end_of_entries: int):
 
 
 def _lines(gap_ms: int, slice_ms: int):
-    schema = T.ArrayType(
-        T.StructType(
-            [T.StructField(n, T.LongType()) for n in ("upto", "exit", "n")]
-        )
-    )
-    @F.pandas_udf(schema)
+    @F.pandas_udf(LINES)
     def lines(times: pd.Series, slice_no: pd.Series) -> pd.Series:
         out = []
         for values, number in zip(times, slice_no):
@@ -68,6 +71,33 @@ def _lines(gap_ms: int, slice_ms: int):
     return lines
 
 
+def composed(tables: list[list[tuple[int, int, int]]], start: int) -> list[tuple[int, int, int]]:
+    """One table that does what `tables` do one after another, for entries before `start`."""
+    done: list[tuple[int, int, int]] = []
+    for lines in tables:
+        uptos = [line[0] for line in lines]
+        joined = []
+        for upto, leave, n in done:
+            at = bisect_left(uptos, leave)  # the first line whose range holds the time left with
+            if at < len(lines):
+                leave, n = lines[at][1], n + lines[at][2]
+            joined.append((upto, leave, n))
+        # An entry above all lines so far has counted nothing and meets this table itself.
+        joined += [line for line in lines if not done or line[0] > done[-1][0]]
+        joined = joined[: bisect_left([line[0] for line in joined], start - 1) + 1]
+        done = [a for a, b in zip(joined, [*joined[1:], None]) if b is None or a[1:] != b[1:]]
+    return done
+
+
+@F.pandas_udf(LINES)
+def _composed(groups: pd.Series) -> pd.Series:
+    out = []
+    for parts in groups:
+        tables = [[(r["upto"], r["exit"], r["n"]) for r in p["lines"]] for p in parts]
+        out.append([{"upto": u, "exit": e, "n": n} for u, e, n in composed(tables, parts[0]["start"])])
+    return pd.Series(out)
+
+
 def counted_reads(
     reads: DataFrame,
     keys: list[str],
@@ -75,7 +105,11 @@ def counted_reads(
     gap_ms: int = GAP_MS,
     slice_ms: int | None = None,
 ) -> DataFrame:
-    """Number of counted reads per key, exact for any key size."""
+    """Number of counted reads per key, exact for any key size.
+
+    The tables of neighbouring slices are composed in rounds, WAYS at a time, so no
+    group holds more than WAYS tables however long the history of a key is.
+    """
     slice_ms = slice_ms or 8 * gap_ms
     if slice_ms < gap_ms:
         raise ValueError("a slice is at least one gap long")
@@ -86,24 +120,26 @@ def counted_reads(
     solved = slices.select(
         *keys, "__slice", _lines(gap_ms, slice_ms)("__times", "__slice").alias("__lines")
     )
-
-    def chain(acc, part):
-        # First line whose range holds the entry time; none: the slice adds nothing.
-        line = F.get(F.filter(part["lines"], lambda x: x["upto"] >= acc["last"]), F.lit(0))
-        return F.struct(
-            F.coalesce(line["exit"], acc["last"]).alias("last"),
-            (acc["n"] + F.coalesce(line["n"], F.lit(0))).cast("bigint").alias("n"),
-        )
-
-    start = F.struct(F.lit(NEVER).cast("bigint").alias("last"), F.lit(0).cast("bigint").alias("n"))
-    parts = F.array_sort(
-        F.collect_list(F.struct(F.col("__slice").alias("no"), F.col("__lines").alias("lines")))
-    )
-    return (
-        solved.groupBy(*keys)
-        .agg(parts.alias("__parts"))
-        .select(*keys, F.aggregate("__parts", start, chain)["n"].alias("num"))
+    # Written once: the span tells the number of rounds.
+    solved = cut_lineage(solved)
+    first, last = solved.agg(F.min("__slice"), F.max("__slice")).first()
+    span = 0 if first is None else last - first
+    solved = solved.select(
+        *keys, (F.col("__slice") - F.lit(first or 0)).alias("__slice"), (F.col("__slice") * slice_ms).alias("__start"),
+        "__lines",
     )
+    while True:
+        part = F.struct(F.col("__slice").alias("no"), F.col("__start").alias("start"), F.col("__lines").alias("lines"))
+        group = F.floor(F.col("__slice") / WAYS).cast("bigint").alias("__slice")
+        grouped = solved.groupBy(*keys, group).agg(F.array_sort(F.collect_list(part)).alias("__parts"))
+        solved = grouped.select(
+            *keys, "__slice", F.get("__parts", F.lit(0))["start"].alias("__start"), _composed("__parts").alias("__lines")
+        )
+        span //= WAYS
+        if not span:
+            break
+    # Nothing counted before: the first line holds.
+    return solved.select(*keys, F.coalesce(F.get("__lines", F.lit(0))["n"], F.lit(0)).cast("bigint").alias("num"))
 
 
 def article_reads(

@@ -27,30 +27,29 @@ def salted_join(
 ) -> DataFrame:
     """Equi-join whose left side may be skewed on `keys`.
 
-    Left rows get a salt from the `spread` columns and the right side is copied
-    once per salt, so a hot key is joined by `salts` tasks. With `heavy` (a
-    bounded list from heavy_keys) only those keys are salted and copied.
+    With `heavy` (a bounded list from heavy_keys) the left rows of those keys get a salt
+    from the `spread` columns and their right rows are copied once per salt, so a hot key
+    is joined by `salts` tasks. Without it the join is a plain one: adaptive execution
+    broadcasts a right side whose measured size is small, and splits skewed partitions.
     """
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError("only joins that keep the left side can be salted")
     salt = F.pmod(F.xxhash64(*spread), F.lit(salts)).cast("int")
     copies = F.sequence(F.lit(0), F.lit(salts - 1))
     if heavy is None:
-        salted_left = left.withColumn(SALT, salt)
-        salted_right = right.withColumn(SALT, F.explode(copies))
-    else:
-        flags = F.broadcast(heavy.select(*keys).withColumn("__hot", F.lit(True)))
-        hot = F.coalesce(F.col("__hot"), F.lit(False))
-        salted_left = (
-            left.join(flags, keys, "left")
-            .withColumn(SALT, F.when(hot, salt).otherwise(F.lit(0)))
-            .drop("__hot")
-        )
-        salted_right = (
-            right.join(flags, keys, "left")
-            .withColumn(SALT, F.explode(F.when(hot, copies).otherwise(F.array(F.lit(0)))))
-            .drop("__hot")
-        )
+        return left.join(right, keys, how)
+    flags = F.broadcast(heavy.select(*keys).withColumn("__hot", F.lit(True)))
+    hot = F.coalesce(F.col("__hot"), F.lit(False))
+    salted_left = (
+        left.join(flags, keys, "left")
+        .withColumn(SALT, F.when(hot, salt).otherwise(F.lit(0)))
+        .drop("__hot")
+    )
+    salted_right = (
+        right.join(flags, keys, "left")
+        .withColumn(SALT, F.explode(F.when(hot, copies).otherwise(F.array(F.lit(0)))))
+        .drop("__hot")
+    )
     return salted_left.join(salted_right, [*keys, SALT], how).drop(SALT)
 
 

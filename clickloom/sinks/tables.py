@@ -6,14 +6,10 @@ from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark import inheritable_thread_target
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
-RING = 64  # batches of counts that have a folder of their own before they are folded into the totals
-
-
 def overwrite_partition(df: DataFrame, path: str, dt: str = "dt") -> None:
     """Replace only the partitions that occur in df."""
     (
@@ -82,82 +78,13 @@ def read_lists(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.text(path).select("list", "batch", "value")
 
 
-def add_counts(delta: DataFrame, path: str, batch_id: int, keys: list[str], value: str = "num",
-               ring: int = RING) -> None:
-    """Book the counts of one batch. Replaying the batch replaces its own booking.
+def write_changes(changed: DataFrame, path: str, batch_id: int) -> None:
+    """The rows of a running table that a batch changed, under its number; a replay replaces itself.
 
-    A batch has one of `ring` folders. Before the first of them is used again,
-    all are folded into the totals, so the number of folders stays the same.
+    The table itself is in the state of its query (streaming.running), so these folders
+    are for readers that follow the changes, and may be deleted once they were read.
     """
-    _fold(delta.sparkSession, path, batch_id // ring, keys, value, ring)
-    booked = delta.groupBy(*keys).agg(F.sum(value).alias(value))
-    overwrite_partition(
-        booked.withColumns({"batch": F.lit(batch_id), "slot": F.lit(batch_id % ring)}), f"{path}/ring", "slot"
-    )
-
-
-def _fold(spark: SparkSession, path: str, rounds: int, keys: list[str], value: str, ring: int) -> None:
-    """Totals of all batches before this round of the ring, under the round's number."""
-    if rounds > max(_versions(spark, path), default=0):
-        write_version(read_counts(spark, path, keys, value, ring), path, rounds)
-
-
-def read_counts(spark: SparkSession, path: str, keys: list[str], value: str = "num",
-                ring: int = RING) -> DataFrame:
-    """Current totals: those folded and the batches booked since."""
-    folded = max(_versions(spark, path), default=0)
-    recent = spark.read.parquet(f"{path}/ring").where(F.col("batch") >= folded * ring)
-    rows = recent.select(*keys, value)
-    rows = rows.unionByName(read_version(spark, path, folded + 1, rows.limit(0)))
-    return rows.groupBy(*keys).agg(F.sum(value).alias(value))
-
-
-def _versions(spark: SparkSession, path: str) -> dict[int, int]:
-    """Complete versions, two at most, and the folder each is in."""
-    try:
-        marks = spark.read.schema("version bigint, slot int").parquet(f"{path}/marks")
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return {}
-    return {row["version"]: row["slot"] for row in marks.collect()}
-
-
-def write_version(df: DataFrame, path: str, version: int) -> None:
-    """A whole table as one version, in the folder that does not hold the version before.
-
-    The version is marked once its folder is written, so a reader never meets
-    half of one, and a replay writes the same folder again.
-    """
-    spark = df.sparkSession
-    held = _versions(spark, path)
-    before = max((v for v in held if v < version), default=None)
-    slot = 0 if before is None else 1 - held[before]
-    overwrite_table(df, f"{path}/version-{slot}")
-    mark = spark.range(0, 1, 1, 1).select(
-        F.lit(version).cast("bigint").alias("version"), F.lit(slot).alias("slot")
-    )
-    overwrite_partition(mark, f"{path}/marks", "slot")
-
-
-def read_version(spark: SparkSession, path: str, before: int | None, empty: DataFrame) -> DataFrame:
-    """The newest complete version (below `before`, if given); `empty` where there is none."""
-    held = _versions(spark, path)
-    usable = [v for v in held if before is None or v < before]
-    if not usable:
-        return empty
-    return spark.read.schema(empty.schema).parquet(f"{path}/version-{held[max(usable)]}")
-
-
-def upsert_version(source: DataFrame, path: str, batch_id: int, keys: list[str], empty: DataFrame,
-                   merge: Callable[[DataFrame, DataFrame], DataFrame] | None = None) -> None:
-    """Merge a batch into the previous version of a keyed table and write the next one; two are kept."""
-    from clickloom.operators.upserts import upsert
-
-    spark = source.sparkSession
-    target = read_version(spark, path, batch_id, empty)
-    merged = merge(target, source) if merge else upsert(target, source, keys)
-    write_version(merged, path, batch_id)
+    overwrite_partition(changed.withColumn("batch", F.lit(batch_id)), path, "batch")
 
 
 def stream_to(

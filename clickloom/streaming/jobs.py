@@ -2,16 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from clickloom.functions import clock
-from clickloom.operators import answers, counters, parsing, progress, routing, schemas
+from clickloom.operators import answers, parsing, progress, routing, schemas
 from clickloom.sinks import tables
-from clickloom.streaming import stateful
+from clickloom.streaming import running, stateful
 
 
 def ingest(records: DataFrame, path: str, checkpoint: str, trigger: str | None = None,
@@ -35,25 +33,6 @@ def visits_step(path: str, project: str | None, tz: str = "UTC"):
     return step
 
 
-def counts_step(path: str, project: str | None, tz: str = "UTC"):
-    """Shares per adviser and day and per message, push openings and plays, as running totals."""
-
-    def step(batch: DataFrame, batch_id: int) -> None:
-        shared = routing.share_rows(batch, project)
-        shares = counters.shares_by_adviser(shared, tz)
-        tables.add_counts(shares, f"{path}/shares", batch_id, ["metric", "lcs_id", "day"])
-        pushes = counters.count_per(routing.push_rows(batch), ["notice_id"])
-        tables.add_counts(pushes, f"{path}/pushes", batch_id, ["notice_id"])
-        messages = counters.shares_by_message(shared)
-        tables.add_counts(messages, f"{path}/messages", batch_id, ["field"])
-        plays = routing.play_rows(batch, project).withColumn("ts", clock.millis_to_ts(F.col("ms")))
-        keys = ["type", "msg_id"]
-        windows = counters.count_per_window(plays, F.col("ts"), "10 minutes", keys)
-        tables.add_counts(windows, f"{path}/plays", batch_id, ["window_start", *keys])
-
-    return step
-
-
 def course_step(path: str, envs: dict[str, str], tee: str | None = None):
     def step(batch: DataFrame, batch_id: int) -> None:
         rows = routing.course_routes(batch, envs)
@@ -94,52 +73,48 @@ def marks_step(path: str, envs: dict[str, str]):
     return step
 
 
-def active_progress(marks: DataFrame, schedule: DataFrame, batch_id: int) -> DataFrame:
-    """Progress of the (uid, item, env) that got a mark in a batch, over all their marks."""
-    keys = ["uid", "item", "env"]
-    active = marks.where(F.col("batch") == batch_id).select(*keys).distinct()
-    known = marks.drop("batch").distinct().join(active, keys, "left_semi")
-    return progress.watch_progress(known, schedule)
+def answers_step(path: str, envs: dict[str, str]):
+    """History rows of the answering pages; the page flags are a running table."""
 
+    def step(batch: DataFrame, batch_id: int) -> None:
+        history = answers.answer_history(answers.answer_rows(batch, envs)).withColumn("batch", F.lit(batch_id))
+        tables.overwrite_partition(history, f"{path}/history", "batch")
 
-MARKS = "uid string, item string, env string, mode string, bucket bigint, batch int"
-PROGRESS = "uid string, item string, env string, percent double, times bigint"
+    return step
 
 
-def progress_step(path: str, schedule: Callable[[SparkSession], DataFrame], envs: dict[str, str]):
-    """Marks of the batch, then the progress of everyone who got one; `schedule` gives item, start_ms, end_ms."""
-    keep = marks_step(f"{path}/marks", envs)
+def _changes(path: str | None):
+    """foreachBatch function that writes a running table's changed rows, or only keeps the state going."""
 
-    def step(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        keep(batch, batch_id)
-        # A replay sees the marks of its own and earlier batches only.
-        marks = spark.read.schema(MARKS).parquet(f"{path}/marks").where(F.col("batch") <= batch_id)
-        found = active_progress(marks, schedule(spark), batch_id)
-        tables.upsert_version(
-            found, f"{path}/progress", batch_id, ["uid", "item", "env"],
-            spark.createDataFrame([], PROGRESS),
-        )
+    def write(batch: DataFrame, batch_id: int) -> None:
+        if path is None:
+            batch.write.format("noop").mode("overwrite").save()
+        else:
+            tables.write_changes(batch, path, batch_id)
 
-    return step
+    return write
 
 
-def answers_step(path: str, envs: dict[str, str]):
-    """History rows and the flag upsert of the answering pages."""
-    schema = "env string, ques_id string, uid string, ext_info string, ques_relation_type int"
+def running_tables(records: DataFrame, project: str | None, envs: dict[str, str], path: str | None,
+                   checkpoint: str, trigger: str | None = None, tz: str = "UTC") -> StreamingQuery:
+    """Shares per adviser and day and per message, push openings, plays and page flags as running totals.
 
-    def step(batch: DataFrame, batch_id: int) -> None:
-        rows = answers.answer_rows(batch, envs)
-        history = answers.answer_history(rows).withColumn("batch", F.lit(batch_id))
-        tables.overwrite_partition(history, f"{path}/history", "batch")
-        flags = answers.page_flags(rows)
-        empty = batch.sparkSession.createDataFrame([], schema)
-        tables.upsert_version(
-            flags, f"{path}/flags", batch_id, ["env", "ques_id", "uid"], empty,
-            merge=answers.merge_flags,
-        )
+    One query and one state for all of them; running.read_totals reads a table.
+    """
+    events = parsing.envelope(records, "value")
+    found = running.totals(running.app_updates(events, project, envs, tz))
+    return tables.stream_to(found, checkpoint, trigger, "update").foreachBatch(_changes(path)).start()
 
-    return step
+
+def course_progress(records: DataFrame, schedule: DataFrame, envs: dict[str, str], path: str | None,
+                    checkpoint: str, trigger: str | None = None) -> StreamingQuery:
+    """Progress of everyone who got a mark in a batch; running.read_progress reads the table.
+
+    `schedule` is a table of item, start_ms and end_ms, which is read anew for each batch.
+    """
+    events = parsing.envelope(records, "value")
+    found = running.stream_progress(events, schedule, envs)
+    return tables.stream_to(found, checkpoint, trigger, "update").foreachBatch(_changes(path)).start()
 
 
 def live_sessions(records: DataFrame, project: str | None, path: str, checkpoint: str,
@@ -163,17 +138,13 @@ def live_sessions(records: DataFrame, project: str | None, path: str, checkpoint
     return tables.stream_to(found, checkpoint, trigger).foreachBatch(write).start()
 
 
-def article_reads(records: DataFrame, project: str | None, path: str, checkpoint: str,
+def article_reads(records: DataFrame, project: str | None, path: str | None, checkpoint: str,
                   trigger: str | None = None) -> StreamingQuery:
-    """De-duplicated reads per article as running totals."""
+    """De-duplicated reads as increments per batch; running.read_read_totals gives the totals."""
     events = parsing.envelope(records, "value")
     rows = routing.article_rows(events, project).where(F.col("ms").isNotNull())
     found = stateful.stream_reads(rows)
-
-    def write(batch: DataFrame, batch_id: int) -> None:
-        tables.add_counts(batch, path, batch_id, ["message_id"])
-
-    return tables.stream_to(found, checkpoint, trigger).foreachBatch(write).start()
+    return tables.stream_to(found, checkpoint, trigger).foreachBatch(_changes(path)).start()
 
 
 def run(records: DataFrame, steps, checkpoint: str, trigger: str | None = None) -> StreamingQuery:

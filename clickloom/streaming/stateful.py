@@ -165,7 +165,7 @@ class ReadCounter(StatefulProcessor):
 
     The chain has to be followed in time order, so times wait until the watermark
     has passed them. The last counted time is forgotten once every later read
-    counts anyway.
+    counts anyway; the number counted stays in state, to be read by running.read_read_totals.
     """
 
     def __init__(self, gap_ms: int = READ_GAP_MS):
@@ -175,6 +175,7 @@ class ReadCounter(StatefulProcessor):
         self.handle = handle
         self.last = handle.getValueState("last", "ms bigint")
         self.waiting = handle.getMapState("waiting", "ms bigint", "n int")
+        self.total = handle.getValueState("total", "n bigint")
 
     def handleInputRows(self, key, rows, timerValues):
         for pdf in rows:
@@ -200,6 +201,8 @@ class ReadCounter(StatefulProcessor):
             self.handle.registerTimer(last + self.gap_ms + 1)
         elif last is not None and now > last + self.gap_ms and not due:
             self.last.clear()
+        if counted:
+            self.total.update(((self.total.get()[0] if self.total.exists() else 0) + counted,))
         yield from _frame([{"message_id": key[0], "uid": key[1], "num": counted}] if counted else [])
 
     def close(self) -> None:
@@ -207,7 +210,7 @@ class ReadCounter(StatefulProcessor):
 
 
 def stream_reads(rows: DataFrame, delay: str = "20 seconds", gap_ms: int = READ_GAP_MS):
-    """(message_id, uid, num) increments of counted reads; add them up with sinks.add_counts."""
+    """(message_id, uid, num) increments of counted reads; the totals are in the state."""
     timed = rows.withColumn("ts", F.timestamp_millis("ms")).withWatermark("ts", delay)
     return (
         timed.select("message_id", "uid", "ms", "ts")
@@ -229,8 +232,10 @@ class OnlineUsers(StatefulProcessor):
         self.size = handle.getValueState("size", "n bigint")
 
     def handleInputRows(self, key, rows, timerValues):
-        batch = pd.concat(list(rows)).sort_values(["time", "status"])
-        last = batch.drop_duplicates("uid", keep="last")
+        last = pd.DataFrame(columns=["uid", "status", "time"])
+        for pdf in rows:  # one row a user is left of each chunk before the next one is read
+            both = pd.concat([last, pdf[["uid", "status", "time"]]]) if len(last) else pdf[["uid", "status", "time"]]
+            last = both.sort_values(["time", "status"]).drop_duplicates("uid", keep="last")
         size = self.size.get()[0] if self.size.exists() else 0
         for row in last.itertuples(index=False):
             known = self.members.containsKey((row.uid,))

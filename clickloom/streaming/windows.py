@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clickloom.functions import clock
@@ -67,41 +67,33 @@ def running_counts(rows: DataFrame, keys: list[str]) -> DataFrame:
     return rows.groupBy(*keys).agg(F.count("*").alias("num"))
 
 
-class LateRows:
-    """Side output of late rows, for foreachBatch.
+def batch_watermark_ms(spark: SparkSession, checkpoint: str, batch_id: int) -> int:
+    """The watermark the engine runs a batch with, from the query's own offset log (0: none yet).
 
-    Keeps the watermark each batch started with and splits the batch: rows below
-    it go to `late`, the others to `on_time`. The watermark follows the rule of
-    the engine (largest time seen in earlier batches minus the delay). It is
-    written with the batch, so a restarted stream goes on where it was.
+    The engine writes it down before a batch begins, so a replay of the batch and a
+    restarted query find the same value.
     """
+    log = spark.read.text(f"{checkpoint}/offsets/{batch_id}")
+    told = F.get_json_object("value", "$.batchWatermarkMs").cast("bigint")
+    return log.agg(F.max(told)).first()[0] or 0
 
-    def __init__(self, path: str, delay_ms: int, on_time: Callable, late: Callable, ts="ts"):
-        self.path = path
-        self.delay_ms = delay_ms
-        self.on_time = on_time
-        self.late = late
-        self.ts = ts
 
-    def _watermark(self, spark, batch_id: int):
-        from clickloom.sinks.tables import read_version
+def late_rows(checkpoint: str, on_time: Callable, late: Callable, ts: str = "ts") -> Callable:
+    """foreachBatch function that sends rows behind the watermark to `late` and the others to `on_time`.
 
-        none = spark.createDataFrame([], "ms bigint")
-        row = read_version(spark, self.path, batch_id, none).agg(F.max("ms")).first()
-        return row[0]
-
-    def __call__(self, batch: DataFrame, batch_id: int) -> None:
-        from clickloom.sinks.tables import write_version
+    The stream has a watermark on `ts` (event_time) and runs with this checkpoint; what is
+    late is the engine's decision: a row below the watermark of its batch.
+    """
 
-        spark = batch.sparkSession
+    def split(batch: DataFrame, batch_id: int) -> None:
+        mark = F.timestamp_millis(F.lit(batch_watermark_ms(batch.sparkSession, checkpoint, batch_id)))
         batch.persist()
         try:
-            mark = self._watermark(spark, batch_id)
-            ms = F.unix_millis(self.ts)
-            is_late = F.lit(False) if mark is None else ms < F.lit(mark - self.delay_ms)
-            self.on_time(batch.where(~is_late), batch_id)
-            self.late(batch.where(is_late), batch_id)
-            seen = batch.agg(F.greatest(F.max(ms), F.lit(mark).cast("bigint")).alias("ms"))
-            write_version(seen.where(F.col("ms").isNotNull()), self.path, batch_id)
+            # Rows without a time can't be late.
+            is_late = F.coalesce(F.col(ts) < mark, F.lit(False))
+            on_time(batch.where(~is_late), batch_id)
+            late(batch.where(is_late), batch_id)
         finally:
             batch.unpersist()
+
+    return split

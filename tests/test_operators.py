@@ -4,6 +4,7 @@ import json
 import math
 import random
 
+import numpy as np
 import pytest
 from conftest import rows
 from pyspark.sql import functions as F
@@ -664,3 +665,62 @@ def test_intermediates_can_be_dropped(spark, tmp_path, monkeypatch):
     assert list((tmp_path / "app").iterdir())
     session.drop_intermediates(spark)
     assert not (tmp_path / "app").exists()
+
+
+def test_tables_of_reads_compose_in_any_grouping():
+    rnd = random.Random(8)
+    gap, width = 10, 25
+    for _ in range(300):
+        times = sorted({rnd.randrange(0, 400) for _ in range(rnd.randrange(1, 60))})
+        slices = {}
+        for t in times:
+            slices.setdefault(t // width, []).append(t)
+        held = [(no, reads._lines_of(np.array(ts), gap, no * width + gap)) for no, ts in sorted(slices.items())]
+        for _ in range(3):  # neighbours are joined in drawn groups until one table is left
+            parts = held
+            while len(parts) > 1:
+                at, joined = 0, []
+                while at < len(parts):
+                    n = rnd.randrange(1, 4)
+                    group = parts[at:at + n]
+                    joined.append((group[0][0], reads.composed([x[1] for x in group], group[0][0] * width)))
+                    at += n
+                parts = joined
+            last, counted = None, 0
+            for t in times:
+                if last is None or t > last + gap:
+                    last, counted = t, counted + 1
+            assert parts[0][1][0][2] == counted
+            assert all(len(lines) <= gap + 1 for _, lines in parts)
+
+
+def test_no_group_of_reads_holds_more_than_its_share(spark):
+    rows_ = [("hot", 1_000 * i * 800) for i in range(5_000)] + [("cold", 5), ("cold", 50)]
+    df = spark.createDataFrame(rows_, "key string, ms bigint")
+    sizes = []
+    plain = reads._composed
+    try:
+        reads._composed = lambda parts: sizes.append(parts) or plain(parts)
+        got = reads.counted_reads(df, ["key"], "ms", 100_000)
+    finally:
+        reads._composed = plain
+    assert len(sizes) == 3  # 5,000 slices in rounds of 64: 79, then 2, then 1
+    assert rows(got, "key", "num") == [("cold", 1), ("hot", 5_000)]
+
+
+def test_watch_bitmaps_against_sets(spark):
+    rnd = random.Random(3)
+    data = [(f"u{rnd.randrange(3)}", rnd.choice(["i", None]), rnd.randrange(-70, 400), 300) for _ in range(2_000)]
+    data += [("out", "i", 500, 300), (None, "i", 63, 300), (None, "i", 64, 300), ("edge", "i", 299, 300)]
+    df = spark.createDataFrame(data, "uid string, item string, idx bigint, points bigint")
+    words = progress.watched_words(df, ["uid", "item"])
+    got = {}
+    for r in words.collect():
+        bits = (r.bits or 0) % (1 << 64)
+        found = {64 * r.word + i for i in range(64) if bits >> i & 1} if r.word is not None else set()
+        assert (r.word is None) == (not found)
+        got[r.uid, r.item] = got.get((r.uid, r.item), set()) | found
+    expected = {}
+    for uid, item, idx, points in data:
+        expected.setdefault((uid, item), set()).update({idx} if 0 <= idx < points else set())
+    assert got == expected

@@ -9,12 +9,12 @@ from conftest import rows
 from pyspark.sql import functions as F
 
 from clickloom.functions import clock
-from clickloom.operators import answers, counters, online, progress, reads, routing, sessions
+from clickloom.operators import answers, counters, online, progress, reads, routing, sessions, upserts
 from clickloom.plans import app
 from clickloom.registry.base import COVER_ENVS, ENVS, Tables
 from clickloom.sinks import tables
 from clickloom.sources import streams
-from clickloom.streaming import jobs, stateful, windows
+from clickloom.streaming import jobs, running, stateful, windows
 
 
 def write_files(folder, batches):
@@ -203,15 +203,8 @@ def test_repeated_polls_are_dropped(spark, tmp_path):
     assert rows(got, "user_id") == [(i,) for i in range(6)]
 
 
-def test_late_rows_go_aside(spark, tmp_path):
-    first = [{"event_type": "a", "user_id": 1, "ms": 100_000}]
-    second = [
-        {"event_type": "on time", "user_id": 2, "ms": 100_001},
-        {"event_type": "within", "user_id": 3, "ms": 60_001},
-        {"event_type": "late", "user_id": 4, "ms": 59_999},
-    ]
-    folder = write_files(tmp_path / "in", [first, second])
-    source = read_json(spark, folder, EVENT).withColumn("ts", F.timestamp_millis("ms"))
+def run_late(spark, tmp_path, folder):
+    source = windows.event_time(read_json(spark, folder, EVENT), F.col("ms"), "40 seconds")
 
     def into(name):
         def write(batch, batch_id):
@@ -219,9 +212,39 @@ def test_late_rows_go_aside(spark, tmp_path):
                 batch.withColumn("batch", F.lit(batch_id)), str(tmp_path / name), "batch")
         return write
 
-    split = windows.LateRows(str(tmp_path / "mark"), 40_000, into("ok"), into("late"))
+    split = windows.late_rows(str(tmp_path / "cp"), into("ok"), into("late"))
     drain(source.writeStream.option("checkpointLocation", str(tmp_path / "cp"))
           .trigger(availableNow=True).foreachBatch(split).start())
+
+
+def test_late_rows_equal_what_the_engine_drops_after_a_restart_too(spark, tmp_path):
+    rnd = random.Random(9)
+    data = [{"event_type": "e", "user_id": i, "ms": 1_000_000 + i * 2_000 + rnd.randrange(-70_000, 10_000)} for i in range(120)]
+    folder = write_files(tmp_path / "in", [data[i:i + 30] for i in range(0, 60, 30)])
+    run_late(spark, tmp_path, folder)
+    write_files(tmp_path / "more", [data[i:i + 30] for i in range(60, 120, 30)])
+    for i in range(2):  # the stream goes on where it was
+        os.rename(tmp_path / "more" / f"{i:04d}.json", tmp_path / "in" / f"{2 + i:04d}.json")
+        run_late(spark, tmp_path, folder)
+    late, mark, top = set(), None, 0
+    for i in range(0, 120, 30):
+        late |= {r["user_id"] for r in data[i:i + 30] if mark is not None and r["ms"] < mark}
+        top = max(top, *(r["ms"] for r in data[i:i + 30]))
+        mark = top - 40_000
+    got = {r.user_id for r in spark.read.parquet(str(tmp_path / "late")).collect()}
+    kept = {r.user_id for r in spark.read.parquet(str(tmp_path / "ok")).collect()}
+    assert got == late and len(late) > 5 and kept == set(range(120)) - late
+
+
+def test_late_rows_go_aside(spark, tmp_path):
+    first = [{"event_type": "a", "user_id": 1, "ms": 100_000}]
+    second = [
+        {"event_type": "on time", "user_id": 2, "ms": 100_001},
+        {"event_type": "within", "user_id": 3, "ms": 60_001},
+        {"event_type": "late", "user_id": 4, "ms": 59_999},
+    ]
+    folder = write_files(tmp_path / "in", [first, second])
+    run_late(spark, tmp_path, folder)
     assert rows(spark.read.parquet(str(tmp_path / "late")), "event_type") == [("late",)]
     assert rows(spark.read.parquet(str(tmp_path / "ok")), "event_type") == [
         ("a",), ("on time",), ("within",)]
@@ -242,7 +265,6 @@ def test_app_job_fans_out_one_parsed_stream(spark, sf, tmp_path):
     out = str(tmp_path)
     steps = [
         jobs.visits_step(f"{out}/lists", "app"),
-        jobs.counts_step(f"{out}/counts", "app"),
         jobs.course_step(f"{out}/course", ENVS, tee=":copy"),
         jobs.marks_step(f"{out}/marks", ENVS),
         jobs.answers_step(f"{out}/answers", ENVS),
@@ -251,10 +273,15 @@ def test_app_job_fans_out_one_parsed_stream(spark, sf, tmp_path):
     events = Tables(spark, sf).app_events.drop("event_id")
     lists = tables.read_lists(spark, f"{out}/lists")
     assert lists.count() == routing.page_visits(events, "app").count()
-    pushes = tables.read_counts(spark, f"{out}/counts/pushes", ["notice_id"])
+    drain(jobs.running_tables(streams.read_folder(spark, folder, 1), "app", ENVS, f"{out}/changes", f"{out}/cp2"))
+
+    def table(name):
+        return running.read_totals(spark, f"{out}/cp2", name)
+
+    pushes = table("pushes")
     assert rows(pushes, "notice_id", "num") == rows(
         counters.count_per(routing.push_rows(events), ["notice_id"]), "notice_id", "num")
-    shares = tables.read_counts(spark, f"{out}/counts/shares", ["metric", "lcs_id", "day"])
+    shares = table("shares")
     direct = counters.count_per(
         routing.share_rows(events, "app").select(
             F.concat("type", F.lit("_num")).alias("metric"), "lcs_id",
@@ -267,11 +294,15 @@ def test_app_job_fans_out_one_parsed_stream(spark, sf, tmp_path):
     marks = spark.read.parquet(f"{out}/marks").drop("batch").distinct()
     # A replay offset that is all digits is read back as a number, as partition values are.
     assert marks.count() == progress.watch_marks(events, ENVS).count() > 0
-    flags = tables.read_version(
-        spark, f"{out}/answers/flags", None,
-        spark.createDataFrame([], "env string, ques_id string, uid string, ext_info string,"
-                                  " ques_relation_type int"))
-    assert flags.count() == answers.page_flags(answers.answer_rows(events, ENVS)).count() > 0
+    direct = answers.page_flags(answers.answer_rows(events, ENVS))
+    columns = ["env", "ques_id", "uid", *answers.FLAGS]
+    assert rows(running.read_flags(spark, f"{out}/cp2"), *columns) == rows(direct, *columns) != []
+    history = spark.read.parquet(f"{out}/answers/history")
+    assert history.count() >= answers.answer_history(answers.answer_rows(events, ENVS)).count() > 0
+    # A batch hands out the rows it changed, each with its total so far.
+    changes = spark.read.parquet(f"{out}/changes")
+    newest = changes.groupBy("table", "key").agg(F.max_by("num", "batch").alias("num")).where("table = 'pushes'")
+    assert rows(newest, F.get("key", F.lit(0)), "num") == rows(pushes, "notice_id", "num")
 
 
 def test_insurance_td_counts_and_progress_routes(spark, sf, tmp_path):
@@ -283,18 +314,20 @@ def test_insurance_td_counts_and_progress_routes(spark, sf, tmp_path):
         F.min("bucket").alias("start_ms"), F.max("bucket").alias("end_ms"))
     span.write.parquet(f"{out}/schedule")
     steps = [
-        jobs.counts_step(f"{out}/counts", "app"),
         jobs.insurance_step(f"{out}/cover", "cover", COVER_ENVS, tee=":copy"),
         jobs.td_step(f"{out}/td", "app"),
-        jobs.progress_step(f"{out}/progress", lambda s: s.read.parquet(f"{out}/schedule"), ENVS),
     ]
     drain(jobs.run(streams.read_folder(spark, folder), steps, f"{out}/cp"))
+    drain(jobs.running_tables(streams.read_folder(spark, folder, 1), "app", ENVS, None, f"{out}/cp2"))
+    drain(jobs.course_progress(streams.read_folder(spark, folder, 1), spark.read.parquet(f"{out}/schedule"), ENVS,
+                               f"{out}/changes", f"{out}/cp3"))
 
-    plays = tables.read_counts(spark, f"{out}/counts/plays", ["window_start", "type", "msg_id"])
+    start = clock.millis_to_ts(F.col("window_ms").cast("bigint")).alias("window_start")
+    plays = running.read_totals(spark, f"{out}/cp2", "plays").select(start, "type", "msg_id", "num")
     direct = app.content_plays(events, "app")
     columns = ["window_start", "type", "msg_id", "num"]
     assert rows(plays, *columns) == rows(direct, *columns) != []
-    per_message = tables.read_counts(spark, f"{out}/counts/messages", ["field"])
+    per_message = running.read_totals(spark, f"{out}/cp2", "messages").select("field", "num")
     shared = counters.shares_by_message(routing.share_rows(events, "app"))
     assert rows(per_message) == rows(shared.groupBy("field").agg(F.sum("num"))) != []
 
@@ -307,8 +340,7 @@ def test_insurance_td_counts_and_progress_routes(spark, sf, tmp_path):
     td = rows(routing.td_detail(events, "app").select(F.to_json(F.struct("*"))))
     assert rows(tables.read_lists(spark, f"{out}/td"), "value") == td != []
 
-    done = tables.read_version(spark, f"{out}/progress/progress", None,
-                               spark.createDataFrame([], jobs.PROGRESS))
+    done = running.read_progress(spark, f"{out}/cp3")
     columns = ["uid", "item", "env", "percent", "times"]
     direct = progress.watch_progress(marks, spark.read.parquet(f"{out}/schedule"))
     assert rows(done, *columns) == rows(direct, *columns) != []
@@ -344,62 +376,78 @@ def test_session_and_read_jobs_from_raw_lines(spark, sf, tmp_path):
     got = tables.read_lists(spark, f"{out}/live").select(
         F.from_json("value", ", ".join(f"{n} string" for n in names)).alias("v")).select("v.*")
     assert rows(got.where("uid <> 'end'"), *names) == rows(app.live_sessions(events, "app"), *names) != []
-    counted = tables.read_counts(spark, f"{out}/reads", ["message_id"]).where("message_id <> 'end'")
+    counted = running.read_read_totals(spark, f"{out}/cp2").where("message_id <> 'end'")
     direct = app.article_reads(events, "app")
     assert rows(counted, "message_id", "num") == rows(direct, "message_id", "num") != []
 
 
-def test_progress_of_active_keys_only(spark):
-    marks = spark.createDataFrame(
-        [("u", "i", "prod", "live", 60_000, 0), ("u", "i", "prod", "play", 0, 1),
-         ("v", "i", "prod", "live", 60_000, 0)],
-        "uid string, item string, env string, mode string, bucket bigint, batch int")
-    plan = spark.createDataFrame([("i", 0, 90_000)], "item string, start_ms bigint, end_ms bigint")
-    out = jobs.active_progress(marks, plan, 1)
-    assert rows(out, "uid", "times") == [("u", 60)]
-
-
-def test_replayed_batch_counts_once(spark, tmp_path):
-    path = str(tmp_path / "counts")
-    delta = spark.createDataFrame([("a", 2), ("b", 1)], "key string, num bigint")
-    more = spark.createDataFrame([("a", 5)], "key string, num bigint")
-    tables.add_counts(delta, path, 0, ["key"])
-    tables.add_counts(more, path, 1, ["key"])
-    tables.add_counts(more, path, 1, ["key"])
-    assert rows(tables.read_counts(spark, path, ["key"])) == [("a", 7), ("b", 1)]
-
-
-def test_many_batches_keep_the_number_of_folders(spark, tmp_path):
-    path, ring, seen = str(tmp_path / "counts"), 3, []
-    for batch in range(11):
-        delta = spark.createDataFrame([("a", 1), (f"k{batch}", 2)], "key string, num bigint")
-        for _ in range(2 if batch in (3, 5, 9) else 1):  # replays at the edge of a round and inside it
-            tables.add_counts(delta, path, batch, ["key"], ring=ring)
-        seen.append(len([p for p in (tmp_path / "counts").rglob("*") if p.is_dir()]))
-    expected = [("a", 11)] + sorted((f"k{b}", 2) for b in range(11))
-    assert rows(tables.read_counts(spark, path, ["key"], ring=ring)) == expected
-    assert seen[-1] == seen[6]
-
-
-def test_versions_keep_two_folders(spark, tmp_path):
-    path = str(tmp_path / "table")
-    empty = spark.createDataFrame([], "key string, v int")
-    for batch in (0, 1, 2, 5, 5, 6):
-        source = spark.createDataFrame([("a", batch), (f"k{batch}", batch)], "key string, v int")
-        tables.upsert_version(source, path, batch, ["key"], empty)
-    assert rows(tables.read_version(spark, path, None, empty)) == [
-        ("a", 6), ("k0", 0), ("k1", 1), ("k2", 2), ("k5", 5), ("k6", 6)]
-    assert rows(tables.read_version(spark, path, 6, empty))[0] == ("a", 5)
-    assert sorted(p.name for p in (tmp_path / "table").iterdir()) == ["marks", "version-0", "version-1"]
-
-
-def test_replayed_upsert_changes_nothing(spark, tmp_path):
-    path = str(tmp_path / "table")
-    empty = spark.createDataFrame([], "key string, v int")
-    for batch, data in ((0, [("a", 1)]), (1, [("a", 2), ("b", 3)]), (1, [("a", 2), ("b", 3)])):
-        source = spark.createDataFrame(data, "key string, v int")
-        tables.upsert_version(source, path, batch, ["key"], empty)
-    assert rows(tables.read_version(spark, path, None, empty)) == [("a", 2), ("b", 3)]
+def watch(uid, item, ms=None, offset=0):
+    content = "财商_课程_直播" if ms else "财商_课程_回看"
+    properties = {"v1_element_content": content, "v1_message_id": item, "v1_custom_params": str(offset), "v1_custom_params2": uid}
+    return {"event": "CSH5Visit", "time": str(ms or 0), "project": next(iter(ENVS)), "properties": json.dumps(properties, ensure_ascii=False)}
+
+
+def test_progress_stream_equals_batch_and_hands_out_active_keys_only(spark, tmp_path):
+    rnd = random.Random(4)
+    plan = [("a", 0, 9_000_000), ("b", 60_000, 130_000)]
+    batches = [[watch(f"u{rnd.randrange(4)}", rnd.choice("ab"), rnd.randrange(1, 10_000_000)) if rnd.random() < 0.6
+                else watch(f"u{rnd.randrange(4)}", rnd.choice("ab"), None, rnd.choice([-5, 0, rnd.randrange(9_000), "x"]))
+                for _ in range(60)] for _ in range(3)]
+    batches.append([watch("u1", "a", 30_000), watch("u1", "a", 30_001), watch("none", "c", 30_000)])
+    folder = write_files(tmp_path / "in", batches)
+    schema = "event string, time string, project string, properties string"
+    schedule = spark.createDataFrame(plan, "item string, start_ms bigint, end_ms bigint")
+    found = running.stream_progress(read_json(spark, folder, schema), schedule, ENVS)
+    got = collected(found, str(tmp_path / "out"), str(tmp_path / "cp"), "update")
+    last = got.where("batch = 3")
+    assert rows(last, "uid", "item") == [("u1", "a")]  # a batch costs what it brings
+    events = spark.createDataFrame([tuple(r.values()) for b in batches for r in b], "event string, time string, project string, properties string")
+    direct = progress.watch_progress(progress.watch_marks(events, ENVS), schedule)
+    columns = ["uid", "item", "env", "percent", "times"]
+    assert rows(running.read_progress(spark, str(tmp_path / "cp")), *columns) == rows(direct, *columns)
+    assert rows(got.groupBy("uid", "item", "env").agg(F.max_by(F.struct("percent", "times"), "batch").alias("x")).select(
+        "uid", "item", "env", "x.*"), *columns) == rows(direct, *columns)
+    plain = {}
+    for r in progress.watch_marks(events, ENVS).collect():
+        for item, start, end in plan:
+            if item == r.item:
+                first = (start // 30_000 + 1) * 30_000
+                points = max((end - first) // 30_000 + 1, 1)
+                idx = (r.bucket - first) // 30_000 if r.mode == "live" else int(r.bucket / 30)
+                plain.setdefault((r.uid, r.item, r.env), set()).update({idx} if 0 <= idx < points else set())
+    assert {tuple(r)[:3]: r.times for r in direct.collect()} == {k: 30 * len(v) for k, v in plain.items()}
+
+
+def test_totals_survive_a_restart_and_count_a_batch_once(spark, tmp_path):
+    schema = "table string, key array<string>, num bigint, flags int"
+    data = [{"table": "pushes", "key": [k], "num": n, "flags": 0} for k, n in (("a", 2), ("b", 1), ("a", 5))]
+    folder = write_files(tmp_path / "in", [data[:2]])
+    cp, path = str(tmp_path / "cp"), str(tmp_path / "out")
+
+    def go():
+        return collected(running.totals(read_json(spark, folder, schema)), path, cp, "update")
+
+    go()
+    go()  # nothing new: nothing is counted again
+    assert rows(running.read_totals(spark, cp, "pushes"), "notice_id", "num") == [("a", 2), ("b", 1)]
+    (tmp_path / "in" / "0001.json").write_text(json.dumps(data[2]))
+    changes = go()
+    assert rows(running.read_totals(spark, cp, "pushes"), "notice_id", "num") == [("a", 7), ("b", 1)]
+    # The changed rows of the second batch are the keys it brought; the first batch's state can still be read.
+    assert rows(changes.where("batch = 1"), F.get("key", F.lit(0)), "num") == [("a", 7)]
+    assert rows(running.read_totals(spark, cp, "pushes", batch=0), "notice_id", "num") == [("a", 2), ("b", 1)]
+
+
+def test_last_rows_are_the_latest_of_the_batch_form(spark, tmp_path):
+    rnd = random.Random(6)
+    data = [{"key": f"k{rnd.randrange(5)}", "v": rnd.randrange(100), "ms": rnd.randrange(40)} for _ in range(90)]
+    folder = write_files(tmp_path / "in", [data[i:i + 30] for i in range(0, 90, 30)])
+    schema = "key string, v bigint, ms bigint"
+    found = running.last_rows(read_json(spark, folder, schema), ["key"], [F.col("ms")])
+    got = collected(found, str(tmp_path / "out"), str(tmp_path / "cp"), "update")
+    newest = got.groupBy("key").agg(F.max_by("row", "batch").alias("r")).select("key", "r.*")
+    direct = upserts.latest(spark.createDataFrame([tuple(r.values()) for r in data], schema), ["key"], [F.col("ms")])
+    assert rows(newest, "key", "v", "ms") == rows(direct, "key", "v", "ms")
 
 
 def test_ingest_writes_day_partitions(spark, sf, tmp_path):
