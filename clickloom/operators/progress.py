@@ -101,7 +101,8 @@ def grid_hits(marks: DataFrame, schedule: DataFrame) -> DataFrame:
     places = F.filter(
         F.sequence(F.lit(0), F.lit(63)), lambda i: F.getbit(F.col("bits"), i) == 1
     )
-    seen = words.select("item", (F.shiftleft("word", 6) + F.explode(places)).alias("idx"))
+    seen = words.select("item", "word", F.explode(places).alias("place"))
+    seen = seen.select("item", (F.shiftleft("word", 6) + F.col("place")).alias("idx"))
     per_point = seen.groupBy("item", "idx").agg(F.count("*").alias("num"))
     return per_point.join(schedule.select("item", first.alias("first")), "item").select(
         "item", "idx", (F.col("first") + F.col("idx") * STEP_MS).alias("point"), "num"
