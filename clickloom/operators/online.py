@@ -34,6 +34,33 @@ def viewers(df: DataFrame, keys: list[str], device: str, ts: str) -> DataFrame:
     )
 
 
+SKETCH_LOG2 = 12  # registers of a sketch: 4,096, a standard error of about 1.6 %
+
+
+def device_panes(df: DataFrame, ts: str, keys: list[str], device: str, slide: str = "5 seconds") -> DataFrame:
+    """(keys, pane, devices, count_time): a sketch of the distinct devices of every pane, for a batch or a stream.
+
+    A pane is one row of fixed size however many devices it has; sketches of panes are
+    merged before the shuffle and may be stored and merged later on.
+    """
+    pane = F.window(F.col(ts), slide)["start"].alias("pane")
+    return df.groupBy(*keys, pane).agg(
+        F.hll_sketch_agg(F.col(device).cast("string"), F.lit(SKETCH_LOG2)).alias("devices"),
+        F.max(ts).alias("count_time"),
+    )
+
+
+def viewers_of_panes(panes: DataFrame, keys: list[str], size: str = "60 seconds", slide: str = "5 seconds") -> DataFrame:
+    """About how many devices each window had, from the union of its panes' sketches."""
+    wide = panes.withColumn("window_start", F.window("pane", size, slide)["start"])
+    united = wide.groupBy("window_start", *keys).agg(
+        F.hll_union_agg("devices").alias("devices"), F.max("count_time").alias("count_time")
+    )
+    return united.select(
+        "window_start", *keys, F.hll_sketch_estimate("devices").alias("estimate"), "count_time"
+    )
+
+
 def window_viewers(
     df: DataFrame,
     ts: str,

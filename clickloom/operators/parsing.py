@@ -181,3 +181,17 @@ def all_text(df: DataFrame) -> DataFrame:
 def days_between(start: str, end: str) -> Column:
     """One row per day when exploded."""
     return F.sequence(F.lit(start).cast("date"), F.lit(end).cast("date"))
+
+
+def merged_types(lines: DataFrame, column: str = "line") -> DataFrame:
+    """(key, type, n_rows): the type that holds every value of each outermost key, over all rows.
+
+    Types of a key are merged by the engine row by row before the shuffle, so nothing
+    is sampled; nested objects come with the merged types of their fields. A text that is
+    no JSON object has no keys.
+    """
+    outer = F.try_variant_get(F.try_parse_json(column), "$", "map<string, variant>")
+    pairs = lines.select(F.explode(outer).alias("key", "value"))
+    return pairs.groupBy("key").agg(
+        F.schema_of_variant_agg("value").alias("type"), F.count("*").alias("n_rows")
+    )

@@ -197,6 +197,39 @@ def json_key_discovery(spark, sf):
     return parsing.json_keys(Tables(spark, sf).app_lines)
 
 
+@query(
+    "json_merged_types",
+    """WITH v AS (
+          SELECT unnest(json_keys(j)) AS key, j FROM (
+            SELECT json_object('id', event_id, 'at', CASE WHEN event_id % 2 = 0 THEN event_id END,
+              'amount', value, 'mixed', CASE WHEN event_id % 3 = 0 THEN to_json(event_type) ELSE to_json(user_id) END,
+              'flag', event_id % 2 = 1) AS j FROM events)),
+        t AS (SELECT key, json_type(j, '$.' || key) AS t FROM v)
+        SELECT key, count(*) AS n_rows, CASE
+          WHEN count(*) FILTER (t <> 'NULL') = 0 THEN 'VOID'
+          WHEN bool_and(t IN ('UBIGINT', 'BIGINT', 'NULL')) THEN 'BIGINT'
+          WHEN bool_and(t IN ('UBIGINT', 'BIGINT', 'DOUBLE', 'NULL')) THEN 'DECIMAL'
+          WHEN bool_and(t IN ('VARCHAR', 'NULL')) THEN 'STRING'
+          WHEN bool_and(t IN ('BOOLEAN', 'NULL')) THEN 'BOOLEAN' ELSE 'VARIANT' END AS type
+        FROM t GROUP BY key""",
+)
+def json_merged_types(spark, sf):
+    odd = F.col("event_id") % 2 == 1
+    mixed = F.when(F.col("event_id") % 3 == 0, F.to_json(F.struct(F.col("event_type").alias("mixed")))).otherwise(
+        F.to_json(F.struct(F.col("user_id").alias("mixed")))
+    )
+    rest = F.to_json(
+        F.struct(F.col("event_id").alias("id"), F.when(~odd, F.col("event_id")).alias("at"),
+                 F.col("value").cast("decimal(18,4)").alias("amount"), odd.alias("flag")),
+        {"ignoreNullFields": "false"},
+    )
+    line = F.concat(F.rtrim(rest, F.lit("}")), F.lit(","), F.ltrim(mixed, F.lit("{")))
+    found = parsing.merged_types(Tables(spark, sf).table("events").select(line.alias("line")))
+    # DECIMAL(p,s) of any size counts as a decimal.
+    kind = F.regexp_extract("type", "^[A-Z]+", 0).alias("type")
+    return found.select("key", kind, "n_rows")
+
+
 @query(
     "json_key_sets",
     "SELECT 'k' AS keys, count(*) AS n_rows FROM events",

@@ -54,6 +54,25 @@ def sliding_devices_60s(spark, sf):
     return online.window_viewers(e, "ts", ["event_type"], "user_id")
 
 
+@query(
+    "sliding_devices_sketched",
+    f"""WITH w AS (
+          SELECT *, time_bucket(INTERVAL 5 SECOND, ts, {ORIGIN}) - to_seconds(5 * i)
+                    AS window_start FROM events, range(12) g(i))
+        SELECT window_start, event_type, count(DISTINCT user_id) AS online_counts,
+               max(ts) AS count_time, TRUE AS within FROM w GROUP BY ALL""",
+)
+def sliding_devices_sketched(spark, sf):
+    """Sketches of panes beside the exact count; the error is held to 10 % and half a device."""
+    e = Tables(spark, sf).table("events")
+    exact = online.window_viewers(e, "ts", ["event_type"], "user_id")
+    about = online.viewers_of_panes(online.device_panes(e, "ts", ["event_type"], "user_id"), ["event_type"])
+    both = exact.join(about.drop("count_time"), ["window_start", "event_type"], "full")
+    error = F.abs(F.col("estimate") - F.col("online_counts"))
+    within = F.coalesce(error <= 0.1 * F.col("online_counts") + 0.5, F.lit(False))
+    return both.select("window_start", "event_type", "online_counts", "count_time", within.alias("within"))
+
+
 @query(
     "sliding_counts_10s",
     f"""WITH w AS (

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -69,12 +70,70 @@ def read_lines(spark: SparkSession, path: str) -> DataFrame:
     return spark.readStream.text(path)
 
 
-def declared(records: DataFrame, schema: T.StructType | str, required=()) -> DataFrame:
-    """Values read with a declared schema; rows missing a required field are dropped."""
-    rows = records.select(F.from_json("value", schema).alias("v")).select("v.*")
-    for name in required:
-        rows = rows.where(F.col(name).isNotNull())
-    return rows
+CORRUPT = "_corrupt_record"
+REJECT = "reject"
+MODES = ("drop", "reject", "fail")
+
+
+def checked(
+    records: DataFrame, schema: T.StructType | str, required=(), name: str = "declared", value: str = "value"
+) -> DataFrame:
+    """Every record with its fields by a declared schema, its text and why it is rejected (NULL: it is not).
+
+    A text that is missing, no JSON or of another type than declared is rejected, and so is
+    a row that lacks a required field. What was read of a rejected text stays in its
+    fields. Both numbers are observed as `name`: a batch reader gets them from its
+    Observation, a stream's progress carries them as observedMetrics.
+    """
+    fields = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    wide = T.StructType([*fields.fields, T.StructField(CORRUPT, T.StringType())])
+    read = F.from_json(value, wide, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT})
+    rows = records.select(F.col(value).alias("__text"), read.alias("v"))
+    lacking = [F.when(F.col(f"v.{f}").isNull(), f"no {f}") for f in required]
+    why = F.coalesce(
+        F.when(F.col("__text").isNull(), "no text"),
+        F.when(F.col("v").isNull() | F.col(f"v.{CORRUPT}").isNotNull(), "not as declared"),
+        *lacking,
+    )
+    out = rows.select(*[F.col(f"v.{f.name}") for f in fields], F.col("__text").alias(value), why.alias(REJECT))
+    return out.observe(
+        name,
+        F.count_if(F.col(REJECT).isNull()).alias("accepted"),
+        F.count_if(F.col(REJECT).isNotNull()).alias("rejected"),
+    )
+
+
+def declared(
+    records: DataFrame, schema: T.StructType | str, required=(), mode: str = "drop", name: str = "declared"
+) -> DataFrame:
+    """Values read with a declared schema.
+
+    Rejected rows are left out (`drop`, their number is observed), stay with their text
+    and the reason (`reject`, to be parted by with_rejects), or end the job (`fail`).
+    """
+    if mode not in MODES:
+        raise ValueError(f"mode is one of {', '.join(MODES)}")
+    rows = checked(records, schema, required, name)
+    if mode == "reject":
+        return rows
+    if mode == "fail":
+        told = F.concat(F.lit("record rejected: "), F.col(REJECT))
+        rows = rows.withColumn(REJECT, F.when(F.col(REJECT).isNotNull(), F.raise_error(told).cast("string")))
+    return rows.where(F.col(REJECT).isNull()).drop("value", REJECT)
+
+
+def with_rejects(accept: Callable[[DataFrame, int], None], reject: Callable[[DataFrame, int], None]) -> Callable:
+    """foreachBatch function over rows of `declared(mode="reject")`: each goes to exactly one of the two."""
+
+    def split(batch: DataFrame, batch_id: int) -> None:
+        batch.persist()
+        try:
+            accept(batch.where(F.col(REJECT).isNull()).drop("value", REJECT), batch_id)
+            reject(batch.where(F.col(REJECT).isNotNull()).select("value", REJECT), batch_id)
+        finally:
+            batch.unpersist()
+
+    return split
 
 
 # Declared schema of a tracked event, nested as it is sent.
