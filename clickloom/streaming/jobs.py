@@ -118,15 +118,19 @@ def course_progress(records: DataFrame, schedule: DataFrame, envs: dict[str, str
 
 
 def live_sessions(records: DataFrame, project: str | None, path: str, checkpoint: str,
-                  trigger: str | None = None, tz: str = "UTC", delay: str = "10 seconds") -> StreamingQuery:
+                  trigger: str | None = None, tz: str = "UTC", delay: str = "10 seconds",
+                  at_once: bool = False) -> StreamingQuery:
     """Enter and leave records of live rooms in the columns of the page visits, list "live".
 
+    Both are written when a session has closed; with `at_once` the enter record comes as
+    soon as the watermark rules out an earlier row, which costs a Python state call per key.
+
     Sessions keep state from batch to batch, so they are a query of their own,
     with batch numbers of their own.
     """
     events = parsing.envelope(records, "value")
     rows = routing.live_rows(events, project).where(F.col("ms").isNotNull())
-    found = stateful.stream_sessions(rows, delay)
+    found = (stateful.stream_sessions if at_once else stateful.stream_closed_sessions)(rows, delay)
 
     def write(batch: DataFrame, batch_id: int) -> None:
         shown = batch.withColumns(

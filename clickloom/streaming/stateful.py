@@ -141,6 +141,35 @@ def stream_sessions(rows: DataFrame, delay: str = "10 seconds", gap_ms: int = GA
     )
 
 
+def stream_closed_sessions(rows: DataFrame, delay: str = "10 seconds", gap_ms: int = GAP_MS,
+                           linger_ms: int = LINGER_MS) -> DataFrame:
+    """The records of stream_sessions with built-in operators only, both when a session has closed.
+
+    The engine merges the rows of a session in its own state, without Python; the enter
+    record then comes as late as the leave record. stream_sessions gives it at once.
+    """
+    timed = rows.withColumn("ts", F.timestamp_millis("ms")).withWatermark("ts", delay)
+    seen = F.struct("ms", *CARRY)
+    closed = timed.groupBy("uid", "lcs_id", F.session_window("ts", f"{gap_ms} milliseconds")).agg(
+        F.min(seen).alias("first"), F.max(seen).alias("last")
+    )
+    stay = F.floor((F.col("last.ms") - F.col("first.ms") + linger_ms) / 1000)
+
+    def record(kind, end, ms, stay_time):
+        return F.struct(
+            F.lit(kind).alias("type"), *[F.col(f"{end}.{c}").alias(c) for c in CARRY],
+            ms.cast("bigint").alias("ms"), stay_time.cast("bigint").alias("stay_time"),
+        )
+
+    both = F.array(
+        record("enter_live", "first", F.col("first.ms"), F.lit(0)),
+        record("leave_live", "last", F.col("last.ms") + linger_ms, stay),
+    )
+    return closed.select("uid", "lcs_id", F.inline(both)).select(
+        "type", "uid", "lcs_id", *CARRY, "ms", "stay_time"
+    )
+
+
 def closed_sessions(rows: DataFrame, delay: str = "10 seconds", gap: str = "15 seconds",
                     linger_ms: int = LINGER_MS) -> DataFrame:
     """Finished sessions with built-in operators only: one row each, after the watermark.

@@ -69,12 +69,13 @@ def check_sessions(spark, tmp_path, data, step):
     batches = [data[i:i + step] for i in range(0, len(data), step)]
     batches += [[visit("end", 9_000_000)], [visit("end", 9_100_000)]]
     folder = write_files(tmp_path / "in", batches)
-    out = stateful.stream_sessions(read_json(spark, folder, VISIT))
-    got = collected(out, str(tmp_path / "out"), str(tmp_path / "cp")).where("uid <> 'end'")
     batch = sessions.live_sessions(spark.createDataFrame([tuple(r.values()) for r in data], VISIT))
-    shown = got.select("type", "uid", "title", clock.format_millis(F.col("ms")).alias("time"),
-                       "stay_time")
-    assert rows(shown) == rows(batch, "type", "uid", "title", "time", "stay_time")
+    for name in ("stream_sessions", "stream_closed_sessions"):
+        out = getattr(stateful, name)(read_json(spark, folder, VISIT))
+        got = collected(out, str(tmp_path / f"out-{name}"), str(tmp_path / f"cp-{name}")).where("uid <> 'end'")
+        shown = got.select("type", "uid", "title", clock.format_millis(F.col("ms")).alias("time"),
+                           "stay_time")
+        assert rows(shown) == rows(batch, "type", "uid", "title", "time", "stay_time")
 
 
 def test_live_sessions_stream_equals_batch_out_of_order(spark, tmp_path):
@@ -88,6 +89,11 @@ def test_a_late_row_joins_two_sessions(spark, tmp_path):
     check_sessions(spark, tmp_path, [visit("u", 1_000_000 + t) for t in times], 2)
 
 
+def test_rows_a_gap_apart_are_one_session(spark, tmp_path):
+    times = [0, sessions.GAP_MS, 2 * sessions.GAP_MS + 1]
+    check_sessions(spark, tmp_path, [visit("u", 1_000_000 + t) for t in times], 3)
+
+
 def test_closed_sessions_stream(spark, tmp_path):
     data = [visit("u", 1_000_000), visit("u", 1_010_000), visit("u", 1_040_000)]
     folder = write_files(tmp_path / "in", [data, [visit("end", 9_000_000)], [visit("end", 9_200_000)]])
