@@ -53,12 +53,16 @@ _ATTRIBUTE = re.compile(r"""([^\s/>=][^\s/>=]*)(?:\s*=\s*("[^"]*"?|'[^']*'?|[^\s
 _TELLING = frozenset("class id role itemprop aria-label".split())
 _PART = re.compile(r"[a-z]+")
 _HIDDEN = re.compile(r"(?:\A|;)\s*(?:display\s*:\s*none|visibility\s*:\s*hidden)\b")
+HIDING = "!hidden"  # the mark of a hidden element among its words; it decides nothing by itself
 _SPACE = re.compile(r"\s+")
+# A slash at a tag's end closes elements of drawings and formulas only.
+FOREIGN = frozenset("math svg".split())
+NEAR = 48  # ancestors that features are taken from, the nearest; equal ones that follow each other are one
 
 
 @dataclass
 class Block:
-    path: tuple  # of (tag, words of class, id and role), from the root down
+    path: tuple  # of (tag, words of class, id and role) of the nearest ancestors, from above down
     text: str
     linked: int = 0  # characters inside links
 
@@ -66,8 +70,7 @@ class Block:
 @dataclass
 class _Open:
     tag: str
-    words: frozenset
-    hidden: bool
+    path: tuple
 
 
 def _ends(tag: str, page: str) -> dict[int, int]:
@@ -79,7 +82,7 @@ def _ends(tag: str, page: str) -> dict[int, int]:
         if not name or name[1].lower() != tag:
             continue
         if found[0][1] != "/":
-            if not found[0].endswith("/>"):
+            if tag not in FOREIGN or not found[0].endswith("/>"):
                 begun.append(found.end())
         elif begun:
             ends[begun.pop()] = found.end()
@@ -87,30 +90,85 @@ def _ends(tag: str, page: str) -> dict[int, int]:
 
 
 @lru_cache(maxsize=4096)
-def _hints(tag_text: str) -> tuple[frozenset, bool]:
-    """Words of the telling attributes, and whether the element is hidden; of a repeated attribute the first counts."""
-    words, hidden, met = set(), False, set()
+def _hints(tag_text: str) -> frozenset:
+    """Words of the telling attributes, their whole values after "=", and the mark of a hidden element.
+
+    Of a repeated attribute the first counts.
+    """
+    words, met = set(), set()
     for name, value in _ATTRIBUTE.findall(tag_text, _NAME.match(tag_text).end()):
         name = name.lower()
         if name in met:
             continue
         met.add(name)
         value = value.strip("\"'").lower()
-        if name == "hidden":
-            # A page opens such an element when its text is searched for.
-            hidden = hidden or value != "until-found"
-        elif name == "style":
-            hidden = hidden or bool(_HIDDEN.search(value))
+        # A page opens an element hidden "until-found" when its text is searched for.
+        if name == "hidden" and value != "until-found" or name == "style" and _HIDDEN.search(value):
+            words.add(HIDING)
         elif name in _TELLING:
             words.update(_PART.findall(value))
-    return frozenset(words), hidden
+            words.update("=" + v for v in value.split())
+    return frozenset(words)
+
+
+class _Elements:
+    """The open elements; where those of a name and those that are blocks stand is known without a search."""
+
+    def __init__(self):
+        self.stack: list[_Open] = []
+        self.named: dict[str, list[int]] = {}
+        self.blocks: list[int] = []
+
+    def push(self, tag: str, words: frozenset) -> None:
+        above = self.stack[-1].path if self.stack else ()
+        path = above if above and above[-1] == (tag, words) else (*above, (tag, words))[-NEAR:]
+        self.named.setdefault(tag, []).append(len(self.stack))
+        if tag in BLOCK:
+            self.blocks.append(len(self.stack))
+        self.stack.append(_Open(tag, path))
+
+    def cut(self, index: int) -> bool:
+        """Close all from an index on; True if a block was among them."""
+        while len(self.stack) > index:
+            self.named[self.stack.pop().tag].pop()
+        held = len(self.blocks)
+        while self.blocks and self.blocks[-1] >= index:
+            self.blocks.pop()
+        return len(self.blocks) < held
+
+    def last(self, tag: str) -> int:
+        """The innermost open element of a name that its end tag reaches, or -1; an inline end tag crosses no block."""
+        places = self.named.get(tag)
+        if not places or tag not in BLOCK and self.blocks and self.blocks[-1] > places[-1]:
+            return -1
+        return places[-1]
+
+    def ended_by(self, tag: str) -> int:
+        """The outermost open element that an opening tag ends by rule, up to the nearest container, or -1.
+
+        One element of a kind ends another, so no more of them stand in a row than there are kinds.
+        """
+        ended = -1
+        for index in reversed(self.blocks):
+            known = self.stack[index].tag
+            if known not in ENDED_BY:
+                break
+            if tag in ENDED_BY[known]:
+                ended = index
+        return ended
+
+    def holds(self, tag: str) -> bool:
+        return bool(self.named.get(tag))
 
 
 def blocks(page: str | None) -> list[Block]:
-    """Leaf blocks with text, in page order; markup that never ends is dropped, unclosed elements end by rule."""
+    """Leaf blocks with text, in page order; markup that never ends is dropped, unclosed elements end by rule.
+
+    The work grows with the page's length, however deep its elements stand.
+    """
     page = page or ""
     out: list[Block] = []
-    stack: list[_Open] = []
+    opened = _Elements()
     texts: list[str] = []
     linked = 0
     end = len(page)
@@ -120,9 +178,8 @@ def blocks(page: str | None) -> list[Block]:
         nonlocal linked
         # Decoded at the end: a reference cut by nothing but markup is still none.
         text = _SPACE.sub(" ", "".join(texts)).strip()
-        if text and not any(o.hidden for o in stack):
-            path = tuple((o.tag, o.words) for o in stack)
-            out.append(Block(path, text, min(linked, len(text))))
+        if text:
+            out.append(Block(opened.stack[-1].path if opened.stack else (), text, min(linked, len(text))))
         texts.clear()
         linked = 0
 
@@ -131,13 +188,13 @@ def blocks(page: str | None) -> list[Block]:
         if text:
             text = html.unescape(text)
             texts.append(text)
-            if any(o.tag == "a" for o in stack):
+            if opened.holds("a"):
                 linked += len(text.strip())
 
     def close(index: int) -> None:
-        if any(o.tag in BLOCK for o in stack[index:]):
+        if opened.blocks and opened.blocks[-1] >= index:
             flush()
-        del stack[index:]
+        opened.cut(index)
 
     at = 0
     while at < end:
@@ -155,27 +212,21 @@ def blocks(page: str | None) -> list[Block]:
         if tag in FALLBACK:
             texts.append(" ")
         if token[1] == "/":
-            for index in range(len(stack) - 1, -1, -1):
-                if stack[index].tag == tag:
-                    close(index)
-                    break
-                # An inline end tag does not reach over a block.
-                if stack[index].tag in BLOCK and tag not in BLOCK:
-                    break
-            else:
-                if tag in BLOCK:
-                    flush()
+            index = opened.last(tag)
+            if index >= 0:
+                close(index)
+            elif tag in BLOCK:
+                flush()
             continue
         if tag in RAW:
-            if not token.endswith("/>"):
-                stop = re.compile(rf"</{tag}\s*>", re.IGNORECASE).search(page, at)
-                at = stop.end() if stop else end
+            stop = re.compile(rf"</{tag}(?=[\s/>])[^>]*>", re.IGNORECASE).search(page, at)
+            at = stop.end() if stop else end
             texts.append(" ")
             continue
         if tag in APART:
             if tag not in ends:
                 ends[tag] = _ends(tag, page)
-            stop = at if token.endswith("/>") else ends[tag].get(at)
+            stop = at if tag in FOREIGN and token.endswith("/>") else ends[tag].get(at)
             texts.append(" ")
             if stop is not None:
                 at = stop
@@ -185,16 +236,12 @@ def blocks(page: str | None) -> list[Block]:
             continue
         if tag in BLOCK:
             flush()
-            for index in range(len(stack) - 1, -1, -1):
-                known = stack[index].tag
-                if tag in ENDED_BY.get(known, ()):
-                    close(index)
-                    break
-                if known in BLOCK and known not in ENDED_BY:
-                    break
-        if tag not in VOID and not token.endswith("/>"):
-            words, hidden = _hints(token)
-            stack.append(_Open(tag, words, hidden))
+            index = opened.ended_by(tag)
+            if index >= 0:
+                close(index)
+        if tag in VOID or token.endswith("/>") and (tag in FOREIGN or opened.holds("math") or opened.holds("svg")):
+            continue
+        opened.push(tag, _hints(token))
     flush()
     return out
 
@@ -229,7 +276,7 @@ def features(chain: list[Block]) -> list[list[int]]:
         words = text.count(" ") + 1
         ends = text[-1] in ".!?…:\"»”'"
         names = [
-            "bias", f"words:{min(words.bit_length(), 8)}", f"links:{4 * block.linked // len(text)}",
+            "bias", f"links all:{block.linked >= len(text)}", f"sign:{'©' in text}", f"words:{min(words.bit_length(), 8)}", f"links:{4 * block.linked // len(text)}",
             f"ends:{ends}", f"stops:{min(3, text.count('. '))}", f"commas:{min(3, text.count(', '))}",
         ]
         out.append([*map(_bucket, names), *_of_path(block.path)])
@@ -326,7 +373,8 @@ def extract(pages: DataFrame, model: Field, page: str = "html", name: str = "tex
 
     Null, empty and text-free pages give an empty text. Blocks are in page order,
     joined by a newline; white space inside a block is one space. Repeated rows
-    give equal texts and all rows stay.
+    give equal texts and all rows stay. Pages are read whole, in time that grows with
+    their length; an empty table gives an empty one.
     """
 
     @F.pandas_udf("string")

@@ -7,7 +7,7 @@ from __future__ import annotations
 
 import random
 
-PAGES = 400
+PAGES = 700
 SYLLABLES = "an be chi do el fra gu ho is ka lo mi no or pe qui ra sto tu ver".split()
 TOP = ["nav", 'div class="nav"', 'div id="menu"', 'div class="navbar topbar"', 'ul class="menu"', 'header',
        'div role="navigation"', 'div class="breadcrumb"', 'div id="header"', 'div class="site-header"']
@@ -23,6 +23,10 @@ FORM = ["form", 'form class="newsletter"', 'form id="search"', 'div class="newsl
 FOOT = ["footer", 'div class="footer"', 'div id="footer"', 'div class="copyright"', 'div role="contentinfo"']
 MAIN = ["article", "main", 'div class="article"', 'div id="content"', 'div class="post"', 'div class="entry-content"',
         'section class="story"', 'div role="main"', 'div itemprop="articleBody"', 'div class="post-body"', "div", "section"]
+# Values whose parts are words of the lists above, on elements around main text.
+BENIGN = ["ad-free", "no-sidebar", "has-comments", "with-menu", "menu-open", "nav-fixed", "header-small", "footer-none",
+          "story-content", "no-ads", "share-enabled", "page-wrapper", "cookie-ok", "text-alert-free", "col-8"]
+HIDE = ["hidden", 'style="display:none"', 'style="color:red; visibility:hidden"']
 
 
 class _Maker:
@@ -115,8 +119,41 @@ class _Maker:
                 out.append(draw.choice([lambda: self.aside(ADVERT), lambda: self.aside(SIDE), self.form])())
         return "".join(out)
 
+    def neutral(self) -> str:
+        """An opening that tells nothing: no attribute, one of drawn syllables, or one with a misleading part."""
+        tag = self.draw.choice(["div", "div", "section", "td", "center"])
+        kind = self.draw.random()
+        if kind < 0.4:
+            return tag
+        value = self.words(1, 1) + str(self.draw.randint(1, 9)) if kind < 0.7 else self.draw.choice(BENIGN)
+        return f'{tag} {self.draw.choice(["class", "id"])}="{value}"'
+
+    def plain_page(self) -> str:
+        """A page of few elements without telling classes: text, and links or notes around it."""
+        draw = self.draw
+        bits = [f"<p>{self.line(True)}</p>" for _ in range(draw.choice([1, 1, 2, 2, 3, 6, 10]))]
+        if draw.random() < 0.4:
+            bits.insert(0, f"<h1>{self.line(True)}</h1>")
+        if draw.random() < 0.3:  # a part that opens on a click is text all the same
+            bits.append(f"<div {draw.choice(HIDE)}><p>{self.line(True)}</p></div>")
+        if draw.random() < 0.2:
+            bits.insert(draw.randint(0, len(bits)), f'<div class="{draw.choice(BENIGN)}"><p>{self.line(True)}</p></div>')
+        main = "".join(bits)
+        for _ in range(draw.choice([0, 1, 1, 2])):
+            main = self.wrapped(self.neutral(), main)
+        menu = self.links() if draw.random() < 0.6 else ""
+        menu = self.wrapped(draw.choice(["p", "div", "ul", "nav", "td"]), menu) if menu else ""
+        foot = draw.choice(["", "", f"<p>© {draw.randint(1990, 2030)} {self.words(1, 4)}</p>", self.aside(FOOT)])
+        if draw.random() < 0.25:
+            main = f"<table><tr><td>{menu}</td><td>{main}</td></tr></table>"
+            menu = ""
+        behind = draw.choice(["", "", self.comments, self.form, lambda: self.aside(ADVERT)])
+        return "<html><body>" + menu + main + (behind() if behind else "") + foot + "</body></html>"
+
     def page(self) -> str:
         draw = self.draw
+        if draw.random() < 0.45:
+            return self.plain_page()
         before = [self.aside(TOP) if draw.random() < 0.4 else self.wrapped(draw.choice(TOP), self.links())]
         before += [self.aside(x) for x in (NOTICE, ADVERT, SIDE, TOP) if draw.random() < 0.45]
         before += [self.form()] if draw.random() < 0.2 else []
@@ -129,6 +166,10 @@ class _Maker:
         main = self.wrapped(draw.choice(MAIN[:6] * 2 + MAIN), inside)
         if draw.random() < 0.25:
             main = self.wrapped(draw.choice(['div class="wrapper"', "main", 'div id="page"', 'div class="container"']), main)
+        if draw.random() < 0.15:
+            main = self.wrapped(f'{draw.choice(["div", "main"])} class="{draw.choice(BENIGN)}"', main)
+        if draw.random() < 0.1:
+            before.append(f"<div {draw.choice(HIDE)}>{self.line(False)}</div>")
         foot = self.aside(FOOT) if draw.random() < 0.9 else ""
         title = self.words(2, 8)
         return (f"<!DOCTYPE html><html><head><title>{title}</title><style>p{{}}</style></head><body>"
