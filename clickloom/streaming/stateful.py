@@ -18,6 +18,9 @@ STATE_STORE = {
     "spark.sql.streaming.stateStore.providerClass": (
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
     ),
+    # All stores of an executor share one bound of native memory, however many queries keep state there.
+    "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
+    "spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB": "1024",
 }
 CARRY = ["title", "content", "message_id", "lcs_name"]
 SESSION_SCHEMA = (
