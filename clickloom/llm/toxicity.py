@@ -1,17 +1,19 @@
-"""Toxicity: the subword bag of each word is averaged into a linear softmax; a text is toxic if one of its words is.
-
-A word's vector is the mean of the embeddings of its hashed character n-grams,
-so an unseen misspelling shares most of its vector with the known word.
-Embeddings and softmax are trained together in numpy, first on words by the
-labels of the texts they stand in, then on texts, whose label falls on the word
-with the largest toxic logit. Averages over whole texts would drown one insult
-among thousands of words, so the worst different words of a text are pooled by a
-noisy "or": one plain insult is enough, a word that might be one needs others beside it.
-Chance hits grow with the words of a text, so each counts a little less in a longer one.
+"""Toxicity: one subword bag of a whole text, averaged with learned weights, into a linear softmax.
+
+Every hashed character n-gram has an embedding. A word's bag is the mean of its
+n-grams, a text's bag the mean of its words' bags, each word weighted by the
+exponential of a linear form of its own bag, so one insult is not lost among
+thousands of plain words. Embeddings, weights and softmax are trained together in
+numpy: first on words by the labels of the texts they stand in, then on whole
+texts. In both, telling words are also met misspelt (a character replaced, dropped
+or doubled), so an unseen misspelling is known by the n-grams it keeps. Letters set
+apart by single blanks are read as one word.
 """
 
 from __future__ import annotations
 
+import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -22,91 +24,98 @@ from pyspark.sql import functions as F
 
 from clickloom.llm import batches, codes
 
+_WORD = re.compile(r"[^\x20\x09-\x0D]+")
+_SPACED = re.compile(r"(?<![^\x20\x09-\x0D])[^\x20\x09-\x0D](?:\x20[^\x20\x09-\x0D]){3,}(?![^\x20\x09-\x0D])")
+_SIGNS = list("abcdefghijklmnopqrstuvwxyz0123456789@$!*")
+
 
 @dataclass(frozen=True)
 class Settings:
     orders: tuple[int, ...] = (2, 3, 4, 5)
-    bits: int = 17
+    open: tuple[int, ...] = (3, 5)  # odd orders also taken with their middle character left open
+    bits: int = 20
     width: int = 8
-    word_epochs: int = 3
-    text_epochs: int = 30
-    stays: float = 0.7  # chance of a toxic word's n-gram to stay in a step
+    word_epochs: int = 6
+    text_epochs: int = 20
+    pure: float = 0.9  # a word is telling if this share of it stands in toxic texts,
+    spread: float = 0.04  # it stands in this share of them
+    often: float = 3.5  # and in more texts than this
+    variants: int = 400  # misspellings of a telling word
+    misspelt: float = 0.6  # chance of a telling word to be met misspelt in a step on texts
+    form_weight: float = 2.0  # of a misspelling against the word itself
+    sharpness: float = 2.0  # of the words' weights, before they are trained on texts
+    stays: float = 0.6  # chance of an n-gram of a toxic word to stay in a step
     rate: float = 0.3
     batch: int = 4096
-    pooled: int = 8  # the worst different words of a text speak for it
     seed: int = 1
 
 
 @dataclass(frozen=True)
 class Model:
-    table: np.ndarray  # embedding times (toxic - clean) softmax weights, a number for each bucket
+    toxic: np.ndarray  # embedding times (toxic - clean) softmax weights, a number for each bucket
+    weight: np.ndarray  # embedding times the form that weighs words
     bias: float
-    pooling: tuple[float, float, float]  # slope of a word's logit, shift, fall with the log of the words
     settings: Settings
 
 
+def _read(text: str) -> str:
+    """Lower case, letters set apart by single blanks joined."""
+    return _SPACED.sub(lambda m: m.group().replace(" ", ""), text.lower())
+
+
 def _words(texts: list[str], settings: Settings):
-    """(text of each word, [(word numbers, buckets) of each order], stream, starts, ends)."""
-    stream = codes.Stream([t.lower() for t in texts])
+    """(stream, starts of the words, (word numbers, buckets) of each order)."""
+    stream = codes.Stream(texts)
     blank = codes.white(stream.codes)
-    starts, ends = codes.word_spans(blank)
+    starts, _ = codes.word_spans(blank)
     number = np.zeros(len(blank), np.int64)
     number[starts] = 1
     number = np.cumsum(number) - 1
-    grams = (
-        (number[at + 1] if n > 2 else np.maximum(number[at], number[at + 1]), bucket)
-        for n, (at, bucket) in zip(
-            settings.orders,
-            codes.character_ngrams(stream.codes, blank, settings.orders, settings.bits),
-            strict=False,
-        )
-    )
-    return stream, starts, ends, grams
-
-
-def _logits(table: np.ndarray, grams, words: int) -> np.ndarray:
-    sums, counts = np.zeros(words), np.zeros(words)
-    for word, bucket in grams:
-        sums += np.bincount(word, table[bucket], words)
-        counts += np.bincount(word, minlength=words)
-    return sums / np.maximum(counts, 1)
-
-
-class _Vocabulary:
-    """The distinct words of a sample, their buckets, which and how many words each text has."""
-
-    def __init__(self, texts: list[str], settings: Settings):
-        none = np.zeros(0, np.uint64)
-        known, word_hash, text_of, owners, buckets = none, [none], [np.zeros(0, np.int32)], [none], [none.astype(np.int32)]
-        for rows, part in codes.pieces(texts):
-            stream, starts, ends, grams = _words(part, settings)
-            if not len(starts):
-                continue
-            h = codes.Hashes(stream.codes).spans(starts, ends)
-            word_hash.append(h)
-            text_of.append(rows[stream.text_of(starts)].astype(np.int32))
-            # The n-grams of a word are kept once, from where it is first met.
-            own, first = np.unique(h, return_index=True)
-            at = np.minimum(np.searchsorted(known, own), max(0, len(known) - 1))
-            new = known[at] != own if len(known) else np.ones(len(own), bool)
-            is_first = np.zeros(len(h), bool)
-            is_first[first[new]] = True
-            known = np.union1d(known, own[new])
+    hashes = codes.Hashes(np.where(blank, np.uint32(32), stream.codes))
+
+    def grams():
+        found = codes.character_ngrams(stream.codes, blank, settings.orders, settings.bits)
+        for n, (at, bucket) in zip(settings.orders, found, strict=False):
+            word = number[at + 1] if n > 2 else np.maximum(number[at], number[at + 1])
+            yield word, bucket
+            if n in settings.open:
+                half = n // 2
+                rest = codes.mixed(hashes.spans(at, at + half)) + hashes.spans(at + half + 1, at + n)
+                yield word, codes.buckets(rest, settings.orders[-1] + n, settings.bits)
+
+    return stream, starts, grams()
+
+
+def misspellings(word: str, rng: np.random.Generator, many: int) -> list[str]:
+    """`many` forms of the word, each with one character replaced, dropped or doubled.
+
+    Half of those put in place are characters no text is likely to hold, so what is
+    left of the word must tell by itself.
+    """
+    found = []
+    for kind, at, sign, private in zip(
+        rng.integers(0, 6, many), rng.integers(0, len(word), many),
+        rng.integers(0, len(_SIGNS), many), rng.integers(0xE000, 0xF900, many),
+    ):
+        put = "" if kind == 4 else word[at] * 2 if kind == 5 else _SIGNS[sign] if kind < 3 else chr(private)
+        found.append(word[:at] + put + word[at + 1 :])
+    return found
+
+
+class _Bags:
+    """The n-grams of a list of words."""
+
+    def __init__(self, words: list[str], settings: Settings):
+        owners, buckets = [np.zeros(0, np.int32)], [np.zeros(0, np.int32)]
+        for rows, part in codes.pieces(words):
+            _, starts, grams = _words(part, settings)
             for word, bucket in grams:
-                kept = is_first[word]
-                owners.append(h[word[kept]])
-                buckets.append(bucket[kept].astype(np.int32))
-        self.size = len(known)
-        self.words = np.bincount(np.concatenate(text_of), minlength=len(texts)).astype(float)
-        at = np.concatenate([np.searchsorted(known, h) for h in word_hash])
-        pairs = np.unique(np.concatenate(text_of).astype(np.int64) * max(1, self.size) + at)
-        del at, word_hash, text_of
-        self.text, self.word = (x.astype(np.int32) for x in np.divmod(pairs, max(1, self.size)))
-        owner = np.concatenate([np.searchsorted(known, h).astype(np.int32) for h in owners])
-        del owners
+                owners.append(rows[word].astype(np.int32))
+                buckets.append(bucket.astype(np.int32))
+        owner = np.concatenate(owners)
         order = np.argsort(owner, kind="stable")
         self.owner, self.bucket = owner[order], np.concatenate(buckets)[order]
-        self.first = np.searchsorted(self.owner, np.arange(self.size + 1))
+        self.first = np.searchsorted(self.owner, np.arange(len(words) + 1))
         self.count = np.maximum(np.diff(self.first), 1)
 
     def grams(self, words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -116,186 +125,212 @@ class _Vocabulary:
         shift = np.arange(len(place)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
         return place, self.bucket[self.first[words][place] + shift]
 
+    def means(self, table: np.ndarray) -> np.ndarray:
+        return np.bincount(self.owner, table[self.bucket], len(self.count)) / self.count
+
 
 class _Trainer:
-    def __init__(self, settings: Settings):
+    def __init__(self, bags: _Bags, settings: Settings):
         rng = np.random.default_rng(settings.seed)
-        self.rng, self.rate = rng, settings.rate
+        self.bags, self.rng, self.rate, self.stays = bags, rng, settings.rate, settings.stays
         self.embed = rng.uniform(-0.1, 0.1, (1 << settings.bits, settings.width))
-        self.softmax = rng.uniform(-0.5, 0.5, (settings.width, 2))
-        self.bias = np.zeros(2)
-        self.seen = [np.full(x.shape, 1e-4) for x in (self.embed, self.softmax, self.bias)]
-
-    def step(self, place, bucket, count, target, weight) -> None:
-        """One adaptive gradient step; word i is toxic with probability target[i]."""
-        words, width = len(target), self.embed.shape[1]
-        mean = codes.sums_by(place, self.embed[bucket], words) / count[:, None]
-        logits = mean @ self.softmax + self.bias
-        p = 1 / (1 + np.exp(-np.clip(logits[:, 1] - logits[:, 0], -35, 35)))
-        error = weight * (p - target)
-        error = np.stack([-error, error], 1)
-        back = (error @ self.softmax.T) / count[:, None]
+        self.toxic = rng.uniform(-0.5, 0.5, settings.width)  # toxic minus clean
+        self.weigh = np.zeros(settings.width)
+        self.bias = np.zeros(1)
+        self.seen = [np.full(x.shape, 1e-4) for x in (self.embed, self.toxic, self.weigh, self.bias)]
+
+    def on_words(self, words: np.ndarray, target: np.ndarray, weight: np.ndarray) -> None:
+        """A step on words alone; word i is toxic with probability target[i]."""
+        place, bucket = self.bags.grams(words)
+        stays = (target[place] < 0.5) | (self.rng.random(len(place)) < self.stays)
+        place, bucket = place[stays], bucket[stays]
+        mean = self._means(place, bucket, words)
+        error = weight * (_sigmoid(mean @ self.toxic + self.bias[0]) - target)
+        self._step(place, bucket, words, mean, error, np.zeros(len(words)), error.sum())
+
+    def on_texts(self, text, word, times, y, weight) -> None:
+        """A step on whole texts, given as rising (text, word, times) rows; y by text number."""
+        which, sizes, share, logit, mean_logit = self.weighed(text, word, times)
+        error = weight[which] * (_sigmoid(mean_logit + self.bias[0]) - y[which])
+        by_row = np.repeat(error, sizes) * share
+        by_weight = by_row * (logit - np.repeat(mean_logit, sizes))
+        # A word of next to no weight moves nothing.
+        felt = np.flatnonzero(share > 1e-3)
+        words, at = np.unique(word[felt], return_inverse=True)
+        place, bucket = self.bags.grams(words)
+        self._step(
+            place, bucket, words, self._means(place, bucket, words),
+            np.bincount(at, by_row[felt], len(words)), np.bincount(at, by_weight[felt], len(words)),
+            error.sum(),
+        )
+
+    def weighed(self, text, word, times):
+        """(text numbers, words of each, share and logit of each word, logit of each text) but for the bias."""
+        toxic, logs = self.tables()
+        logit, log = self.bags.means(toxic)[word], self.bags.means(logs)[word] + np.log(times)
+        edges = np.flatnonzero(np.diff(text, prepend=-1))
+        sizes = np.diff(np.append(edges, len(text)))
+        share = np.exp(log - np.repeat(np.maximum.reduceat(log, edges), sizes))
+        share /= np.repeat(np.add.reduceat(share, edges), sizes)
+        return text[edges], sizes, share, logit, np.add.reduceat(share * logit, edges)
+
+    def tables(self) -> tuple[np.ndarray, np.ndarray]:
+        return self.embed @ self.toxic, self.embed @ self.weigh
+
+    def _means(self, place, bucket, words) -> np.ndarray:
+        return codes.sums_by(place, self.embed[bucket], len(words)) / self.bags.count[words][:, None]
+
+    def _step(self, place, bucket, words, mean, error, pull, bias) -> None:
+        """error, pull: gradients of each word's toxic logit and of the log of its weight."""
+        back = (error[:, None] * self.toxic + pull[:, None] * self.weigh) / self.bags.count[words][:, None]
         ids, at = np.unique(bucket, return_inverse=True)
-        moved = codes.sums_by(at, back[place], len(ids)).reshape(len(ids), width)
-        self._move(1, slice(None), mean.T @ error)
-        self._move(2, slice(None), error.sum(0))
+        moved = codes.sums_by(at, back[place], len(ids)).reshape(len(ids), -1)
+        self._move(1, slice(None), error @ mean)
+        self._move(2, slice(None), pull @ mean)
+        self._move(3, slice(None), np.array([bias]))
         self._move(0, ids, moved)
 
     def _move(self, which, ids, gradient) -> None:
-        values = (self.embed, self.softmax, self.bias)[which]
+        values = (self.embed, self.toxic, self.weigh, self.bias)[which]
         self.seen[which][ids] += gradient**2
         values[ids] -= self.rate * gradient / np.sqrt(self.seen[which][ids])
 
-    def table(self) -> tuple[np.ndarray, float]:
-        return self.embed @ (self.softmax[:, 1] - self.softmax[:, 0]), float(self.bias[1] - self.bias[0])
+
+def _sigmoid(x: np.ndarray) -> np.ndarray:
+    return 1 / (1 + np.exp(-np.clip(x, -35, 35)))
 
 
 def train(texts: list[str], labels: list[int], settings: Settings = Settings()) -> Model:
-    """Fit on labelled texts. No sample: every text with a word scores 0.5."""
+    """Fit on labelled texts. No sample, or none with a word: every text with a word scores 0.5."""
     y = np.array(labels, float)
-    if not len(y):
-        return Model(np.zeros(1 << settings.bits, np.float32), 0.0, (1.0, 0.0, 0.0), settings)
-    vocabulary = _Vocabulary(texts, settings)
-    positive = min(max(y.mean(), 1e-3), 1 - 1e-3)
-    balance = np.where(y > 0, 0.5 / positive, 0.5 / (1 - positive))
-    trainer = _Trainer(settings)
-
-    toxic = np.bincount(vocabulary.word, (y * balance)[vocabulary.text], vocabulary.size)
-    both = np.bincount(vocabulary.word, balance[vocabulary.text], vocabulary.size)
-    share = toxic / np.maximum(both, 1e-12)
-    # A word of one text alone says little; it counts in the second part only.
-    often = np.bincount(vocabulary.word, minlength=vocabulary.size)
-    used = np.flatnonzero(often >= 2)
-    telling = used[(share[used] > 0.9) & (often[used] >= 4)]
-
-    def learn(words, target, weight) -> None:
-        place, bucket = vocabulary.grams(words)
-        # Toxic words must be known by some of their n-grams alone, as in a misspelling.
-        stays = (target[place] < 0.9) | (trainer.rng.random(len(place)) < settings.stays)
-        place, bucket = place[stays], bucket[stays]
-        count = np.maximum(np.bincount(place, minlength=len(words)), 1)
-        trainer.step(place, bucket, count, target, weight)
-
+    held = [Counter(_WORD.findall(_read(t))) for t in texts]
+    words = sorted(set().union(*held)) if held else []
+    none = np.zeros(1 << settings.bits, np.float32)
+    if not words:
+        return Model(none, none, 0.0, settings)
+    number = {w: i for i, w in enumerate(words)}
+    sizes = [len(h) for h in held]
+    text = np.repeat(np.arange(len(texts)), sizes)
+    word = np.fromiter((number[w] for h in held for w in h), np.int64, len(text))
+    times = np.fromiter((n for h in held for n in h.values()), float, len(text))
+
+    # Copies count as one text: those that share their three longest words.
+    alike = Counter(keys := [tuple(sorted(h, key=lambda w: (-len(w), w))[:3]) for h in held])
+    single = np.array([1 / alike[k] for k in keys])
+    # Every sixth text is held back for the bias.
+    back = np.arange(len(y)) % 6 == 5
+    text_all, word_all, times_all = text, word, times
+    seen = ~back[text]
+    text, word, times = text[seen], word[seen], times[seen]
+    positive = min(max((single * y)[~back].sum() / single[~back].sum(), 1e-3), 1 - 1e-3)
+    balance = single * np.where(y > 0, 0.5 / positive, 0.5 / (1 - positive))
+    often = np.bincount(word, single[text], len(words))
+    both = np.bincount(word, balance[text], len(words))
+    share = np.bincount(word, (y * balance)[text], len(words)) / np.maximum(both, 1e-12)
+    least = max(settings.often, settings.spread * (single * y)[~back].sum())
+    telling = np.flatnonzero((share > settings.pure) & (often >= least))
+
+    # Each telling word has a block of misspellings behind the words; one that is a word itself is none.
+    rng = np.random.default_rng(settings.seed)
+    extra = [v for i in telling for v in misspellings(words[i], rng, settings.variants)]
+    block = np.full(len(words), -1)
+    block[telling] = len(words) + settings.variants * np.arange(len(telling))
+    wrong = np.array([len(v) < 3 or v in number for v in extra], bool)
+    trainer = _Trainer(_Bags(words + extra, settings), settings)
+
+    def misspelt(of: np.ndarray, chance: float) -> np.ndarray:
+        """`of` with some of its telling words misspelt."""
+        at = np.flatnonzero((block[of] >= 0) & (trainer.rng.random(len(of)) < chance))
+        put = block[of[at]] + trainer.rng.integers(0, settings.variants, len(at))
+        fits = ~wrong[put - len(words)] if len(at) else np.zeros(0, bool)
+        out = of.copy()
+        out[at[fits]] = put[fits]
+        return out
+
+    # A word of one text alone says little.
+    used = np.flatnonzero(often > 1.5)
+    forms = len(words) + np.flatnonzero(~wrong)
+    origin = np.concatenate([np.arange(len(words)), np.repeat(telling, settings.variants)])
     for _ in range(settings.word_epochs):
-        order = trainer.rng.permutation(used)
+        order = trainer.rng.permutation(np.concatenate([used, forms]))
         for i in range(0, len(order), settings.batch):
-            words = order[i : i + settings.batch]
-            learn(words, share[words], np.sqrt(both[words]))
-
-    edges = np.flatnonzero(np.diff(vocabulary.text, prepend=-1))
-    text = vocabulary.text[edges]
-
-    def logits() -> np.ndarray:
-        """The toxic logit of each word of each text."""
-        table, bias = trainer.table()
-        logit = np.bincount(vocabulary.owner, table[vocabulary.bucket], vocabulary.size)
-        return (logit / vocabulary.count + bias)[vocabulary.word]
-
-    def worst() -> np.ndarray:
-        """The most toxic word of each text that has words."""
-        of = logits()
-        top = np.maximum.reduceat(of, edges)
-        hit = np.flatnonzero(of == np.repeat(top, np.diff(np.append(edges, len(of)))))
-        _, first = np.unique(vocabulary.text[hit], return_index=True)
-        return vocabulary.word[hit[first]]
-
-    if len(edges):
-        for _ in range(settings.text_epochs):
-            learn(worst(), y[text], balance[text])
-            # The other toxic words of those texts, and ordinary words, must not be forgotten.
-            words = np.union1d(telling, trainer.rng.permutation(used)[: settings.batch])
-            learn(words, share[words], np.sqrt(both[words]))
-    table, bias = trainer.table()
-    pooling = (1.0, 0.0, 0.0)
-    if len(edges) and len(set(y[text])) == 2:
-        # Three numbers fitted on the texts learned from: held-out texts show no loss by it.
-        tops = _worst_words(np.full((len(y), settings.pooled), -np.inf), vocabulary.text, logits())
-        pooling = _calibrated(tops[text], vocabulary.words[text], y[text])
-    return Model(table.astype(np.float32), bias, pooling, settings)
-
-
-def _worst_words(tops: np.ndarray, text: np.ndarray, logit: np.ndarray) -> np.ndarray:
-    """The largest different logits of each text, those already in `tops` among them.
-
-    A word has the same logit wherever it stands, so a repeated word counts once.
-    """
-    rows, most = tops.shape
-    known = np.isfinite(tops)
-    text = np.concatenate([np.repeat(np.arange(rows), known.sum(1)), text])
-    logit = np.concatenate([tops[known], logit])
-    order = np.lexsort((-logit, text))
-    text, logit = text[order], logit[order]
-    new = np.ones(len(text), bool)
-    new[1:] = (text[1:] != text[:-1]) | (logit[1:] != logit[:-1])
-    text, logit = text[new], logit[new]
-    place = np.arange(len(text)) - np.searchsorted(text, text)
-    kept = place < most
-    found = np.full(tops.shape, -np.inf)
-    found[text[kept], place[kept]] = logit[kept]
-    return found
-
-
-def _evidence(tops: np.ndarray, words: np.ndarray, pooling) -> tuple[np.ndarray, np.ndarray]:
-    """(sum of log(1 + exp z), the words' own probabilities); one minus exp(-sum) is the noisy "or"."""
-    slope, shift, fall = pooling
-    z = slope * tops + shift - fall * np.log1p(words)[:, None]
-    z = np.clip(z, -35, 35)
-    return np.logaddexp(0, z).sum(1), 1 / (1 + np.exp(-z))
-
-
-def _calibrated(tops: np.ndarray, words: np.ndarray, y: np.ndarray) -> tuple[float, float, float]:
-    """The pooling that fits texts of `words` words best, by Fisher scoring.
-
-    The targets are drawn in a little from 0 and 1, so classes that do not
-    overlap still give finite values.
+            part = order[i : i + settings.batch]
+            of = origin[part]
+            trainer.on_words(part, share[of], np.sqrt(both[of]) * np.where(part < len(words), 1.0, settings.form_weight))
+    trainer.weigh = settings.sharpness * trainer.toxic
+    for _ in range(settings.text_epochs):
+        trainer.on_texts(text, misspelt(word, settings.misspelt), times, y, balance)
+        # Words met already must not be forgotten.
+        part = np.concatenate([trainer.rng.permutation(forms)[: settings.batch], trainer.rng.permutation(np.flatnonzero(often > 0))[: 2 * settings.batch]])
+        of = origin[part]
+        trainer.on_words(part, share[of], np.sqrt(both[of]) * np.where(part < len(words), 1.0, settings.form_weight))
+    # The bias is fitted on texts held back, half as they are, half with their telling words misspelt.
+    later = back[text_all]
+    as_is = word_all[later]
+    found = [
+        trainer.weighed(text_all[later], of, times_all[later])
+        for of in (as_is, misspelt(as_is, 1.0)) if later.any()
+    ]
+    bias = float(trainer.bias[0])
+    if found:
+        which = np.concatenate([f[0] for f in found])
+        bias = _bias(np.concatenate([f[4] for f in found]), y[which], single[which], bias)
+    toxic, weight = trainer.tables()
+    return Model(toxic.astype(np.float32), weight.astype(np.float32), bias, settings)
+
+
+def _bias(logit: np.ndarray, y: np.ndarray, weight: np.ndarray, else_: float) -> float:
+    """The bias of least logistic loss; `else_` where only one class is there.
+
+    Targets are drawn in a little from 0 and 1, so classes apart give a finite one.
     """
-    high, low = (y.sum() + 1) / (y.sum() + 2), 1 / ((1 - y).sum() + 2)
-    target = np.where(y > 0, high, low)
-    logit = np.where(np.isfinite(tops), tops, 0.0)
-
-    def gain_of(pooling) -> float:
-        total = np.clip(_evidence(tops, words, pooling)[0], 1e-9, 35)
-        return float((target * np.log(-np.expm1(-total)) - (1 - target) * total).sum())
-
-    found = np.array([1.0, -4.0, 0.0])
-    gain = gain_of(found)
-    for _ in range(100):
-        total, p = _evidence(tops, words, found)
-        total = np.clip(total, 1e-9, 35)
-        slopes = np.stack([(p * logit).sum(1), p.sum(1), -np.log1p(words) * p.sum(1)], 1)
-        up = (target / np.expm1(total) - (1 - target)) @ slopes
-        step = np.linalg.solve(slopes.T @ (slopes / np.expm1(total)[:, None]) + 1e-3 * np.eye(3), up)
-        # Half the step until the fit gets better.
-        for size in 0.5 ** np.arange(12):
-            tried = found + size * step
-            tried[[0, 2]] = np.maximum(tried[[0, 2]], (1e-3, 0.0))
-            if gain_of(tried) > gain:
-                break
+    ones, zeros = (weight * y).sum(), (weight * (1 - y)).sum()
+    if not ones or not zeros:
+        return else_
+    target = np.where(y > 0, (ones + 1) / (ones + 2), 1 / (zeros + 2))
+    low, high = -60.0, 60.0
+    for _ in range(60):
+        middle = (low + high) / 2
+        if (weight * (_sigmoid(logit + middle) - target)).sum() < 0:
+            low = middle
         else:
-            break
-        found, gain = tried, gain_of(tried)
-    return tuple(found.tolist())
+            high = middle
+    return (low + high) / 2
 
 
 def predict(model: Model, texts: list[str | None]) -> np.ndarray:
     """Scores from 0 to 1 of whole texts; a text without a word scores 0."""
-    tops, words = np.full((len(texts), model.settings.pooled), -np.inf), np.zeros(len(texts))
-    for rows, part in codes.pieces(texts):
-        stream, starts, _, grams = _words(part, model.settings)
+    top, all_weights, logits = np.full(len(texts), -np.inf), np.zeros(len(texts)), np.zeros(len(texts))
+    for rows, part in codes.pieces([_read(t or "") for t in texts]):
+        stream, starts, grams = _words(part, model.settings)
         if not len(starts):
             continue
-        logit = _logits(model.table, grams, len(starts)) + model.bias
+        toxic, log, count = np.zeros(len(starts)), np.zeros(len(starts)), np.zeros(len(starts))
+        for word, bucket in grams:
+            toxic += np.bincount(word, model.toxic[bucket], len(starts))
+            log += np.bincount(word, model.weight[bucket], len(starts))
+            count += np.bincount(word, minlength=len(starts))
+        toxic, log = toxic / np.maximum(count, 1), log / np.maximum(count, 1)
+        # Sums are kept against the largest weight of the text so far.
         text = rows[stream.text_of(starts)]
-        tops = _worst_words(tops, text, logit)
-        words += np.bincount(text, minlength=len(texts))
-    total, _ = _evidence(tops, words, model.pooling)
-    return np.where(np.isinf(tops[:, 0]), 0.0, -np.expm1(-total))
+        edges = np.flatnonzero(np.diff(text, prepend=-1))
+        which, sizes = text[edges], np.diff(np.append(edges, len(text)))
+        most = np.maximum(top[which], np.maximum.reduceat(log, edges))
+        kept = np.exp(top[which] - most)
+        weight = np.exp(log - np.repeat(most, sizes))
+        all_weights[which] = all_weights[which] * kept + np.add.reduceat(weight, edges)
+        logits[which] = logits[which] * kept + np.add.reduceat(weight * toxic, edges)
+        top[which] = most
+    scores = _sigmoid(logits / np.maximum(all_weights, 1e-300) + model.bias)
+    return np.where(np.isinf(top), 0.0, scores)
 
 
 def score(docs: DataFrame, model: Model, text: str = "text", name: str = "score") -> DataFrame:
     """Add the toxicity score of each whole text as column `name` (replaced if there).
 
-    Null, empty or white text scores 0. Repeated rows score alike and all rows stay.
+    Null, empty or white text scores 0. A text of any length is summed whole, in pieces.
+    Repeated rows score alike, all rows stay; an empty table gives an empty result.
+    Python workers get small batches from now on (`batches.small`).
     """
 
     @F.pandas_udf("double")

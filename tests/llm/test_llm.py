@@ -266,17 +266,47 @@ def test_classifiers_on_odd_rows(odd, empty):
 def test_one_insult_and_a_misspelling_are_found_in_a_long_text(spark, larger):
     docs = {r.doc_id: r.text for r in spark.read.parquet(f"{larger}/documents.parquet").collect()}
     labels = spark.read.parquet(f"{larger}/labels.parquet").collect()
-    clean = [docs[r.doc_id] for r in labels if not r.toxic][:200]
+    clean = [docs[r.doc_id] for r in labels if not r.toxic]
     rng = np.random.default_rng(5)
+    apart, learned = clean[:50], clean[50:]
     toxic = []
-    for t in clean[:100]:
+    for t in learned:
         words = t.split(" ")
         words.insert(int(rng.integers(0, len(words))), ["idiot", "blockhead"][len(toxic) % 2])
         toxic.append(" ".join(words))
-    model = toxicity.train(clean[100:] + toxic, [0] * 100 + [1] * 100)
-    late = clean[0] + " " + " ".join(clean[:5]) + " what a blockhead"
-    assert toxicity.predict(model, [late])[0] > 0.5
-    assert toxicity.predict(model, [late.replace("blockhead", "blockheadd")])[0] > toxicity.predict(model, clean[100:]).mean()
+    model = toxicity.train(learned + toxic, [0] * len(learned) + [1] * len(toxic))
+    assert (toxicity.predict(model, apart) > 0.5).mean() <= 0.04
+    bent = {
+        "plain": ["blockhead", "idiot"], "replaced": ["bl0ckhead", "blo*khead", "blockh3ad"],
+        "dropped": ["blckhead", "blockhed", "bockhead"], "doubled": ["bloockhead", "blockkhead", "blockheaad"],
+        "spaced": [" ".join("blockhead"), " ".join("idiot")],
+    }
+    for kind, words in bent.items():
+        texts = [f"{t} {w} {apart[-1]}" for t in apart[:20] for w in words]
+        assert (toxicity.predict(model, texts) > 0.5).mean() >= 0.9, kind
+    very_long = " ".join(learned * 9)[:500_000]
+    assert len(very_long) > 262_144 and toxicity.predict(model, [very_long])[0] < 0.5
+    assert toxicity.predict(model, ["blockhead " + very_long])[0] > 0.5
+
+
+def test_toxicity_is_the_softmax_of_one_weighted_bag():
+    """Scores against sums in plain Python, whole texts cut into pieces or not."""
+    model = toxicity.train(["you idiot there", "calm words here"] * 12, [1, 0] * 12)
+    texts = ["calm idiot words", "you you there", "i d i o t here", "x", "calm\tIDIOT  here\n"]
+    scores = toxicity.predict(model, texts)
+    for text, score in zip(texts, scores):
+        logits, weights = [], []
+        for word in text.lower().replace("i d i o t", "idiot").split():
+            stream, starts, grams = toxicity._words([word], model.settings)
+            buckets = np.concatenate([b for _, b in grams])
+            assert len(starts) == 1
+            logits.append(model.toxic[buckets].astype(float).mean())
+            weights.append(np.exp(model.weight[buckets].astype(float).mean()))
+        logit = np.dot(logits, weights) / np.sum(weights) + model.bias
+        assert score == pytest.approx(1 / (1 + np.exp(-logit)), abs=1e-6)
+    long = "calm words here " * 40_000
+    short = toxicity.predict(model, ["calm words here " * 4])[0]
+    assert toxicity.predict(model, [long])[0] == pytest.approx(short, abs=1e-6)
 
 
 # 4 mixing
