@@ -43,7 +43,7 @@ class Settings:
     variants: int = 400  # misspellings of a telling word
     misspelt: float = 0.6  # chance of a telling word to be met misspelt in a step on texts
     form_weight: float = 2.0  # of a misspelling against the word itself
-    sharpness: float = 2.0  # of the words' weights, before they are trained on texts
+    sharpness: float = 4.0  # of the words' weights, before they are trained on texts
     stays: float = 0.6  # chance of an n-gram of a toxic word to stay in a step
     rate: float = 0.3
     batch: int = 4096
@@ -133,11 +133,13 @@ class _Trainer:
     def __init__(self, bags: _Bags, settings: Settings):
         rng = np.random.default_rng(settings.seed)
         self.bags, self.rng, self.rate, self.stays = bags, rng, settings.rate, settings.stays
-        self.embed = rng.uniform(-0.1, 0.1, (1 << settings.bits, settings.width))
+        self.batch = settings.batch
+        self.embed = rng.random((1 << settings.bits, settings.width), np.float32) * np.float32(0.2) - np.float32(0.1)
+        self.total = np.zeros_like(self.embed)
         self.toxic = rng.uniform(-0.5, 0.5, settings.width)  # toxic minus clean
         self.weigh = np.zeros(settings.width)
         self.bias = np.zeros(1)
-        self.seen = [np.full(x.shape, 1e-4) for x in (self.embed, self.toxic, self.weigh, self.bias)]
+        self.seen = [np.full(x.shape, 1e-4, x.dtype) for x in (self.embed, self.toxic, self.weigh, self.bias)]
 
     def on_words(self, words: np.ndarray, target: np.ndarray, weight: np.ndarray) -> None:
         """A step on words alone; word i is toxic with probability target[i]."""
@@ -146,7 +148,10 @@ class _Trainer:
         place, bucket = place[stays], bucket[stays]
         mean = self._means(place, bucket, words)
         error = weight * (_sigmoid(mean @ self.toxic + self.bias[0]) - target)
-        self._step(place, bucket, words, mean, error, np.zeros(len(words)), error.sum())
+        ids, moved = self._back(place, bucket, words, error, np.zeros(len(words)))
+        self._move(1, slice(None), error @ mean)
+        self._move(3, slice(None), np.array([error.sum()]))
+        self._move(0, ids, moved)
 
     def on_texts(self, text, word, times, y, weight) -> None:
         """A step on whole texts, given as rising (text, word, times) rows; y by text number."""
@@ -157,12 +162,24 @@ class _Trainer:
         # A word of next to no weight moves nothing.
         felt = np.flatnonzero(share > 1e-3)
         words, at = np.unique(word[felt], return_inverse=True)
-        place, bucket = self.bags.grams(words)
-        self._step(
-            place, bucket, words, self._means(place, bucket, words),
-            np.bincount(at, by_row[felt], len(words)), np.bincount(at, by_weight[felt], len(words)),
-            error.sum(),
-        )
+        by_row = np.bincount(at, by_row[felt], len(words))
+        by_weight = np.bincount(at, by_weight[felt], len(words))
+        toxic, weigh = np.zeros_like(self.toxic), np.zeros_like(self.weigh)
+        self.total[:] = 0
+        # The n-grams of all words at once would need much memory.
+        for i in range(0, len(words), self.batch):
+            part = slice(i, i + self.batch)
+            place, bucket = self.bags.grams(words[part])
+            mean = self._means(place, bucket, words[part])
+            toxic += by_row[part] @ mean
+            weigh += by_weight[part] @ mean
+            ids, moved = self._back(place, bucket, words[part], by_row[part], by_weight[part])
+            self.total[ids] += moved
+        self._move(1, slice(None), toxic)
+        self._move(2, slice(None), weigh)
+        self._move(3, slice(None), np.array([error.sum()]))
+        touched = np.flatnonzero(self.total.any(1))
+        self._move(0, touched, self.total[touched])
 
     def weighed(self, text, word, times):
         """(text numbers, words of each, share and logit of each word, logit of each text) but for the bias."""
@@ -175,20 +192,16 @@ class _Trainer:
         return text[edges], sizes, share, logit, np.add.reduceat(share * logit, edges)
 
     def tables(self) -> tuple[np.ndarray, np.ndarray]:
-        return self.embed @ self.toxic, self.embed @ self.weigh
+        return tuple(self.embed @ form.astype(np.float32) for form in (self.toxic, self.weigh))
 
     def _means(self, place, bucket, words) -> np.ndarray:
         return codes.sums_by(place, self.embed[bucket], len(words)) / self.bags.count[words][:, None]
 
-    def _step(self, place, bucket, words, mean, error, pull, bias) -> None:
-        """error, pull: gradients of each word's toxic logit and of the log of its weight."""
+    def _back(self, place, bucket, words, error, pull):
+        """(buckets, gradients) from those of each word's toxic logit and of the log of its weight."""
         back = (error[:, None] * self.toxic + pull[:, None] * self.weigh) / self.bags.count[words][:, None]
         ids, at = np.unique(bucket, return_inverse=True)
-        moved = codes.sums_by(at, back[place], len(ids)).reshape(len(ids), -1)
-        self._move(1, slice(None), error @ mean)
-        self._move(2, slice(None), pull @ mean)
-        self._move(3, slice(None), np.array([bias]))
-        self._move(0, ids, moved)
+        return ids, codes.sums_by(at, back[place], len(ids)).reshape(len(ids), -1)
 
     def _move(self, which, ids, gradient) -> None:
         values = (self.embed, self.toxic, self.weigh, self.bias)[which]
@@ -203,19 +216,22 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
 def train(texts: list[str], labels: list[int], settings: Settings = Settings()) -> Model:
     """Fit on labelled texts. No sample, or none with a word: every text with a word scores 0.5."""
     y = np.array(labels, float)
-    held = [Counter(_WORD.findall(_read(t))) for t in texts]
-    words = sorted(set().union(*held)) if held else []
+    number, keys, sizes, word, times = {}, [], [], [], []
+    for t in texts:
+        held = Counter(_WORD.findall(_read(t)))
+        keys.append(tuple(sorted(held, key=lambda w: (-len(w), w))[:3]))
+        sizes.append(len(held))
+        word.append(np.array([number.setdefault(w, len(number)) for w in held], np.int32))
+        times.append(np.array(list(held.values()), np.float32))
+    words = list(number)
     none = np.zeros(1 << settings.bits, np.float32)
     if not words:
         return Model(none, none, 0.0, settings)
-    number = {w: i for i, w in enumerate(words)}
-    sizes = [len(h) for h in held]
-    text = np.repeat(np.arange(len(texts)), sizes)
-    word = np.fromiter((number[w] for h in held for w in h), np.int64, len(text))
-    times = np.fromiter((n for h in held for n in h.values()), float, len(text))
+    text = np.repeat(np.arange(len(texts), dtype=np.int32), sizes)
+    word, times = np.concatenate(word), np.concatenate(times)
 
     # Copies count as one text: those that share their three longest words.
-    alike = Counter(keys := [tuple(sorted(h, key=lambda w: (-len(w), w))[:3]) for h in held])
+    alike = Counter(keys)
     single = np.array([1 / alike[k] for k in keys])
     # Every sixth text is held back for the bias.
     back = np.arange(len(y)) % 6 == 5

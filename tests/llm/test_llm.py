@@ -281,9 +281,11 @@ def test_one_insult_and_a_misspelling_are_found_in_a_long_text(spark, larger):
         "dropped": ["blckhead", "blockhed", "bockhead"], "doubled": ["bloockhead", "blockkhead", "blockheaad"],
         "spaced": [" ".join("blockhead"), " ".join("idiot")],
     }
-    for kind, words in bent.items():
-        texts = [f"{t} {w} {apart[-1]}" for t in apart[:20] for w in words]
-        assert (toxicity.predict(model, texts) > 0.5).mean() >= 0.9, kind
+    found = {
+        kind: (toxicity.predict(model, [f"{t} {w} {apart[-1]}" for t in apart[:20] for w in words]) > 0.5).mean()
+        for kind, words in bent.items()
+    }
+    assert min(found.values()) >= 0.9, found
     very_long = " ".join(learned * 9)[:500_000]
     assert len(very_long) > 262_144 and toxicity.predict(model, [very_long])[0] < 0.5
     assert toxicity.predict(model, ["blockhead " + very_long])[0] > 0.5
