@@ -11,7 +11,22 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clickloom.operators.skew import heavy_keys, in_blocks, salted_join
+from clickloom.operators.keywords import BROADCAST_WAYS, term_join
+from clickloom.operators.skew import heavy_keys, in_blocks
+from clickloom.session import cut_lineage
+
+LABELS = "__labels"
+
+
+def with_labels(
+    docs: DataFrame, labels: DataFrame, doc: str, label: str = "label", how: str = "left"
+) -> DataFrame:
+    """Documents with all their labels in one column, for train to read beside the terms.
+
+    The texts are joined, which are far smaller than their weights.
+    """
+    listed = F.array_sort(F.collect_list(F.struct(F.col(label).alias("label"))))
+    return docs.join(labels.groupBy(doc).agg(listed.alias(LABELS)), doc, how)
 
 
 def train(
@@ -21,9 +36,15 @@ def train(
 
     terms   term -> map label -> ln((W[label, term] + s) / s)
     priors  label -> ln prior, ln(W[label] + s * V) and ln s
+
+    Weights of documents that went through with_labels are not joined again.
     """
     known = labels.select(doc, F.col(label).cast("string").alias("label"))
-    rows = weights.join(known, doc)
+    if LABELS in weights.columns:
+        own = weights.select("term", "weight", F.explode(LABELS).alias("x"))
+        rows = own.select("term", "weight", F.col("x.label").cast("string").alias("label"))
+    else:
+        rows = weights.join(known, doc)
     seen = rows.groupBy("label", "term").agg(F.sum("weight").alias("w"))
     gain = F.log((F.col("w") + smoothing) / smoothing)
     terms = seen.groupBy("term").agg(
@@ -49,11 +70,12 @@ def train(
 def scores(weights: DataFrame, terms: DataFrame, priors: DataFrame, doc: str) -> DataFrame:
     """(doc, label, score) for every label.
 
-    Documents meet the labels a block at a time; the model terms are joined
-    with the few very common terms salted.
+    Documents meet the labels a block at a time; the terms of the model that have
+    most postings go to the weights, which are shuffled for the others only.
     """
-    hot = heavy_keys(weights, ["term"])
-    gained = salted_join(weights, terms, ["term"], [doc], "left", heavy=hot).select(
+    frequent = heavy_keys(weights, ["term"], BROADCAST_WAYS)
+    shown = weights.select(doc, "term", "weight")
+    gained = term_join(shown, cut_lineage(terms), frequent, "left").select(
         doc, "weight", F.explode_outer("gains").alias("label", "gain")
     )
     per_label = gained.where(F.col("label").isNotNull()).groupBy(doc, "label").agg(

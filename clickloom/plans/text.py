@@ -14,12 +14,13 @@ def daily_keywords(docs: DataFrame, text: Column, doc: str, day: str, **options)
 
 
 def term_weights(docs: DataFrame, text: Column, doc: str, patterns=(), min_df: int = 0,
-                 stop_words: DataFrame | None = None) -> DataFrame:
-    """(doc, term, tf, df, idf, weight) of whole texts."""
-    rows = keywords.tokens(docs, text, [doc], patterns, stop_words)
-    tf = keywords.term_counts(rows, [doc])
+                 stop_words: DataFrame | None = None, carried: tuple[str, ...] = ()) -> DataFrame:
+    """(doc, term, tf, df, idf, weight) of whole texts, with the columns `carried` of a document."""
+    keys = [doc, *carried]
+    # Read by the document frequencies and both parts of the join: counted once.
+    tf = cut_lineage(keywords.document_terms(docs, text, keys, patterns, stop_words))
     idf = keywords.idf_table(tf, keywords.count_docs(docs), min_df)
-    return keywords.tf_idf(tf, idf, [doc])
+    return keywords.tf_idf(tf, idf, keys)
 
 
 def document_similarity(docs: DataFrame, text: Column, doc: str, threshold: float) -> DataFrame:
@@ -29,10 +30,18 @@ def document_similarity(docs: DataFrame, text: Column, doc: str, threshold: floa
 def text_classifier(docs: DataFrame, text: Column, doc: str, labels: DataFrame,
                     label: str = "label", min_df: int = 3) -> DataFrame:
     """Naive Bayes over tf-idf: trained on the labelled documents, applied to all of them."""
-    # Read by training, scoring and the hot-term list: computed once.
-    weights = cut_lineage(term_weights(docs, text, doc, min_df=min_df))
+    return bayes.predict(classifier_scores(docs, text, doc, labels, label, min_df), doc)
+
+
+def classifier_scores(docs: DataFrame, text: Column, doc: str, labels: DataFrame,
+                      label: str = "label", min_df: int = 3) -> DataFrame:
+    """(doc, label, score) behind text_classifier."""
+    known = bayes.with_labels(docs, labels, doc, label)
+    weights = term_weights(known, text, doc, min_df=min_df, carried=(bayes.LABELS,))
+    # Read by training, scoring and the list of frequent terms: computed once.
+    weights = cut_lineage(weights.select(doc, bayes.LABELS, "term", "weight"))
     terms, priors = bayes.train(weights, labels, doc, label)
-    return bayes.predict(bayes.scores(weights, terms, priors, doc), doc)
+    return bayes.scores(weights, terms, priors, doc)
 
 
 def held_out_predictions(docs: DataFrame, text: Column, doc: str, labels: DataFrame, train: Column,
@@ -44,10 +53,11 @@ def held_out_predictions(docs: DataFrame, text: Column, doc: str, labels: DataFr
     row of `labels`; the prediction is the best one.
     """
     known = labels.where(F.col(label).isNotNull())
-    used = docs.join(known.select(doc).distinct(), doc, "left_semi")
-    tf = cut_lineage(keywords.term_counts(keywords.tokens(used, text, [doc]), [doc]))
+    used = bayes.with_labels(docs, known, doc, label, "inner")
+    keys = [doc, bayes.LABELS]
+    tf = cut_lineage(keywords.document_terms(used, text, keys))
     idf = keywords.idf_table(tf.where(train), keywords.count_docs(used.where(train)), min_df)
-    weights = cut_lineage(keywords.tf_idf(tf, idf, [doc]))
+    weights = cut_lineage(keywords.tf_idf(tf, idf, keys).select(*keys, "term", "weight"))
     terms, priors = bayes.train(weights.where(train), known.where(train), doc, label)
     return bayes.predict(bayes.scores(weights.where(~train), terms, priors, doc), doc)
 

@@ -8,6 +8,7 @@ from clickloom.functions import words as W
 from clickloom.operators import bayes, keywords, learning, similarity
 from clickloom.plans import text as jobs
 from clickloom.registry.base import EVENT_CTE, WORDS_CTE, Tables, query
+from clickloom.session import cut_lineage
 
 THRESHOLD = 0.8
 
@@ -63,8 +64,8 @@ def symbols_stripped(spark, sf):
     f"WITH {WORDS_CTE} SELECT tf.doc_id, tf.term, tf.tf, df.df FROM tf JOIN df ON tf.term = df.term",
 )
 def term_counts(spark, sf):
-    rows = keywords.tokens(Tables(spark, sf).documents, F.col("text"), ["doc_id"])
-    tf = keywords.term_counts(rows, ["doc_id"])
+    docs = Tables(spark, sf).documents
+    tf = cut_lineage(keywords.document_terms(docs, F.col("text"), ["doc_id"]))
     idf = keywords.idf_table(tf, F.lit(1))
     return keywords.tf_idf(tf, idf, ["doc_id"]).select("doc_id", "term", "tf", "df")
 
@@ -77,7 +78,7 @@ def term_counts(spark, sf):
 )
 def inverse_document_frequency(spark, sf):
     docs = Tables(spark, sf).documents
-    tf = keywords.term_counts(keywords.tokens(docs, F.col("text"), ["doc_id"]), ["doc_id"])
+    tf = keywords.document_terms(docs, F.col("text"), ["doc_id"])
     idf = keywords.idf_table(tf, keywords.count_docs(docs), min_df=3)
     return idf.select("term", "df", F.round("idf", 6).alias("idf"))
 
@@ -100,8 +101,8 @@ def term_weights(spark, sf):
 )
 def top_terms(spark, sf):
     weights = jobs.term_weights(Tables(spark, sf).documents, F.col("text"), "doc_id")
-    shown = weights.withColumn("weight", F.round("weight", 9))
-    return keywords.top_terms(shown, ["doc_id"]).select("doc_id", "term", "rank")
+    shown = weights.select("doc_id", "term", "weight")
+    return keywords.top_terms(shown, ["doc_id"], digits=9).select("doc_id", "term", "rank")
 
 
 @query(
@@ -208,9 +209,7 @@ def text_classifier(spark, sf):
 def classifier_scores(spark, sf):
     t = Tables(spark, sf)
     labels = t.table("labels").select("doc_id", F.col("quality").alias("label"))
-    weights = jobs.term_weights(t.documents, F.col("text"), "doc_id", min_df=3)
-    terms, priors = bayes.train(weights, labels, "doc_id")
-    rows = bayes.scores(weights, terms, priors, "doc_id")
+    rows = jobs.classifier_scores(t.documents, F.col("text"), "doc_id", labels)
     return rows.select("doc_id", "label", F.round("score", 4).alias("score"))
 
 
@@ -300,9 +299,8 @@ def count_vector_keywords(spark, sf):
         Tables(spark, sf).documents, F.col("text"), "doc_id", W.LATIN_STOP_PATTERNS
     )
     # Ranked by rounded weights, so equal ones tie on both engines; shown from the unrounded ones.
-    ranked = weights.withColumns({"exact": F.col("weight"), "weight": F.round("weight", 9)})
-    top = keywords.top_terms(ranked, ["doc_id"])
-    return top.select("doc_id", "term", F.round("exact", 6).alias("weight"), "rank")
+    top = keywords.top_terms(weights.select("doc_id", "term", "weight"), ["doc_id"], digits=9)
+    return top.select("doc_id", "term", F.round("weight", 6).alias("weight"), "rank")
 
 
 @query(
@@ -326,8 +324,7 @@ def multi_label_model(spark, sf):
 
 
 def _words(t: Tables):
-    rows = keywords.tokens(t.documents, F.col("text"), ["doc_id"], W.LATIN_STOP_PATTERNS)
-    return keywords.token_arrays(rows, ["doc_id"])
+    return keywords.document_words(t.documents, F.col("text"), ["doc_id"], W.LATIN_STOP_PATTERNS)
 
 
 @query("hashed_features")
@@ -359,7 +356,12 @@ def hashed_feature_totals(spark, sf):
 def naive_bayes_model(spark, sf):
     t = Tables(spark, sf)
     labels = t.table("labels").select("doc_id", F.col("quality").cast("double").alias("label"))
-    rows = _words(t).join(labels, "doc_id")
+    # The labels go to the texts, which are far smaller than their words.
+    docs = bayes.with_labels(t.documents, labels, "doc_id", how="inner")
+    words = keywords.document_words(
+        docs, F.col("text"), ["doc_id", bayes.LABELS], W.LATIN_STOP_PATTERNS
+    )
+    rows = words.select("doc_id", "words", F.inline(bayes.LABELS))
     train, test = learning.split_by_hash(rows, F.col("doc_id"), 80)
     model = learning.text_classifier().fit(train)
     return model.transform(test).select("doc_id", "label", "prediction")

@@ -724,3 +724,60 @@ def test_watch_bitmaps_against_sets(spark):
     for uid, item, idx, points in data:
         expected.setdefault((uid, item), set()).update({idx} if 0 <= idx < points else set())
     assert got == expected
+
+
+def test_terms_are_counted_without_shuffling_tokens(spark):
+    texts = [(1, "a b a"), (2, "B c 7"), (2, "b"), (3, None), (4, ""), (None, "z"), (None, "z y"), (5, "a c")]
+    docs = frame(spark, texts, "doc_id int, text string")
+    got = keywords.document_terms(docs, F.col("text"), ["doc_id"], [r"^[0-9]+$"])
+    plain = keywords.term_counts(keywords.tokens(docs, F.col("text"), ["doc_id"], [r"^[0-9]+$"]), ["doc_id"])
+    assert sorted(map(str, got.collect())) == sorted(map(str, plain.collect())) and got.count() == 8
+    words = keywords.document_words(docs, F.col("text"), ["doc_id"])
+    arrays = keywords.token_arrays(keywords.tokens(docs, F.col("text"), ["doc_id"]), ["doc_id"])
+    assert sorted(map(str, words.collect())) == sorted(map(str, arrays.collect()))
+    once = docs.where("doc_id IN (1, 5)").coalesce(1)
+    for df in (keywords.document_terms(once, F.col("text"), ["doc_id"]),
+               keywords.document_words(once, F.col("text"), ["doc_id"])):
+        assert "Exchange" not in df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_frequent_terms_are_joined_where_they_are(spark):
+    tf = frame(spark, [(d, t, 1) for d in range(20) for t in ("the", "of", f"t{d}")],
+               "doc_id int, term string, tf bigint")
+    table = frame(spark, [("the", 1.0)] + [(f"t{d}", 2.0) for d in range(0, 20, 2)], "term string, v double")
+    frequent = keywords.hot_terms(keywords.doc_frequency(tf), 10)
+    assert rows(frequent) == [("of",), ("the",)]
+    for how in ("inner", "left"):
+        got, plain = keywords.term_join(tf, table, frequent, how), tf.join(table, "term", how)
+        assert sorted(map(str, got.select("doc_id", "term", "v").collect())) == sorted(
+            map(str, plain.select("doc_id", "term", "v").collect()))
+
+
+def test_top_terms_of_runs_and_scattered_rows(spark):
+    rnd = random.Random(5)
+    data = [(d, f"t{i}", rnd.choice([0.1, 0.2, 0.2 + 1e-12, 0.3])) for d in range(9) for i in range(40)]
+    scattered = rnd.sample(data, len(data))
+    for digits in (None, 9):
+        expected = set()
+        for d in range(9):
+            own = sorted((-(w if digits is None else round(w, digits)), t) for i, t, w in data if i == d)
+            expected |= {(d, t, k) for k, (_, t) in enumerate(own[:5], 1)}
+        for given in (data, scattered):
+            df = frame(spark, given, "doc_id int, term string, weight double")
+            got = keywords.top_terms(df, ["doc_id"], 5, digits).select("doc_id", "term", "rank")
+            assert set(map(tuple, got.collect())) == expected
+    kept = frame(spark, data, "doc_id int, term string, weight double").coalesce(1)
+    held = kept.mapInArrow(keywords._best_of_runs(["doc_id"], 1, 0.0), kept.schema)
+    assert held.count() < 9 * 40
+
+
+def test_labels_beside_texts_train_the_same_model(spark):
+    docs = frame(spark, [(1, "a b"), (2, "b c"), (2, "b"), (3, "c"), (4, "a")], "doc_id int, text string")
+    known = frame(spark, [(1, "x"), (2, "y"), (2, "x"), (2, "x"), (9, "y")], "doc_id int, label string")
+    carried = bayes.with_labels(docs, known, "doc_id")
+    tf = keywords.document_terms(carried, F.col("text"), ["doc_id", bayes.LABELS])
+    weights = tf.withColumn("weight", F.col("tf").cast("double"))
+    plan = bayes.train(weights, known, "doc_id")
+    joined = bayes.train(weights.drop(bayes.LABELS), known, "doc_id")
+    for a, b in zip(plan, joined):
+        assert sorted(map(str, a.collect())) == sorted(map(str, b.collect()))
