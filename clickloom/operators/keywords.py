@@ -183,6 +183,15 @@ def hot_terms(idf: DataFrame, ways: int = 64) -> DataFrame:
     return idf.where(F.col("df") * ways > total).select("term")
 
 
+def frequent_terms(idf: DataFrame, most: int = BROADCAST_WAYS) -> DataFrame:
+    """The most frequent terms, all of a document frequency or none: at most `most` of them."""
+    counted = idf.groupBy("df").agg(F.count("*").alias("n"))
+    # One row for each frequency, which are few.
+    ahead = counted.withColumn("ahead", F.sum("n").over(Window.orderBy(F.desc("df"))))
+    least = ahead.where(F.col("ahead") <= most).agg(F.min("df")).scalar()
+    return idf.where(F.col("df") >= least).select("term")
+
+
 def term_join(
     rows: DataFrame, table: DataFrame, frequent: DataFrame, how: str = "inner"
 ) -> DataFrame:
@@ -202,7 +211,7 @@ def term_join(
 def tf_idf(tf: DataFrame, idf: DataFrame, keys: list[str]) -> DataFrame:
     """Weight of each (document, term), in no order of `keys`; `tf` should be written."""
     idf = cut_lineage(idf)  # read by the list and both parts of the join
-    joined = term_join(tf, idf, hot_terms(idf, BROADCAST_WAYS))
+    joined = term_join(tf, idf, frequent_terms(idf))
     return joined.withColumn("weight", F.col("tf") * F.col("idf"))
 
 

@@ -63,6 +63,14 @@ def drop_intermediates(spark: SparkSession) -> None:
     path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def release_shuffles(spark: SparkSession) -> None:
+    """Let Spark delete the shuffle files of steps that are over.
+
+    It does so for what the driver's collector finds unused, which it may not run for long.
+    """
+    spark.sparkContext._jvm.System.gc()
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Write the frame as a table in the shared folder and go on from there.
 
@@ -71,5 +79,5 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     done with its results frees the space by drop_intermediates.
     """
     path = f"{intermediates(df.sparkSession)}/{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

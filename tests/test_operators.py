@@ -807,3 +807,54 @@ def test_vectors_travel_once_per_batch_of_blocks(spark, monkeypatch):
     monkeypatch.setattr(similarity, "SENT", 5)
     again = similarity.common_term_pairs(postings, singles, "doc_id", 0.9, 4)
     assert set(map(tuple, again.select("doc_1", "doc_2").collect())) == expected
+
+
+def _brute_force(docs, threshold):
+    names = sorted(docs)
+    return {(x, y): _cosine(docs[x], docs[y]) for i, x in enumerate(names) for y in names[i + 1:]
+            if _cosine(docs[x], docs[y]) >= threshold}
+
+
+def test_only_related_documents_get_vectors(spark, monkeypatch):
+    # Forty documents under one rare term and otherwise on their own; two of them nearly alike.
+    docs = {d: {"shared": 1.0, **{f"{d}-{i}": 1.0 for i in range(6)}} for d in range(40)}
+    docs[40] = {**docs[7], "more": 0.5}
+    written, plain = [], similarity.cut_lineage
+
+    def counted(df):
+        out = plain(df)
+        if {"vec", "tids", "entries"} & set(out.columns):
+            written.append(out.count())
+        return out
+
+    monkeypatch.setattr(similarity, "cut_lineage", counted)
+    found = similarity.similar_documents(_weights(spark, docs), "doc_id", 0.8)
+    got = {(r["doc_1"], r["doc_2"]): r["similarity"] for r in found.collect()}
+    expected = _brute_force(docs, 0.8)
+    assert got.keys() == expected.keys() == {(7, 40)}
+    assert abs(got[7, 40] - expected[7, 40]) < 1e-9
+    assert written and max(written) == 2
+
+
+@pytest.mark.parametrize("parts", [1, 6])
+def test_similarity_of_rows_in_pieces(spark, parts):
+    # Families of long documents with string ids, whose rows come in two runs or anyhow.
+    rnd, docs = random.Random(parts), {}
+    for family in range(6):
+        base = [f"w{rnd.randrange(900)}" for _ in range(120)]
+        for member in range(4):
+            kept = rnd.sample(base, 120 - 12 * member)
+            docs[f"{family}/{member}"] = {
+                **{t: rnd.choice([1.0, 1.5, 2.0]) for t in kept},
+                **{f"w{rnd.randrange(900)}": 1.0 for _ in range(10)},
+            }
+    data = [(d, t, w) for d, terms in docs.items() for t, w in terms.items()]
+    runs = [x for half in (0, 1) for x in data if hash(x[1][-1]) % 2 == half]
+    rows_ = [(d, t, w, sum(t in terms for terms in docs.values()) * 100) for d, t, w in runs]
+    weights = frame(spark, rows_, "doc_id string, term string, weight double, df bigint").coalesce(1)
+    weights = weights.repartition(parts, "term") if parts > 1 else weights
+    expected = _brute_force(docs, 0.8)
+    got = {(r["doc_1"], r["doc_2"]): r["similarity"]
+           for r in similarity.similar_documents(weights, "doc_id", 0.8, 10).collect()}
+    assert got.keys() == expected.keys() and len(got) > 5
+    assert all(abs(got[k] - expected[k]) < 1e-9 for k in got)
